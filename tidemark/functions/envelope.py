@@ -41,13 +41,18 @@ def message_state(body: Column, fields: Column | None = None) -> Column:
 
 
 def _node_text(v: Column) -> Column:
-    """Text of a JSON node: ``null`` for null, empty for a container."""
-    kind = F.schema_of_variant(v)
+    """Text of a JSON node: ``null`` for null, empty for a container.
+
+    The node kind is looked up only for text that may come from a container or
+    a number.
+    """
+    text, kind = F.try_variant_get(v, "$", "string"), F.schema_of_variant(v)
     is_fraction = kind.startswith("DECIMAL") & ~kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+    first = F.substring(text, 1, 1)
     return (F.when(F.is_variant_null(v), F.lit("null"))
-            .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
-            .when(is_fraction, F.try_variant_get(v, "$", "double").cast("string"))
-            .otherwise(F.try_variant_get(v, "$", "string")))
+            .when(first.isin("{", "[") & kind.rlike("^(OBJECT|ARRAY)"), F.lit(""))
+            .when(first.isin(*"-0123456789") & is_fraction, F.try_variant_get(v, "$", "double").cast("string"))
+            .otherwise(text))
 
 
 def classify_message(state: Column) -> Column:

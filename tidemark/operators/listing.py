@@ -10,7 +10,7 @@ from tidemark.functions.paths import depth, normalise_path, parent, relative_dir
 from tidemark.functions.templates import full_match, pattern_compiles, render, resolve_filter, wrap_full
 from tidemark.functions.values import error_attributes, merge_attributes, root_cause
 from tidemark.operators.predicates import FilterSpec, apply_filters
-from tidemark.plans.joins import DEFAULT_LIMIT, BroadcastLimit, join_checked
+from tidemark.plans.joins import DEFAULT_LIMIT, BroadcastLimit, join_checked, row_bytes
 from tidemark.schema import FAILURE, NO_FILES, SUCCESS
 
 # Up to this many different patterns are written into the plan as constants.
@@ -77,11 +77,10 @@ def _facts(t: DataFrame, limit: BroadcastLimit) -> _Facts:
     One job over at most ``limit.rows + 1`` rows; a larger table takes a second
     one for its depths, of which there are as many as folder levels.
     """
-    width = F.octet_length(F.to_json(F.struct("*")))
     few = CONSTANT_PATTERNS + 1
     depths = F.collect_set(depth(F.col("t_anchor")))
     n, size, levels, files, paths = t.limit(limit.rows + 1).agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)), depths,
+        F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(t)), F.lit(0)), depths,
         F.slice(F.collect_set("t_file"), 1, few), F.slice(F.collect_set("t_path"), 1, few)).first()
     fits = n <= limit.rows and size <= limit.bytes
     if n > limit.rows:

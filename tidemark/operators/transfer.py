@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.paths import ancestors, depth, join_path, parent
-from tidemark.plans.joins import join_checked
+from tidemark.plans.joins import DEFAULT_LIMIT, estimated_bytes, join_checked, measure
 from tidemark.plans.ranking import ONE_WINDOW_ROWS, running_number
 from tidemark.schema import DEFAULT_BATCH_SIZE, FAILURE, SUCCESS
 
@@ -49,15 +49,20 @@ def resolve_conflicts(requests: DataFrame, existing: DataFrame, by: list[str] |
 
     Only the first request for a target can find the name free; any later one
     meets the file of the first.  The first is found by a minimum (reduced on
-    the map side) and joined back on target *and* ``seq``, so a target that most
-    requests write to is spread over all tasks.  ``seq`` must be unique.
+    the map side) and joined back on ``seq``, which must be unique in the whole
+    table, so a target that most requests write to is spread over all tasks.
+    Existing files join the same aggregation (one shuffle, no sort); when the
+    requests were measured to fit a broadcast, the other files never leave
+    their tasks.
     """
     keys = [*(by or TARGET), "dest"]
-    firsts = requests.groupBy(*keys).agg(F.min(seq).alias(seq))
-    taken = existing.select(*keys).distinct().withColumn("_taken", F.lit(True))
-    firsts = firsts.join(taken, keys, "left").select(
-        *keys, seq, F.coalesce("_taken", F.lit(False)).alias("_first_sees"))
-    return (requests.join(firsts, [*keys, seq], "left")
+    wanted, taken = requests.select(*keys), existing.select(*keys)
+    if estimated_bytes(wanted) <= 4 * DEFAULT_LIMIT.bytes and measure(wanted):
+        taken = taken.join(F.broadcast(wanted), keys, "left_semi")
+    sightings = requests.select(*keys, seq, F.lit(False).alias("_taken")).unionByName(
+        taken.select(*keys, F.lit(None).cast(requests.schema[seq].dataType).alias(seq), F.lit(True).alias("_taken")))
+    firsts = sightings.groupBy(*keys).agg(F.min(seq).alias(seq), F.bool_or("_taken").alias("_first_sees"))
+    return (requests.join(firsts.where(F.col(seq).isNotNull()).select(seq, "_first_sees"), seq, "left")
             .withColumn("target_exists", F.coalesce("_first_sees", F.lit(True)))
             .drop("_first_sees"))
 
@@ -122,8 +127,8 @@ def effective_writes(plan: DataFrame, by: list[str] | None = None) -> DataFrame:
     """
     keys = [*(by or TARGET), "dest"]
     writes = F.col("write_action").isin("create", "overwrite")
-    last = plan.where(writes).groupBy(*keys).agg(F.max("seq").alias("seq")).withColumn("_last", F.lit(True))
-    return (plan.join(last, [*keys, "seq"], "left")
+    last = plan.where(writes).groupBy(*keys).agg(F.max("seq").alias("seq"))
+    return (plan.join(last.select("seq", F.lit(True).alias("_last")), "seq", "left")
             .withColumn("is_effective", F.coalesce("_last", F.lit(False))).drop("_last"))
 
 

@@ -20,14 +20,14 @@ def running_number(df: DataFrame, by: list[str], order: list[str], out: str = "r
     thus takes ``slices`` tasks; the leading column should not repeat one value
     for most of the rows.  Tables that are small as a whole use one window.
     """
+    if df.count() <= one_window_rows:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     lead = F.col(order[0]).cast("double")
     if slices is None:
         slices = min(4096, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
     probs = [i / slices for i in range(1, slices)]
-    total, bounds = df.agg(F.count(F.lit(1)), F.percentile_approx(lead, probs, 10_000)).first()
-    if total <= one_window_rows:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    bounds = df.agg(F.percentile_approx(lead, probs, 10_000)).first()[0]
     return _number_slices(df.withColumn("_slice", _position(lead, sorted(set(bounds)))), by, order, out)
 
 

@@ -13,6 +13,7 @@ def local_session(cpus: str = "8", app: str = "tidemark") -> SparkSession:
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.ui.enabled", "false")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
              .getOrCreate())
