@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.transfer import effective_writes
 from tidemark.plans.joins import join_checked
-from tidemark.schema import NOT_FOUND
-from tidemark.sources.content import UNCATEGORIZED, _store
+from tidemark.plans.storage import open_store, task_count
 
 # Fixed value: status code reported for a file that is not there.
 _MISSING = 0xC0000034
@@ -59,11 +58,11 @@ def publish(plan: DataFrame, root: str, tmp_suffix: str | None = None, create_di
     """
     marked = effective_writes(plan)
     work = marked.where("is_effective").select("seq", "dest", "content")
-    work = work.repartition(partitions, "dest") if partitions else work.repartition("dest")
+    work = work.repartition(partitions or task_count(plan.sparkSession), "dest")
     base = root.rstrip("/")
 
     def write(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, folder = _store(base)
+        store, folder = open_store(base)
         attempt = TaskContext.get().taskAttemptId()
 
         def one(row) -> None:
@@ -97,12 +96,12 @@ def delete_files(requests: DataFrame, root: str, run_dir: str | None = None,
     that a retried task can tell its own earlier delete from a missing file.
     """
     firsts = requests.groupBy("path").agg(F.min("seq").alias("seq"))
-    work = firsts.repartition(partitions, "path") if partitions else firsts.repartition("path")
+    work = firsts.repartition(partitions or task_count(requests.sparkSession), "path")
     base, markers = root.rstrip("/"), run_dir.rstrip("/") if run_dir else None
 
     def remove(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, folder = _store(base)
-        mark_store, mark_folder = _store(markers) if markers else (None, None)
+        store, folder = open_store(base)
+        mark_store, mark_folder = open_store(markers) if markers else (None, None)
         if mark_store is not None:
             mark_store.create_dir(mark_folder, recursive=True)
 
@@ -137,11 +136,12 @@ def complete(plan: DataFrame, root: str) -> DataFrame:
     takes a source that is gone as its own earlier work.
     """
     work = (plan.where(F.col("completion") != "none")
-            .select("seq", "full_path", "completion", "move_to", "ensure_directory").repartition("full_path"))
+            .select("seq", "full_path", "completion", "move_to", "ensure_directory")
+            .repartition(task_count(plan.sparkSession), "full_path"))
     base = root.rstrip("/")
 
     def finish(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, folder = _store(base)
+        store, folder = open_store(base)
         retried = TaskContext.get().attemptNumber() > 0
 
         def one(row) -> None:
@@ -162,5 +162,3 @@ def complete(plan: DataFrame, root: str) -> DataFrame:
 
     return work.mapInPandas(finish, _OUTCOME)
 
-
-__all__ = ["NOT_FOUND", "UNCATEGORIZED", "complete", "delete_files", "publish"]

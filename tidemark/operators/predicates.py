@@ -150,6 +150,21 @@ class FilterSpec:
             out["path_filter"] = path_filter(self.path_filter, self.path_base)
         return out
 
+    def raw_time_bounds(self, ms: Column, now_ms: int) -> list[Column]:
+        """The age and time rules on a column of epoch milliseconds.
+
+        Only repeats what ``rules`` says, in a form that a scan can use.
+        """
+        if self.directories == "pass":
+            return []
+        out = []
+        if self.min_age is not None:
+            out.append(ms <= F.lit(now_ms) - _ms(self.min_age))
+        if self.max_age is not None:
+            out.append(ms >= F.lit(now_ms) - _ms(self.max_age))
+        out += [ms >= F.lit(t) for t in (self.min_timestamp, self.initial_timestamp) if t is not None]
+        return out
+
 
 def all_of(rules: dict[str, Column]) -> Column:
     return reduce(lambda a, b: a & b, rules.values(), F.lit(True))

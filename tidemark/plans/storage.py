@@ -40,3 +40,21 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def open_store(root: str):
+    """The Arrow file system of a root (path or URI), and the root's path on it."""
+    from pyarrow import fs
+
+    if "://" in root or root.startswith("file:"):
+        return fs.FileSystem.from_uri(root)
+    return fs.LocalFileSystem(), root
+
+
+def task_count(spark: SparkSession) -> int:
+    """Tasks for work that is slow per row but small in bytes.
+
+    Given as a number to ``repartition``, because Spark would otherwise merge
+    such small partitions into one task.
+    """
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.paths import normalise_path
+from tidemark.plans.storage import open_store, task_count
 from tidemark.schema import FAILURE, SUCCESS
 
 # Fixed value: code reported for an error without a code of its own.
@@ -48,13 +49,11 @@ def fetch_content(listing: DataFrame, root: str, partitions: int | None = None)
     end in one task.  Output batches are cut at 64 MiB; one file must fit in
     memory, as a binary value does anyway.
     """
-    rows = listing.select("full_path")
-    if partitions:
-        rows = rows.repartition(partitions, "full_path")
+    rows = listing.select("full_path").repartition(partitions or task_count(listing.sparkSession), "full_path")
     base = root.rstrip("/")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, folder = _store(base)
+        store, folder = open_store(base)
         names = ["full_path", "content", "error_code", "error_message"]
         types = [pa.string(), pa.binary(), pa.string(), pa.string()]
 
@@ -81,12 +80,3 @@ def fetch_content(listing: DataFrame, root: str, partitions: int | None = None)
 
     fetched = rows.mapInArrow(read, _FETCHED)
     return fetched.withColumn("route", F.when(F.col("error_code").isNull(), SUCCESS).otherwise(FAILURE))
-
-
-def _store(base: str):
-    """The Arrow file system of a root, and the root's path on it."""
-    from pyarrow import fs
-
-    if "://" in base or base.startswith("file:"):
-        return fs.FileSystem.from_uri(base)
-    return fs.LocalFileSystem(), base

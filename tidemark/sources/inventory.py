@@ -2,45 +2,76 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.paths import depth, join_path, parent
 from tidemark.functions.values import merge_attributes
+from tidemark.operators.predicates import FilterSpec
+from tidemark.plans.storage import open_store, stage, task_count
 from tidemark.schema import ATTRS, INVENTORY
 
 
-def scan_inventory(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None,
-                   provider: str = "file") -> DataFrame:
-    """List the files under a root; their content is never read.
+_ENTRY = "directory string, filename string, size bigint, last_modified timestamp, is_directory boolean"
+
 
-    Spark's file index skips names that start with ``_`` or ``.``; use
-    ``read_manifest`` over a store's own inventory report where those matter,
-    or where one listing is too slow because the store returns names in
-    sequence.
+def scan_inventory(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None,
+                   provider: str = "file", with_directories: bool = False) -> DataFrame:
+    """List what is under a root as metadata; content is never read.
+
+    One Spark job per folder level, in which each folder is listed by a task
+    and its entries go to the shared folder, so no listing passes through the
+    driver.  Empty files and names that start with ``_`` or ``.`` are listed
+    like any other (Spark's own file sources skip them).  ``glob`` applies to
+    file names.  Stores page through one folder in sequence; where a single
+    folder holds more names than a task can, use ``read_manifest`` over the
+    store's inventory report.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    base = root.rstrip("/")
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, top = open_store(base)
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                infos = store.get_file_info(fs.FileSelector(f"{top}/{folder}".rstrip("/") or "/"))
+                for i in range(0, len(infos), 10_000):
+                    part = infos[i:i + 10_000]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([folder] * len(part), pa.string()),
+                        pa.array([f.base_name for f in part], pa.string()),
+                        pa.array([f.size if f.is_file else 0 for f in part], pa.int64()),
+                        pa.array([f.mtime for f in part], pa.timestamp("us", "UTC")),
+                        pa.array([f.type == fs.FileType.Directory for f in part], pa.bool_()),
+                    ], names=["directory", "filename", "size", "last_modified", "is_directory"])
+
+    level, levels = spark.createDataFrame([("",)], "folder string"), []
+    while True:
+        spread = level.repartition(task_count(spark), "folder")
+        listed = stage(spread.mapInArrow(entries, _ENTRY), "scan")
+        levels.append(listed)
+        level = listed.where("is_directory").select(join_path(F.col("directory"), F.col("filename")).alias("folder"))
+        if not recursive or level.isEmpty():
+            break
+    found = reduce(DataFrame.unionByName, levels)
+    if not with_directories:
+        found = found.where(~F.col("is_directory"))
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root).select("path", "length", "modificationTime")
-    base = spark._jvm.org.apache.hadoop.fs.Path(root)
-    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/")
-    rel = F.substring(F.col("path"), len(base) + 2, 2_147_483_647)
-    if not recursive:
-        files = files.where(~rel.contains("/"))
-    return files.select(
-        F.lit(provider).alias("provider"),
-        F.lit(base).alias("container"),
-        F.coalesce(parent(rel), F.lit("")).alias("directory"),
-        F.substring_index(rel, "/", -1).alias("filename"),
-        rel.alias("full_path"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("last_modified"),
-        F.lit(False).alias("is_directory"),
-        F.lit(None).cast("string").alias("etag"),
-        F.create_map().cast(ATTRS).alias("extra"),
-    )
+        found = found.where(F.col("is_directory") | F.col("filename").rlike(rf"\A{_glob_pattern(glob)}\z"))
+    return found.select(
+        F.lit(provider).alias("provider"), F.lit(base).alias("container"), "directory", "filename",
+        join_path(F.col("directory"), F.col("filename")).alias("full_path"), "size", "last_modified", "is_directory",
+        F.lit(None).cast("string").alias("etag"), F.create_map().cast(ATTRS).alias("extra"))
+
+
+def _glob_pattern(glob: str) -> str:
+    """Regular expression of a file name glob (``*``, ``?``)."""
+    return re.sub(r"\\\*|\\\?", lambda m: ".*" if m.group() == r"\*" else ".", re.escape(glob))
 
 
 # Column names of provider manifests, by inventory column.
@@ -56,14 +87,21 @@ MANIFEST_COLUMNS = {
 }
 
 
-def read_manifest(df: DataFrame, provider: str) -> DataFrame:
+def read_manifest(df: DataFrame, provider: str, spec: FilterSpec | None = None,
+                  now_ms: int | None = None) -> DataFrame:
     """Map a provider's own metadata table to the inventory.
 
     Columns without a place in the inventory go to ``extra`` as text (a map
     column named ``extra`` is merged in).  A pure projection, so filters on
-    inventory columns still reach the scan of the manifest.
+    inventory columns still reach the scan of the manifest.  The exception are
+    times kept as epoch milliseconds: give the ``spec`` of the listing to have
+    its age and time bounds tested on the stored column too.
     """
     names = MANIFEST_COLUMNS[provider]
+    raw = names["last_modified"]
+    if spec is not None and raw.endswith("_ms"):
+        for bound in spec.raw_time_bounds(F.col(raw), now_ms):
+            df = df.where(bound)
 
     def source(column: str) -> Column | None:
         return F.col(names[column]) if column in names and names[column] in df.columns else None
