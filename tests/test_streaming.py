@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -16,22 +17,24 @@ def land(folder, name, *records):
     (folder / name).write_text("\n".join(map(json.dumps, records)))
 
 
-def listing(spark, path, snapshot):
+def listing(spark, path, snapshot, partition_by=("trigger_id",)):
     run_triggered_listing(trigger_stream(spark, f"{path}/in"), snapshot, T, f"{path}/out", f"{path}/cp",
-                          listing=F.create_map(F.lit("origin"), F.lit("listing"), F.lit("filename"), F.col("filename"))).awaitTermination()
+                          listing=F.create_map(F.lit("origin"), F.lit("listing"), F.lit("filename"), F.col("filename")),
+                          partition_by=partition_by).awaitTermination()
 
 
-def test_triggers_are_consumed_once(spark, tmp_path):
+@pytest.mark.parametrize("partition_by", [("trigger_id",), ()])
+def test_triggers_are_consumed_once(spark, tmp_path, partition_by):
     def snapshot(s):
         return s.createDataFrame([("b", "d", "f.csv"), ("b", "d", "g.txt")], "container string, directory string, filename string") \
             .withColumn("full_path", F.concat_ws("/", "directory", "filename"))
 
     land(tmp_path / "in", "1.json", {"trigger_id": 1, "attrs": {"bucket": "b", "ff": r".*\.csv", "batch.id": "7", "origin": "trigger"}},
          {"trigger_id": 2, "attrs": {"bucket": "none"}}, {"trigger_id": 3, "attrs": {"bucket": "b", "ff": "["}})
-    listing(spark, tmp_path, snapshot)
+    listing(spark, tmp_path, snapshot, partition_by)
     land(tmp_path / "in", "2.json", {"trigger_id": 4, "attrs": {"bucket": "b", "ff": " "}})
-    listing(spark, tmp_path, snapshot)  # a restart: the first triggers are not listed again
-    listing(spark, tmp_path, snapshot)  # no trigger, no listing
+    listing(spark, tmp_path, snapshot, partition_by)  # a restart: the first triggers are not listed again
+    listing(spark, tmp_path, snapshot, partition_by)  # no trigger, no listing
 
     def route(name):
         return spark.read.option("basePath", f"{tmp_path}/out").parquet(f"{tmp_path}/out/batch_id=*/route={name}")

@@ -14,7 +14,7 @@ from tidemark.operators import predicates as p
 from tidemark.operators.incremental import initial_floor
 from tidemark.operators.listing import has_objects
 from tidemark.schema import NO_FILES, SUCCESS
-from tidemark.sources.inventory import any_object, read_manifest, scan_inventory, scope, union_providers
+from tidemark.sources.inventory import any_object, read_manifest, scope, union_providers
 
 _COLUMNS = "container, directory, filename, size, last_modified_ms"
 
@@ -192,13 +192,6 @@ def _union_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(union_providers(*[read_manifest(m[0](spark, sf_dir), name) for name, m in _MANIFESTS.items()]))
 
 
-@query("scan_inventory")
-def _scan_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table files themselves, listed as metadata."""
-    found = scan_inventory(spark, sf_dir, glob="*.parquet")
-    return found.select("provider", "directory", "filename", "full_path", "size", "is_directory")
-
-
 @query("read_messages", """SELECT message_id, body, octet_length(encode(body)) AS bytes,
  concat('10.0.0.', user_id % 256, ':8080') AS remote_address FROM msg JOIN events ON message_id = event_id""", ("msg",))
 def _read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,9 @@ from tidemark.catalog.views import inventory, line_inventory, table, text, write
 from tidemark.operators import transfer
 from tidemark.operators.effects import complete, delete_files, publish
 from tidemark.operators.routes import route_delete, route_fetch
-from tidemark.plans.storage import shared_dir
+from tidemark.plans.storage import shared_dir, stage
 from tidemark.sources.content import attach_content, fetch_content
+from tidemark.sources.inventory import scan_inventory
 
 _FROM = "1998-01-01"
 _ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -152,7 +153,7 @@ def _publish_all(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     nothing = transfer.with_destination(requests).select("host", "share", "dest").where(F.lit(False))
     plan = transfer.plan_writes(requests, nothing, create_dirs=True, batch_size=None)
     content = docs.select(F.col("doc_id").alias("seq"), F.col("text").cast("binary").alias("content"))
-    return publish(plan.join(content, "seq"), root, tmp_suffix=".part")
+    return publish(plan, content, root, tmp_suffix=".part")
 
 
 _LAST = """last AS (SELECT concat(source, '/', lang, '/d', CAST(floor(doc_id / 2) AS BIGINT), '.txt') AS path, max(doc_id) AS doc_id FROM documents GROUP BY 1)"""
@@ -176,12 +177,8 @@ def _delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = F.array(F.struct((F.col("seq") * 3).alias("seq"), F.col("dest").alias("path")),
                      F.struct((F.col("seq") * 3 + 1).alias("seq"), F.col("dest").alias("path")),
                      F.struct((F.col("seq") * 3 + 2).alias("seq"), F.concat(F.lit("nowhere/"), "dest").alias("path")))
-    requests_path = f"{root}/requests"
-    paths.select(F.inline(wanted)).write.parquet(requests_path)
-    done = delete_files(spark.read.parquet(requests_path), f"{root}/files", f"{root}/markers")
-    outcomes = f"{root}/outcomes"
-    route_delete(done, F.col("done")).write.parquet(outcomes)
-    return spark.read.parquet(outcomes).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+    done = delete_files(paths.select(F.inline(wanted)), f"{root}/files", f"{root}/markers")
+    return route_delete(done, F.col("done")).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("complete", f"WITH {_LAST} SELECT concat('done/', path) AS path, 'success' AS route FROM last")
@@ -191,10 +188,18 @@ def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _publish_all(spark, sf_dir, f"{root}/files").where("done").groupBy("dest").agg(F.max("seq").alias("seq"))
     fetched = paths.select("seq", F.col("dest").alias("full_path"), F.substring_index("dest", "/", -1).alias("filename"),
                            F.lit("success").alias("route"))
-    fetched.write.parquet(f"{root}/fetched")
-    stored = spark.read.parquet(f"{root}/fetched")
+    stored = stage(fetched, "fetched")
     folder = F.concat(F.lit("done/"), F.regexp_replace("full_path", "/[^/]*$", ""))
     plan = transfer.plan_completion(stored, "move", folder, create_directory=True)
-    complete(plan, f"{root}/files").write.parquet(f"{root}/outcomes")
-    moved = fetch_content(plan.select(F.col("move_to").alias("full_path")), f"{root}/files")
+    outcome = complete(plan, f"{root}/files")
+    moved = fetch_content(plan.join(outcome.where("done"), "seq").select(F.col("move_to").alias("full_path")), f"{root}/files")
     return moved.select(F.col("full_path").alias("path"), "route")
+
+
+@query("scan_inventory", f"""WITH {_LAST} SELECT path AS full_path, strlen(text) AS size, false AS is_directory FROM last JOIN documents USING (doc_id)
+ UNION ALL SELECT DISTINCT source, 0, true FROM documents UNION ALL SELECT DISTINCT concat(source, '/', lang), 0, true FROM documents""")
+def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents are published as files, then their folders are listed."""
+    root = f"{shared_dir(spark)}/scanned-{uuid.uuid4().hex}"
+    _publish_all(spark, sf_dir, root)
+    return scan_inventory(spark, root, with_directories=True).select("full_path", "size", "is_directory")

@@ -1,9 +1,11 @@
 """Effects on storage: publish, delete and complete.
 
-Work is spread by file path, each task handles its rows one by one, and one
-outcome row per file comes back.  The store is any file system Arrow can open
-(local, HDFS, object stores).  Every effect may run again when a task is
-retried, so each one leaves the same result the second time.
+Each function runs its effect once, when called, and stores one outcome row
+per file; the table it returns reads those outcomes and repeats nothing.  Work
+is spread by file, and each task handles its rows one by one.  The store is any
+file system Arrow can open (local, HDFS, object stores).  A task that is
+retried may meet its own earlier work, so each effect leaves the same result
+the second time.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.transfer import effective_writes
 from tidemark.plans.joins import join_checked
-from tidemark.plans.storage import open_store, task_count
+from tidemark.plans.storage import open_store, stage, task_count
 
 # Fixed value: status code reported for a file that is not there.
 _MISSING = 0xC0000034
@@ -46,19 +48,20 @@ def _is_file(store, path: str) -> bool:
     return store.get_file_info(path).type == fs.FileType.File
 
 
-def publish(plan: DataFrame, root: str, tmp_suffix: str | None = None, create_dirs: bool = True,
-            partitions: int | None = None) -> DataFrame:
+def publish(plan: DataFrame, content: DataFrame, root: str, tmp_suffix: str | None = None,
+            create_dirs: bool = True, partitions: int | None = None) -> DataFrame:
     """Carry out a write plan below ``root``; returns the plan with ``done``, ``code`` and ``message``.
 
-    ``plan`` comes from ``plan_writes`` with a ``content`` column joined on.
-    Only the last write of a target is carried out; earlier ones count as done
-    with it.  With ``tmp_suffix`` the bytes go to ``dest + suffix`` plus the
-    attempt id and are renamed over ``dest``, so readers see the old file or
-    the new one and two attempts do not meet in one temporary file.
+    ``plan`` comes from ``plan_writes``; ``content`` (``seq``, ``content``) is
+    shuffled once.  Only the last write of a target is carried out; earlier
+    ones count as done with it.  With ``tmp_suffix`` the bytes go to ``dest +
+    suffix`` plus the attempt id and are renamed over ``dest``, so readers see
+    the old file or the new one and two attempts never share a temporary file.
     """
+    n = partitions or task_count(plan.sparkSession)
     marked = effective_writes(plan)
-    work = marked.where("is_effective").select("seq", "dest", "content")
-    work = work.repartition(partitions or task_count(plan.sparkSession), "dest")
+    due = marked.where("is_effective").select("seq", "dest")
+    work = content.select("seq", "content").repartition(n, "seq").join(due.repartition(n, "seq"), "seq")
     base = root.rstrip("/")
 
     def write(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -77,14 +80,12 @@ def publish(plan: DataFrame, root: str, tmp_suffix: str | None = None, create_di
 
         yield from _each(rows, one)
 
-    done = work.mapInPandas(write, _OUTCOME)
+    done = stage(work.mapInPandas(write, _OUTCOME), "published")
     keys = ["host", "share", "dest"]
-    by_target = (marked.where("is_effective").select(*keys, "seq").join(done, "seq")
-                 .select(*keys, "done", "code", "message"))
-    writes = marked.where(F.col("write_action").isin("create", "overwrite")).drop("content", "is_effective")
-    rest = marked.where(~F.col("write_action").isin("create", "overwrite")).drop("content", "is_effective")
-    written = join_checked(writes, by_target, keys, "left")
-    return written.unionByName(rest, allowMissingColumns=True)
+    by_target = marked.where("is_effective").select(*keys, "seq").join(done, "seq").drop("seq")
+    writes = F.col("write_action").isin("create", "overwrite")
+    written = join_checked(marked.where(writes).drop("is_effective"), by_target, keys, "left")
+    return written.unionByName(marked.where(~writes).drop("is_effective"), allowMissingColumns=True)
 
 
 def delete_files(requests: DataFrame, root: str, run_dir: str | None = None,
@@ -118,7 +119,8 @@ def delete_files(requests: DataFrame, root: str, run_dir: str | None = None,
 
         yield from _each(rows, one)
 
-    done = work.mapInPandas(remove, _OUTCOME).join(firsts, "seq").withColumnRenamed("seq", "_first")
+    outcomes = stage(work.mapInPandas(remove, _OUTCOME), "deleted")
+    done = outcomes.join(firsts, "seq").withColumnRenamed("seq", "_first")
     joined = join_checked(requests.select("seq", "path"), done, ["path"], "left")
     later = (F.col("seq") != F.col("_first")) & F.col("done")
     return joined.select(
@@ -160,5 +162,5 @@ def complete(plan: DataFrame, root: str) -> DataFrame:
 
         yield from _each(rows, one)
 
-    return work.mapInPandas(finish, _OUTCOME)
+    return stage(work.mapInPandas(finish, _OUTCOME), "completed")
 

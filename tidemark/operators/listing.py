@@ -10,7 +10,7 @@ from tidemark.functions.paths import depth, normalise_path, parent, relative_dir
 from tidemark.functions.templates import full_match, pattern_compiles, render, resolve_filter, wrap_full
 from tidemark.functions.values import error_attributes, merge_attributes, root_cause
 from tidemark.operators.predicates import FilterSpec, apply_filters
-from tidemark.plans.joins import DEFAULT_LIMIT, BroadcastLimit, join_checked, row_bytes
+from tidemark.plans.joins import DEFAULT_LIMIT, BroadcastLimit, join_checked, measure, row_bytes
 from tidemark.schema import FAILURE, NO_FILES, SUCCESS
 
 # Up to this many different patterns are written into the plan as constants.
@@ -138,7 +138,7 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
 
     The settings that are the same for all triggers filter the inventory first.
     The rest is one equi-join on container and folder, with the trigger table
-    broadcast if it was measured to fit and by salted shuffle otherwise; the
+    broadcast if it was measured to fit, else shuffled with hot keys split; the
     patterns run on the pairs that are left.
     """
     if spec is not None:
@@ -175,6 +175,11 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
         templates.directory is not None and not templates.recursive) else ["container", "t_anchor"]
     if on == ["container"]:
         side, t = side.drop("t_anchor"), t.drop("t_anchor")
+    if not facts.fits:
+        # Too many triggers to broadcast; the places they look at may still fit.
+        places = t.select(*on).distinct()
+        if measure(places, limit):
+            side = side.join(F.broadcast(places), on, "left_semi")
     out = join_checked(side, t, on, "inner", limit=limit, fits=facts.fits)
     for test in tests:
         out = out.where(test)

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.plans.storage import stage
+
 
 @dataclass(frozen=True)
 class BroadcastLimit:
@@ -16,7 +18,11 @@ class BroadcastLimit:
 
 
 DEFAULT_LIMIT = BroadcastLimit()
-DEFAULT_SALTS = 32
+
+# A key with more rows than this is split; at most MAX_HOT_KEYS keys are.
+HOT_ROWS = 5_000_000
+MAX_HOT_KEYS = 10_000
+MAX_SALTS = 1_024
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -46,27 +52,51 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def hot_keys(large: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys of a table with more than ``hot_rows`` rows, and into how many parts to split each.
+
+    One pass over the key columns, reduced on the map side.  The threshold
+    rises with the table so that there are never more than ``MAX_HOT_KEYS``;
+    the result is staged and small enough to broadcast by construction.
+    """
+    counts = stage(large.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows), "hot")
+    floor = max(hot_rows, (counts.agg(F.sum("_n")).first()[0] or 0) // MAX_HOT_KEYS)
+    parts = F.least(F.ceil(F.col("_n") / floor), F.lit(MAX_SALTS)).cast("int")
+    return counts.where(F.col("_n") > floor).select(*on, parts.alias("_parts"))
+
+
 def salted_join(large: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-                residual: Column | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
-    """Shuffle join that spreads each key of the large side over ``salts`` tasks.
+                residual: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Shuffle join that splits the hot keys of the large side over many tasks.
 
-    The small side is repeated once per salt, so a key that holds a third of
-    all rows becomes ``salts`` partitions of equal size.  The salt is a hash of
-    the row, hence the same when a task is retried.  ``how`` may be any join
-    that keeps rows of the large side only (inner, left, left_semi, left_anti).
+    Rows of a hot key get a salt from a hash of the row (the same when a task
+    is retried); the rows of the small side with that key are repeated once per
+    salt.  All other keys join as usual.  ``how`` may be any join that keeps
+    rows of the large side only (inner, left, left_semi, left_anti).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} cannot be salted")
+    hot = hot_keys(large, on, hot_rows)
+    if hot.isEmpty():
+        return _equi_join(large, small, on, how, residual)
     hashable = [f.name for f in large.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    left = large.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return _equi_join(left, right, [*on, "_salt"], how, residual).drop("_salt")
+    left = large.join(F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(
+        F.pmod(F.xxhash64(*hashable), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    right = small.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(
+        F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return _equi_join(left, right, [*on, "_salt"], how, residual).drop("_salt").select(
+        *_columns(large, small, on, how))
+
+
+def _columns(large: DataFrame, small: DataFrame, on: list[str], how: str) -> list[str]:
+    kept = [*on, *[c for c in large.columns if c not in on]]
+    return kept if how in ("left_semi", "left_anti") else kept + [c for c in small.columns if c not in on]
 
 
 def join_checked(large: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                  residual: Column | None = None, limit: BroadcastLimit = DEFAULT_LIMIT,
                  fits: bool | None = None) -> DataFrame:
-    """Broadcast the small side if it was measured to fit, else join by salted shuffle.
+    """Broadcast the small side if it was measured to fit, else shuffle with its hot keys split.
 
     ``residual`` is a further condition over columns of both sides (their
     names, apart from ``on``, must differ).

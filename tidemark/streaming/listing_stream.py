@@ -34,6 +34,7 @@ def run_triggered_listing(triggers: DataFrame, inventory: Callable[[SparkSession
                           templates: ListingTemplates, out: str, checkpoint: str,
                           spec: FilterSpec | None = None, clock_ms: Callable[[], int] | None = None,
                           listing: Column | None = None, records_requested: bool = True,
+                          partition_by: tuple[str, ...] = ("trigger_id",),
                           trigger: dict | None = None) -> StreamingQuery:
     """List once per trigger of a stream; output is one folder per batch and route.
 
@@ -41,6 +42,8 @@ def run_triggered_listing(triggers: DataFrame, inventory: Callable[[SparkSession
     success rows are written first; the empty triggers are then found from what
     was written (one column), so the inventory is read once.  Batches are
     consumed once (checkpoint) and overwrite their own folders when retried.
+    With very many triggers per batch give ``partition_by=()``: one folder per
+    trigger is then too many.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -50,12 +53,12 @@ def run_triggered_listing(triggers: DataFrame, inventory: Callable[[SparkSession
         if listing is not None:
             rows = emit_attributes(rows, listing).drop("attrs")
         target = f"{out}/batch_id={batch_id}"
-        write_listing(rows, f"{target}/route={SUCCESS}", mode="overwrite")
+        write_listing(rows, f"{target}/route={SUCCESS}", partition_by=partition_by, mode="overwrite")
         valid = resolved.where("is_valid").select("trigger_id")
         failed = resolved.where(~F.col("is_valid")).select("trigger_id", F.lit("invalid pattern").alias("error_message"))
         failed.write.mode("overwrite").parquet(f"{target}/route={FAILURE}")
         if records_requested:
-            ids = _written_ids(spark, f"{target}/route={SUCCESS}")
+            ids = _written_ids(spark, f"{target}/route={SUCCESS}", bool(partition_by))
             empty = valid if ids is None else valid.join(ids, "trigger_id", "left_anti")
             empty.write.mode("overwrite").parquet(f"{target}/route={NO_FILES}")
 
@@ -63,11 +66,11 @@ def run_triggered_listing(triggers: DataFrame, inventory: Callable[[SparkSession
             .trigger(**(trigger or schedule(None))).start())
 
 
-def _written_ids(spark: SparkSession, path: str) -> DataFrame | None:
-    """Triggers of a written listing; none if the listing has no rows (and so no folder)."""
+def _written_ids(spark: SparkSession, path: str, folders: bool) -> DataFrame | None:
+    """Triggers of a written listing; none if it has no rows and so no trigger folder."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not any(s.isDirectory() for s in fs.listStatus(root)):
+    if folders and not any(s.isDirectory() for s in fs.listStatus(root)):
         return None
     return read_listing_ids(spark, path).select(F.col("trigger_id").cast("bigint").alias("trigger_id"))
 
