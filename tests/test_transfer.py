@@ -83,6 +83,9 @@ def test_write_plan_one_by_one(spark, seed):
 def test_conflicts_without_prefilter_agree(spark, monkeypatch):
     reqs = requests(spark, *[(i, "h", "d", f"f{i % 7}", "fail") for i in range(50)])
     there = existing(spark, ("h", "d/f1"), ("h", "d/other"))
+    sizes = iter([100, 1] * 2)  # many files, few requests
+    monkeypatch.setattr(transfer, "estimated_bytes", lambda df: next(sizes))
+    monkeypatch.setattr(transfer, "measure", lambda df: True)
     with_filter = rows(transfer.resolve_conflicts(reqs, there), "seq", "target_exists")
     monkeypatch.setattr(transfer, "measure", lambda df: False)
     assert rows(transfer.resolve_conflicts(reqs, there), "seq", "target_exists") == with_filter

@@ -95,10 +95,7 @@ _PATTERNS = r"""regexp_full_match(filename, 'doc_.*\.(csv|txt)') AND regexp_full
 @query("count_unfiltered", f"""SELECT container, count(*) AS unfiltered, count(*) FILTER (WHERE {_RULES}) AS before_patterns,
  count(*) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS filtered FROM inv GROUP BY container""", ("inv",))
 def _count_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inv = inventory(spark, sf_dir)
-    shares = count_unfiltered(inv, LISTING, NOW_MS)
-    lake = count_unfiltered(inv, LISTING, NOW_MS, mode="before_patterns").select("container", F.col("unfiltered").alias("before_patterns"))
-    return shares.join(lake, "container").select("container", "unfiltered", "before_patterns", "filtered")
+    return count_unfiltered(inventory(spark, sf_dir), LISTING, NOW_MS)
 
 
 @query("listing_summary", f"""SELECT container, count(*) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS files,

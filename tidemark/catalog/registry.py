@@ -56,7 +56,7 @@ FROM documents""",
 SELECT concat('c', CAST(l_suppkey % 20 AS VARCHAR)) AS container, concat('data/', l_returnflag, '/', l_linestatus) AS directory,
  concat('f', CAST(l_orderkey AS VARCHAR), '_', CAST(l_linenumber AS VARCHAR),
    CASE l_partkey % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '.txt' WHEN 2 THEN '.json' ELSE '.tmp' END) AS filename,
- CAST(l_quantity * 1000 AS BIGINT) AS size, l_shipdate AS last_modified, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+ CAST(l_quantity * 1000 AS BIGINT) AS size, l_shipdate AS last_modified, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
  concat_ws('/', concat('data/', l_returnflag, '/', l_linestatus), concat('f', l_orderkey, '_', l_linenumber), l_partkey, l_suppkey) AS k
 FROM lineitem""",
     "msg": """
@@ -77,9 +77,9 @@ SELECT s_suppkey AS trigger_id, concat('src', CAST(s_suppkey % 24 AS VARCHAR)) A
  nullif(trim(CASE s_suppkey % 3 WHEN 0 THEN '.*[.]csv' WHEN 1 THEN ' ' ELSE 'doc_[0-9]*1.*' END), '') AS ff
 FROM supplier""",
     "req": """
-SELECT l_orderkey * 1000000000 + l_linenumber * 100000000 + l_partkey * 2000 + l_suppkey AS seq,
+SELECT CAST(((((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey) * 100) + l_quantity AS BIGINT) AS seq,
  container AS host, 'share' AS share, directory, filename, concat_ws('/', directory, filename) AS dest, last_modified,
  CASE l_suppkey % 3 WHEN 0 THEN 'replace' WHEN 1 THEN 'ignore' ELSE 'fail' END AS conflict,
- l_orderkey, l_linenumber, l_partkey, l_suppkey
+ l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
 FROM invl""",
 }

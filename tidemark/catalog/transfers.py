@@ -17,7 +17,7 @@ from tidemark.sources.content import attach_content, fetch_content
 from tidemark.sources.inventory import scan_inventory
 
 _FROM = "1998-01-01"
-_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
 _KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 _PLAN = f"""WITH w AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY {_ORDER}) AS rn,

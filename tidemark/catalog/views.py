@@ -48,7 +48,7 @@ def line_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("last_modified"),
         F.lit(False).alias("is_directory"),
         F.concat_ws("/", directory, stem, text("l_partkey"), text("l_suppkey")).alias("k"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +111,8 @@ def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as write requests; ``seq`` is unique and follows the order keys."""
     rows = line_inventory(spark, sf_dir)
-    seq = F.col("l_orderkey") * 1_000_000_000 + F.col("l_linenumber") * 100_000_000 \
-        + F.col("l_partkey") * 2_000 + F.col("l_suppkey")
+    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100_000 + F.col("l_partkey")
+    seq = (key * 1_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("bigint")
     kind = F.col("l_suppkey") % 3
     return rows.select(
         seq.alias("seq"), F.col("container").alias("host"), F.lit("share").alias("share"), "directory", "filename",

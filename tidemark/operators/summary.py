@@ -11,22 +11,18 @@ from tidemark.operators.predicates import FilterSpec, all_of
 _PATTERN_RULES = ("file_filter", "path_filter")
 
 
-def count_unfiltered(inv: DataFrame, spec: FilterSpec, now_ms: int, mode: str = "all",
-                     by: str = "container") -> DataFrame:
-    """Files before and after filtering, per container.
+def count_unfiltered(inv: DataFrame, spec: FilterSpec, now_ms: int, by: str = "container") -> DataFrame:
+    """Files per container at three points of the filter chain, in one pass.
 
-    ``mode="all"`` counts everything as unfiltered (file shares);
-    ``"before_patterns"`` counts what is left before the regular expressions
-    (data lake).
+    ``unfiltered`` counts everything (what file shares report),
+    ``before_patterns`` what is left before the regular expressions (what the
+    data lake reports), ``filtered`` what passes all rules.
     """
     rules = spec.rules(now_ms)
-    if mode == "all":
-        before = F.lit(True)
-    elif mode == "before_patterns":
-        before = all_of({k: v for k, v in rules.items() if k not in _PATTERN_RULES})
-    else:
-        raise ValueError("mode must be 'all' or 'before_patterns'")
-    return inv.groupBy(by).agg(F.count_if(before).alias("unfiltered"), F.count_if(all_of(rules)).alias("filtered"))
+    plain = all_of({k: v for k, v in rules.items() if k not in _PATTERN_RULES})
+    return inv.groupBy(by).agg(
+        F.count(F.lit(1)).alias("unfiltered"), F.count_if(plain).alias("before_patterns"),
+        F.count_if(all_of(rules)).alias("filtered"))
 
 
 def listing_summary(inv: DataFrame, spec: FilterSpec, now_ms: int, by: str = "container") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.paths import ancestors, depth, join_path, parent
-from tidemark.plans.joins import DEFAULT_LIMIT, estimated_bytes, join_checked, measure
+from tidemark.plans.joins import estimated_bytes, join_checked, measure
 from tidemark.plans.ranking import ONE_WINDOW_ROWS, running_number
 from tidemark.schema import DEFAULT_BATCH_SIZE, FAILURE, SUCCESS
 
@@ -51,13 +51,13 @@ def resolve_conflicts(requests: DataFrame, existing: DataFrame, by: list[str] |
     meets the file of the first.  The first is found by a minimum (reduced on
     the map side) and joined back on ``seq``, which must be unique in the whole
     table, so a target that most requests write to is spread over all tasks.
-    Existing files join the same aggregation (one shuffle, no sort); when the
-    requests were measured to fit a broadcast, the other files never leave
-    their tasks.
+    Existing files join the same aggregation (one shuffle, no sort); when they
+    are many more than the requests, and the requests were measured to fit a
+    broadcast, files that no request names never leave their tasks.
     """
     keys = [*(by or TARGET), "dest"]
     wanted, taken = requests.select(*keys), existing.select(*keys)
-    if estimated_bytes(wanted) <= 4 * DEFAULT_LIMIT.bytes and measure(wanted):
+    if estimated_bytes(taken) > 8 * estimated_bytes(wanted) and measure(wanted):
         taken = taken.join(F.broadcast(wanted), keys, "left_semi")
     sightings = requests.select(*keys, seq, F.lit(False).alias("_taken")).unionByName(
         taken.select(*keys, F.lit(None).cast(requests.schema[seq].dataType).alias(seq), F.lit(True).alias("_taken")))

@@ -31,10 +31,12 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors, and gives
-    Spark the true size of the table for its join planning.
+    Spark the true size of the table for its join planning.  Staged tables lie
+    in one folder per application, to be removed after it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/staged/{app}/{label}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -8,12 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.paths import normalise_path
+from tidemark.functions.values import UNKNOWN_ERROR_CODE
 from tidemark.plans.storage import open_store, task_count
 from tidemark.schema import FAILURE, SUCCESS
 
-# Fixed value: code reported for an error without a code of its own.
-UNCATEGORIZED = "-2"
-
 _FETCHED = T.StructType([
     T.StructField("full_path", T.StringType()),
     T.StructField("content", T.BinaryType()),
@@ -36,7 +34,7 @@ def attach_content(listing: DataFrame, content: DataFrame) -> DataFrame:
     found = F.coalesce(F.col("_found"), F.lit(False))
     return (joined
             .withColumn("route", F.when(found, SUCCESS).otherwise(FAILURE))
-            .withColumn("error_code", F.when(~found, F.lit(UNCATEGORIZED)))
+            .withColumn("error_code", F.when(~found, F.lit(UNKNOWN_ERROR_CODE)))
             .withColumn("error_message", F.when(~found, F.concat(F.lit("no such file: "), F.col("full_path"))))
             .drop("_key", "_found"))
 
@@ -70,7 +68,7 @@ def fetch_content(listing: DataFrame, root: str, partitions: int | None = None)
                     pending.append((path, data, None, None))
                     held += len(data)
                 except (OSError, pa.ArrowException) as e:
-                    code = str(e.errno) if getattr(e, "errno", None) else UNCATEGORIZED
+                    code = str(e.errno) if getattr(e, "errno", None) else UNKNOWN_ERROR_CODE
                     pending.append((path, None, code, str(e)))
                 if held >= _CHUNK:
                     yield emit(pending)

@@ -122,7 +122,7 @@ def read_manifest(df: DataFrame, provider: str, spec: FilterSpec | None = None,
     etag = source("etag")
     spare = [c for c in df.columns if c not in names.values() and c != "extra"]
     pairs = [p for c in spare for p in (F.lit(c), F.col(c).cast("string"))]
-    extra = F.map_filter(F.create_map(*pairs).cast(ATTRS), lambda _, v: v.isNotNull())
+    extra = F.create_map(*pairs).cast(ATTRS)
     if "extra" in df.columns:
         extra = merge_attributes(extra, F.col("extra"))
     return df.select(

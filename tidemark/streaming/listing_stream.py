@@ -25,6 +25,10 @@ from tidemark.schema import DEFAULT_SCHEDULE, FAILURE, NO_FILES, SUCCESS
 from tidemark.sources.sinks import read_listing_ids, write_listing
 
 
+# Old states kept for runs that are repeated.
+KEPT_STATES = 5
+
+
 def schedule(interval: str | None = DEFAULT_SCHEDULE) -> dict:
     """Stream trigger: a timer, or everything there is now and stop."""
     return {"availableNow": True} if interval is None else {"processingTime": interval}
@@ -109,6 +113,7 @@ class TimestampListing:
         fresh.write.mode("overwrite").parquet(target)
         emitted = self.spark.read.schema(fresh.schema).parquet(target)
         self.store.write(next_state(emitted, state, self.by, self.key), version)
+        self.store.prune(KEPT_STATES)
         return emitted
 
 
@@ -134,4 +139,5 @@ class EntityListing:
         target = f"{out}/run={version}"
         emitted.write.mode("overwrite").parquet(target)
         self.store.write(following, version)
+        self.store.prune(KEPT_STATES)
         return self.spark.read.schema(emitted.schema).parquet(target)
