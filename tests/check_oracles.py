@@ -22,9 +22,11 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def compare(spark, con, fn, sql: str | None, sf_dir: str) -> str:
+def compare(spark, con, fn, sql: str | None, sf_dir: str, inspect=None) -> str:
     """Empty text if the query agrees with its oracle as a multiset of rows."""
     df = fn(spark, sf_dir)
+    if inspect is not None:
+        inspect(df)
     names = sorted(df.columns)
     got = sorted(map(repr, (tuple(r[c] for c in names) for r in df.select(*names).collect())))
     if sql is None:

@@ -161,7 +161,14 @@ def test_salted_join_agrees_with_plain_join(spark, how):
 def test_hot_keys(spark):
     large = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("k"))
     assert rows(hot_keys(large, ["k"], 300)) == [(7, 4)]
-    assert hot_keys(large, ["k"], 1000).isEmpty()
+    assert hot_keys(large, ["k"], 1000) is None and hot_keys(large, ["k"], 3000) is None
+
+
+def test_rows_without_a_key_are_kept_and_spread(spark):
+    large = spark.range(500).select("id", F.when(F.col("id") % 2 == 0, 1).alias("k"))
+    small = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(salted_join(large, small, ["k"], how, hot_rows=50)) == rows(large.join(small, "k", how))
 
 
 def test_salted_join_spreads_a_hot_key(spark):

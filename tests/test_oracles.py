@@ -11,9 +11,15 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
+def no_pairwise_joins_and_no_row_python(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "BatchEvalPython" not in text and "exchange singlepartition" not in text.lower()
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, sf_dir, name):
-    problem = compare(spark, con, queries()[name], oracle_sql().get(name), sf_dir)
+    problem = compare(spark, con, queries()[name], oracle_sql().get(name), sf_dir, no_pairwise_joins_and_no_row_python)
     # Some results are legitimately empty on tables this small.
     assert problem in ("", "no rows")
 

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tidemark.operators.predicates import FilterSpec, apply_filters
 from tidemark.operators.incremental import TIMESTAMP_STATE, new_since
 from tidemark.sources.inventory import read_manifest, scope
@@ -13,18 +12,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-EFFECTS = {"publish", "delete_files", "complete", "write_empty", "write_listing", "triggered_listing_stream", "route_messages_stream",
-           "dedupe_messages", "timestamp_listing_runs", "entity_listing_runs"}
-
-
-@pytest.mark.parametrize("name", sorted(set(queries()) - EFFECTS))
-def test_no_pairwise_joins_and_no_row_python(spark, sf_dir, name):
-    text = plan(queries()[name](spark, sf_dir))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text
-    assert "exchange singlepartition" not in text.lower()
-
-
 @pytest.fixture
 def manifest(spark, tmp_path):
     path = f"{tmp_path}/manifest"

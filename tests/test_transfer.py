@@ -25,20 +25,20 @@ def existing(spark, *data):
     return spark.createDataFrame(list(data), "host string, dest string").withColumn("share", F.lit("s"))
 
 
-@pytest.mark.parametrize("slices", [3, 16, 64])
-def test_running_number_in_slices(spark, slices):
+@pytest.mark.parametrize("hot_rows", [10, 50, 500, 5000])
+def test_running_number_in_slices(spark, hot_rows):
     """A hot group, repeated lead values and a second order column."""
     df = spark.range(5000).select(F.when(F.col("id") % 3 != 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
                                   (F.col("id") * 7919 % 600).alias("a"), F.col("id").alias("b"))
     w = Window.partitionBy("g").orderBy("a", "b")
     want = df.withColumn("rn", F.row_number().over(w).cast("bigint"))
-    got = running_number(df, ["g"], ["a", "b"], slices=slices, one_window_rows=0)
+    got = running_number(df, ["g"], ["a", "b"], hot_rows=hot_rows)
     assert rows(got, "g", "a", "b", "rn") == rows(want, "g", "a", "b", "rn")
 
 
 def test_slices_balance_a_hot_group(spark):
     df = spark.range(20_000).select(F.when(F.col("id") >= 0, "hot").alias("g"), "id")
-    got = running_number(df, ["g"], ["id"], slices=8, one_window_rows=0)
+    got = running_number(df, ["g"], ["id"], hot_rows=2_500)
     plan = got._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "row_number()" in line and "Window" in line]
     assert windows and all("_slice" in line for line in windows)
@@ -53,8 +53,8 @@ def test_batches(spark):
     assert rows(got.where("batch_no = 1"), "seq") == rows(transfer.next_batch(df, 4), "seq")
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_write_plan_one_by_one(spark, seed):
+@pytest.mark.parametrize("seed, hot_rows", [(1, 10**9), (2, 10**9), (3, 10), (4, 1)])
+def test_write_plan_one_by_one(spark, seed, hot_rows):
     """Against handling the requests in order, one at a time."""
     rnd = random.Random(seed)
     policy = {f"f{i}": rnd.choice(["replace", "ignore", "fail"]) for i in range(20)}
@@ -74,8 +74,13 @@ def test_write_plan_one_by_one(spark, seed):
         else:
             want.append((i, {"replace": "overwrite", "ignore": "skip", "fail": "reject"}[c]))
     existing_dirs = spark.createDataFrame(sorted(dirs), "host string, dest_dir string").withColumn("share", F.lit("s"))
-    plan = transfer.plan_writes(requests(spark, *reqs), existing(spark, *sorted(there), *sorted(there)), existing_dirs)
+    plan = transfer.plan_writes(requests(spark, *reqs), existing(spark, *sorted(there), *sorted(there)), existing_dirs, batch_size=7,
+                                hot_rows=hot_rows)
     assert rows(plan, "seq", "write_action") == sorted(want, key=repr)
+    order = {}
+    for i, h, *_ in sorted(reqs):
+        order.setdefault(h, []).append(i)
+    assert dict(rows(plan, "seq", "batch_no")) == {i: n // 7 + 1 for seqs in order.values() for n, i in enumerate(seqs)}
     routes = dict(rows(transfer.route_write(plan), "seq", "route"))
     assert routes == {i: "failure" if a in ("reject", "missing_directory") else "success" for i, a in want}
 

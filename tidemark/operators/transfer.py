@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.paths import ancestors, depth, join_path, parent
-from tidemark.plans.joins import estimated_bytes, join_checked, measure
-from tidemark.plans.ranking import ONE_WINDOW_ROWS, running_number
+from tidemark.plans.joins import HOT_ROWS, estimated_bytes, hot_keys, join_checked, measure
+from tidemark.plans.ranking import running_number
 from tidemark.schema import DEFAULT_BATCH_SIZE, FAILURE, SUCCESS
 
 TARGET = ["host", "share"]
@@ -26,9 +26,9 @@ def with_destination(requests: DataFrame) -> DataFrame:
 
 
 def assign_batches(requests: DataFrame, size: int = DEFAULT_BATCH_SIZE, by: list[str] | None = None,
-                   order: list[str] | None = None, one_window_rows: int = ONE_WINDOW_ROWS) -> DataFrame:
+                   order: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``batch_no``: batches of one host and share, at most ``size`` requests each, in order."""
-    numbered = running_number(requests, by or TARGET, order or ["seq"], "_rn", one_window_rows=one_window_rows)
+    numbered = running_number(requests, by or TARGET, order or ["seq"], "_rn", hot_rows)
     return numbered.withColumn("batch_no", F.ceil(F.col("_rn") / F.lit(size)).cast("bigint")).drop("_rn")
 
 
@@ -44,27 +44,45 @@ def next_batch(requests: DataFrame, size: int = DEFAULT_BATCH_SIZE, by: list[str
 
 
 def resolve_conflicts(requests: DataFrame, existing: DataFrame, by: list[str] | None = None,
-                      seq: str = "seq") -> DataFrame:
+                      seq: str = "seq", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``target_exists`` as each request sees it when handled one by one in ``seq`` order.
 
     Only the first request for a target can find the name free; any later one
-    meets the file of the first.  The first is found by a minimum (reduced on
-    the map side) and joined back on ``seq``, which must be unique in the whole
-    table, so a target that most requests write to is spread over all tasks.
-    Existing files join the same aggregation (one shuffle, no sort); when they
-    are many more than the requests, and the requests were measured to fit a
+    meets the file of the first.  One shuffle by target brings requests and
+    existing files together.  Targets with more than ``hot_rows`` rows do not
+    take part in it: their first ``seq`` comes from an aggregation reduced on
+    the map side, one row per target, and is broadcast.  When there are many
+    more files than requests, and the requests were measured to fit a
     broadcast, files that no request names never leave their tasks.
     """
     keys = [*(by or TARGET), "dest"]
     wanted, taken = requests.select(*keys), existing.select(*keys)
     if estimated_bytes(taken) > 8 * estimated_bytes(wanted) and measure(wanted):
         taken = taken.join(F.broadcast(wanted), keys, "left_semi")
-    sightings = requests.select(*keys, seq, F.lit(False).alias("_taken")).unionByName(
-        taken.select(*keys, F.lit(None).cast(requests.schema[seq].dataType).alias(seq), F.lit(True).alias("_taken")))
-    firsts = sightings.groupBy(*keys).agg(F.min(seq).alias(seq), F.bool_or("_taken").alias("_first_sees"))
-    return (requests.join(firsts.where(F.col(seq).isNotNull()).select(seq, "_first_sees"), seq, "left")
-            .withColumn("target_exists", F.coalesce("_first_sees", F.lit(True)))
-            .drop("_first_sees"))
+    hot = hot_keys(wanted.unionByName(taken), keys, hot_rows)
+    if hot is None:
+        return _first_come(requests, taken, keys, seq)
+    hot = F.broadcast(hot.select(*keys))
+    calm = _first_come(requests.join(hot, keys, "left_anti"), taken.join(hot, keys, "left_anti"), keys, seq)
+    crowd = requests.join(hot, keys, "left_semi")
+    firsts = _sightings(crowd.select(*keys, seq), taken.join(hot, keys, "left_semi")).groupBy(*keys).agg(
+        F.min(seq).alias("_first"), F.bool_or("_file").alias("_taken"))
+    crowd = crowd.join(F.broadcast(firsts), keys, "left")
+    return calm.unionByName(crowd.withColumn("target_exists", F.col("_taken") | (F.col(seq) > F.col("_first")))
+                            .drop("_first", "_taken"))
+
+
+def _sightings(requests: DataFrame, taken: DataFrame) -> DataFrame:
+    """Requests and existing files in one table, the files marked by ``_file``."""
+    return requests.withColumn("_file", F.lit(False)).unionByName(
+        taken.withColumn("_file", F.lit(True)), allowMissingColumns=True)
+
+
+def _first_come(requests: DataFrame, taken: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    target = Window.partitionBy(*keys)
+    exists = F.bool_or("_file").over(target) | (F.col(seq) > F.min(seq).over(target))
+    return (_sightings(requests, taken).withColumn("target_exists", exists)
+            .where(~F.col("_file")).drop("_file"))
 
 
 def _action(exists: Column, conflict: Column) -> Column:
@@ -76,7 +94,8 @@ def _action(exists: Column, conflict: Column) -> Column:
 
 def plan_writes(requests: DataFrame, existing: DataFrame, existing_dirs: DataFrame | None = None,
                 create_dirs: bool = False, batch_size: int | None = DEFAULT_BATCH_SIZE,
-                by: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
+                by: list[str] | None = None, order: list[str] | None = None,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Decide per request: create, overwrite, skip, reject or missing_directory.
 
     ``existing`` holds the files on the targets (``dest``), ``existing_dirs``
@@ -86,8 +105,8 @@ def plan_writes(requests: DataFrame, existing: DataFrame, existing_dirs: DataFra
     by = by or TARGET
     plan = requests if "dest" in requests.columns else with_destination(requests)
     if batch_size is not None:
-        plan = assign_batches(plan, batch_size, by, order)
-    plan = resolve_conflicts(plan, existing, by)
+        plan = assign_batches(plan, batch_size, by, order, hot_rows)
+    plan = resolve_conflicts(plan, existing, by, hot_rows=hot_rows)
     action = _action(F.col("target_exists"), F.col("conflict"))
     if not create_dirs and existing_dirs is not None:
         there = existing_dirs.select(*by, "dest_dir").distinct().withColumn("_there", F.lit(True))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,6 +24,7 @@ DEFAULT_LIMIT = BroadcastLimit()
 HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 10_000
 MAX_SALTS = 1_024
+HASH_BUCKETS = 1 << 20
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -52,15 +54,28 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def hot_keys(large: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(large: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys of a table with more than ``hot_rows`` rows, and into how many parts to split each.
 
-    One pass over the key columns, reduced on the map side.  The threshold
-    rises with the table so that there are never more than ``MAX_HOT_KEYS``;
-    the result is staged and small enough to broadcast by construction.
+    None when there are none, which for a table of no more rows than that costs
+    a row count.  Otherwise rows are first counted per hash bucket, and only
+    keys in crowded buckets are counted themselves, so the keys of the whole
+    table are never shuffled.  The threshold rises with the table: there are
+    never more than ``MAX_HOT_KEYS``, few enough to broadcast by construction.
     """
-    counts = stage(large.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows), "hot")
-    floor = max(hot_rows, (counts.agg(F.sum("_n")).first()[0] or 0) // MAX_HOT_KEYS)
+    if large.count() <= hot_rows:
+        return None
+    keyed = large.select(*on, F.pmod(F.xxhash64(*on), F.lit(HASH_BUCKETS)).alias("_bucket"))
+    crowded = stage(keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+                    .where(F.col("_n") > hot_rows).select("_bucket"), "crowded")
+    if crowded.isEmpty():
+        return None
+    counts = stage(keyed.join(F.broadcast(crowded), "_bucket", "left_semi").groupBy(*on)
+                   .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows), "hot")
+    total = counts.agg(F.sum("_n")).first()[0]
+    if total is None:
+        return None
+    floor = max(hot_rows, total // MAX_HOT_KEYS)
     parts = F.least(F.ceil(F.col("_n") / floor), F.lit(MAX_SALTS)).cast("int")
     return counts.where(F.col("_n") > floor).select(*on, parts.alias("_parts"))
 
@@ -71,17 +86,20 @@ def salted_join(large: DataFrame, small: DataFrame, on: list[str], how: str = "i
 
     Rows of a hot key get a salt from a hash of the row (the same when a task
     is retried); the rows of the small side with that key are repeated once per
-    salt.  All other keys join as usual.  ``how`` may be any join that keeps
-    rows of the large side only (inner, left, left_semi, left_anti).
+    salt.  Rows without a key match nothing and are spread freely.  All other
+    keys join as usual.  ``how`` may be any join that keeps rows of the large
+    side only (inner, left, left_semi, left_anti).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} cannot be salted")
     hot = hot_keys(large, on, hot_rows)
-    if hot.isEmpty():
+    if hot is None:
         return _equi_join(large, small, on, how, residual)
     hashable = [f.name for f in large.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    left = large.join(F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(
-        F.pmod(F.xxhash64(*hashable), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    spread = F.when(no_key, F.lit(MAX_SALTS)).otherwise(F.coalesce("_parts", F.lit(1)))
+    left = (large.join(F.broadcast(hot), on, "left")
+            .withColumn("_salt", F.pmod(F.xxhash64(*hashable), spread).cast("int")).drop("_parts"))
     right = small.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(
         F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
     return _equi_join(left, right, [*on, "_salt"], how, residual).drop("_salt").select(

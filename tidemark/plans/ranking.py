@@ -4,53 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Up to this many rows in all, no group can overload one task.
-ONE_WINDOW_ROWS = 4_000_000
+from tidemark.plans.joins import HOT_ROWS, hot_keys, measure
+from tidemark.plans.storage import stage
 
 
 def running_number(df: DataFrame, by: list[str], order: list[str], out: str = "rn",
-                   slices: int | None = None, one_window_rows: int = ONE_WINDOW_ROWS) -> DataFrame:
-    """``row_number() over (partition by … order by …)`` without one task per group.
-
-    The leading order column (numeric) is cut into ``slices`` value ranges of
-    about equal row count.  Rows are numbered within (group, range) by one
-    window, and each range is moved up by the number of rows its group has in
-    the ranges before it.  Range bounds affect only the balance, never the
-    result, because those counts are exact.  A group with a third of all rows
-    thus takes ``slices`` tasks; the leading column should not repeat one value
-    for most of the rows.  Tables that are small as a whole use one window.
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``row_number() over (partition by … order by …)`` for groups of any size.
+
+    Groups of up to ``hot_rows`` rows are numbered by that window.  A larger
+    group is cut into value ranges of its leading order column (numeric), of
+    about equal row count; rows are numbered within (group, range) and moved up
+    by the number of rows in the ranges before.  The bounds affect only the
+    balance, never the result, because those counts are exact.  The leading
+    column should not repeat one value for most of a group.
     """
-    if df.count() <= one_window_rows:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    hot = hot_keys(df, by, hot_rows)
+    if hot is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
     lead = F.col(order[0]).cast("double")
-    if slices is None:
-        slices = min(4096, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+    slices = hot.agg(F.max("_parts")).first()[0]
     probs = [i / slices for i in range(1, slices)]
-    bounds = df.agg(F.percentile_approx(lead, probs, 10_000)).first()[0]
-    return _number_slices(df.withColumn("_slice", _position(lead, sorted(set(bounds)))), by, order, out)
+    bounds = stage(df.join(F.broadcast(hot.drop("_parts")), by).groupBy(*by)
+                   .agg(F.percentile_approx(lead, probs, 10_000).alias("_bounds")), "bounds")
+    sliced = (df.join(F.broadcast(bounds), by, "left")
+              .withColumn("_slice", F.when(F.col("_bounds").isNull(), F.lit(0))
+                          .otherwise(_position(lead, F.col("_bounds"), slices - 1)))
+              .drop("_bounds"))
+    part = [*by, "_slice"]
+    counts = sliced.join(F.broadcast(hot.drop("_parts")), by, "left_semi").groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stage(counts.select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "offsets")
+    if measure(offsets):
+        offsets = F.broadcast(offsets)
+    local = Window.partitionBy(*part).orderBy(*order)
+    return (sliced.withColumn(out, F.row_number().over(local).cast("bigint"))
+            .join(offsets, part, "left")
+            .withColumn(out, F.col(out) + F.coalesce("_offset", F.lit(0)))
+            .drop("_slice", "_offset").select(*df.columns, out))
 
 
-def _position(x: Column, bounds: list[float]) -> Column:
-    """Number of bounds below ``x``, by binary search in a constant array."""
-    n = len(bounds)
+def _position(x: Column, bounds: Column, n: int) -> Column:
+    """Number of the ``n`` ascending bounds below ``x``, by binary search."""
     steps = [1 << k for k in reversed(range(n.bit_length()))]
-    table = F.array(*[F.lit(float(b)) for b in bounds])
 
     def step(pos: Column, k: Column) -> Column:
-        onward = (pos + k <= n) & (F.get(table, pos + k - 1) < x)
+        onward = (pos + k <= n) & (F.get(bounds, pos + k - 1) < x)
         return F.when(onward, pos + k).otherwise(pos)
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
-
-
-def _number_slices(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
-    part = [*by, "_slice"]
-    counts = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    local = Window.partitionBy(*part).orderBy(*order)
-    return (df.withColumn(out, F.row_number().over(local).cast("bigint"))
-            .join(offsets, part)
-            .withColumn(out, F.col(out) + F.col("_offset"))
-            .drop("_slice", "_offset"))
