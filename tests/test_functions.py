@@ -126,8 +126,8 @@ def test_initial_timestamp(spark):
 
 def test_quantities(spark):
     assert apply(spark, fn.parse_size, "10 MB", "1.5KB", "7 b", "5", "x KB", None) == [10485760.0, 1536.0, 7.0, None, None, None]
-    assert apply(spark, fn.parse_duration, "5 secs", "1 hour", "2d", "1.5 min", "300 ms", "9") == [
-        5000, 3600000, 172800000, 90000, 300, None]
+    assert apply(spark, fn.parse_duration, "5 secs", "1 hour", "2d", "1.5 min", "300 ms", "9",
+                 "9999999999999999999999 days") == [5000, 3600000, 172800000, 90000, 300, None, None]
 
 
 def test_root_cause(spark):
@@ -138,6 +138,8 @@ def test_root_cause(spark):
     assert tuple(deep) == ("Inner", "i")
     assert tuple(one(spark, fn.root_cause(causes(("Outer", "o"), ("Inner", None))))) == ("Inner", "o")
     assert tuple(one(spark, fn.root_cause(causes(("Outer", "o"), ("Inner", "i")), deepest=False))) == ("Outer", "o")
+    none = F.array().cast("array<struct<class:string,message:string>>")
+    assert tuple(one(spark, fn.root_cause(none))) == (None, None)
 
 
 def test_auth_mode(spark):

@@ -29,11 +29,11 @@ def merge_attributes(trigger: Column, listing: Column) -> Column:
 
 def classify_error(code: Column) -> Column:
     """``not found`` for the three missing-file codes, else ``failure``."""
-    return F.when(code.cast("bigint").isin(*MISSING_FILE_CODES), F.lit(NOT_FOUND)).otherwise(F.lit(FAILURE))
+    return F.when(code.try_cast("bigint").isin(*MISSING_FILE_CODES), F.lit(NOT_FOUND)).otherwise(F.lit(FAILURE))
 
 
 def error_code_text(code: Column) -> Column:
-    return F.coalesce(code.cast("bigint").cast("string"), F.lit(UNKNOWN_ERROR_CODE))
+    return F.coalesce(code.try_cast("bigint").cast("string"), F.lit(UNKNOWN_ERROR_CODE))
 
 
 def parse_initial_timestamp(s: Column) -> Column:
@@ -139,7 +139,7 @@ def parse_size(s: Column) -> Column:
 def parse_duration(s: Column) -> Column:
     """``"5 secs"`` to whole milliseconds; null if malformed."""
     units = [(name, factor) for names, factor in DURATION_UNITS.items() for name in names]
-    return _quantity(s, units).cast("bigint")
+    return _quantity(s, units).try_cast("bigint")
 
 
 def root_cause(causes: Column, deepest: bool = True) -> Column:
@@ -148,10 +148,10 @@ def root_cause(causes: Column, deepest: bool = True) -> Column:
     ``deepest`` takes the last cause and falls back to the outer message when
     that one has none (file shares); otherwise the outer error is reported.
     """
-    outer = F.element_at(causes, 1)
+    outer = F.try_element_at(causes, F.lit(1))
     if not deepest:
         return F.struct(outer["class"].alias("class"), outer["message"].alias("message"))
-    inner = F.element_at(causes, -1)
+    inner = F.try_element_at(causes, F.lit(-1))
     return F.struct(inner["class"].alias("class"), F.coalesce(inner["message"], outer["message"]).alias("message"))
 
 

@@ -74,8 +74,9 @@ class _Facts:
 def _facts(t: DataFrame, limit: BroadcastLimit) -> _Facts:
     """Measure a trigger table: size, folder depths, and its patterns if they are few.
 
-    One job over at most ``limit.rows + 1`` rows; a larger table takes a second
-    one for its depths, of which there are as many as folder levels.
+    One job over at most ``limit.rows + 1`` rows; a larger table takes further
+    ones for its depths (as many as folder levels) and its patterns, of which
+    no more come back than may become constants.
     """
     few = CONSTANT_PATTERNS + 1
     depths = F.collect_set(depth(F.col("t_anchor")))
@@ -84,7 +85,9 @@ def _facts(t: DataFrame, limit: BroadcastLimit) -> _Facts:
         F.slice(F.collect_set("t_file"), 1, few), F.slice(F.collect_set("t_path"), 1, few)).first()
     fits = n <= limit.rows and size <= limit.bytes
     if n > limit.rows:
-        levels, files, paths = t.agg(depths).first()[0], [""] * few, [""] * few
+        levels = t.agg(depths).first()[0]
+        files, paths = [[r[0] for r in t.select(c).where(F.col(c).isNotNull()).distinct().limit(few).collect()]
+                        for c in ("t_file", "t_path")]
     return _Facts(fits, sorted(levels),
                   files if len(files) < few else None, paths if len(paths) < few else None)
 
