@@ -8,6 +8,7 @@ from tidemark.operators.incremental import (
     ENTITY_STATE, TIMESTAMP_STATE, changed_entities, fingerprint, initial_floor, latest_per_path, new_since, next_state,
     surviving_state, track_entities, watermark_floor,
 )
+from tidemark.plans.joins import BroadcastLimit
 from tidemark.plans.state import StateStore
 from tidemark.streaming import EntityListing, TimestampListing
 
@@ -50,8 +51,8 @@ def test_keys_gather_while_the_time_stands_still(spark):
     assert rows(next_state(nothing, state), "key") == [("tie",), ("x",)]  # a run without news keeps the state
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_cycles_by_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, limit", [(1, BroadcastLimit()), (2, BroadcastLimit(0, 0))])
+def test_cycles_by_brute_force(spark, seed, limit):
     rnd = random.Random(seed)
     state, known = empty(spark, TIMESTAMP_STATE), {}
     snapshot = {}
@@ -70,9 +71,9 @@ def test_cycles_by_brute_force(spark, seed):
                 known[c] = (t, {k})
             elif t == newest:
                 known[c] = (t, keys | {k})
-        fresh = new_since(inv(spark, *[(c, k, t, 1) for (c, k), t in snapshot.items()]), state)
+        fresh = new_since(inv(spark, *[(c, k, t, 1) for (c, k), t in snapshot.items()]), state, limit=limit)
         assert rows(fresh, "container", "full_path") == sorted(want, key=repr)
-        state = next_state(fresh, state)
+        state = next_state(fresh, state, limit=limit)
         assert rows(state, "container", "key") == sorted(((c, k) for c, (_, ks) in known.items() for k in ks), key=repr)
 
 

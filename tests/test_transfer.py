@@ -188,10 +188,10 @@ def test_complete(spark, tmp_path):
 def test_fetch(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "f").write_bytes(b"\x00\xff")
-    listing = spark.createDataFrame([("d/f",), ("d/none",), ("d",)], "full_path string")
+    listing = spark.createDataFrame([("d/f",), ("d/none",), ("d",), (None,)], "full_path string")
     got = {r["full_path"]: r for r in fetch_content(listing, str(tmp_path), partitions=2).collect()}
     assert (got["d/f"]["route"], bytes(got["d/f"]["content"])) == ("success", b"\x00\xff")
-    for bad in ("d/none", "d"):
+    for bad in ("d/none", "d", None):
         assert got[bad]["route"] == "failure" and got[bad]["content"] is None and got[bad]["error_code"] and got[bad]["error_message"]
 
 

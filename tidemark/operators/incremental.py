@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.plans.joins import join_checked, measure
+from tidemark.plans.joins import DEFAULT_LIMIT, BroadcastLimit, join_checked, measure
 from tidemark.plans.storage import stage
 
 TIMESTAMP_STATE = T.StructType([
@@ -27,7 +27,7 @@ def no_tracking(inv: DataFrame, state: DataFrame | None = None) -> DataFrame:
 
 
 def next_state(emitted: DataFrame, previous: DataFrame | None = None, by: str = "container",
-               key: str = "full_path") -> DataFrame:
+               key: str = "full_path", limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """Newest time per listing and, as rows, every key that shares it.
 
     Takes the rows a run emitted and the state before it, so that keys gather
@@ -39,14 +39,15 @@ def next_state(emitted: DataFrame, previous: DataFrame | None = None, by: str =
     if previous is not None:
         rows = rows.unionByName(previous.select(by, "newest", "key"))
     newest = stage(rows.groupBy(by).agg(F.max("newest").alias("newest")), "newest")
-    if measure(newest):
+    if measure(newest, limit):
         kept = rows.join(F.broadcast(newest), [by, "newest"], "left_semi")
     else:
         kept = rows.join(newest, [by, "newest"], "left_semi")
     return kept.distinct()
 
 
-def new_since(inv: DataFrame, state: DataFrame, by: str = "container", key: str = "full_path") -> DataFrame:
+def new_since(inv: DataFrame, state: DataFrame, by: str = "container", key: str = "full_path",
+              limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """Files newer than the stored time, and files at that time whose key is not stored.
 
     The stored times are one row per listing; the key test is an anti-join on
@@ -55,11 +56,10 @@ def new_since(inv: DataFrame, state: DataFrame, by: str = "container", key: str
     is the remedy.
     """
     times = state.groupBy(by).agg(F.max("newest").alias("_newest"))
-    fits = measure(times)
-    later = join_checked(inv, times, [by], "left", fits=fits)
+    later = join_checked(inv, times, [by], "left", limit=limit)
     later = later.where(F.col("_newest").isNull() | (F.col("last_modified") >= F.col("_newest")))
     keys = state.select(F.col(by), F.col("newest").alias("last_modified"), F.col("key").alias(key)).distinct()
-    if measure(keys):
+    if measure(keys, limit):
         keys = F.broadcast(keys)
     fresh = later.join(keys, [by, "last_modified", key], "left_anti")
     return fresh.select(*inv.columns)

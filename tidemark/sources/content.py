@@ -63,7 +63,7 @@ def fetch_content(listing: DataFrame, root: str, partitions: int | None = None)
         for batch in batches:
             for path in batch.column("full_path").to_pylist():
                 try:
-                    with store.open_input_stream(f"{folder}/{path.lstrip('/')}") as f:
+                    with store.open_input_stream(f"{folder}/{(path or '').lstrip('/')}") as f:
                         data = f.read()
                     pending.append((path, data, None, None))
                     held += len(data)
