@@ -77,7 +77,7 @@ SELECT s_suppkey AS trigger_id, concat('src', CAST(s_suppkey % 24 AS VARCHAR)) A
  nullif(trim(CASE s_suppkey % 3 WHEN 0 THEN '.*[.]csv' WHEN 1 THEN ' ' ELSE 'doc_[0-9]*1.*' END), '') AS ff
 FROM supplier""",
     "req": """
-SELECT CAST(((((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey) * 100) + l_quantity AS BIGINT) AS seq,
+SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS seq,
  container AS host, 'share' AS share, directory, filename, concat_ws('/', directory, filename) AS dest, last_modified,
  CASE l_suppkey % 3 WHEN 0 THEN 'replace' WHEN 1 THEN 'ignore' ELSE 'fail' END AS conflict,
  l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
