@@ -5,6 +5,8 @@ from __future__ import annotations
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from tidemark.plans.joins import BroadcastLimit
 
@@ -34,3 +36,40 @@ def without(df: DataFrame, names: list[str]) -> list[Column]:
     """The columns of ``df`` except those that an operator sets itself."""
     taken = {n.lower() for n in names}
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
+
+
+#: Text bytes that a Python task handles and returns at a time.
+SLICE_BYTES = 8 * 1024 * 1024
+
+
+def add_from_text(df: DataFrame, added: str, start, text: str = "text") -> DataFrame:
+    """``df`` with columns computed from its text column by Python tasks, Arrow batch by Arrow batch.
+
+    ``added`` is the schema of the new columns as DDL; ``start()`` is called once
+    per task and returns a function from a list of texts (None included) to one
+    Arrow array or list per new column.  Other columns pass through untouched.
+    """
+    names = [f.name for f in StructType.fromDDL(added).fields]
+    kept = df.select(*without(df, names))
+    schema = StructType(kept.schema.fields + StructType.fromDDL(added).fields)
+    kinds = [to_arrow_type(f.dataType) for f in StructType.fromDDL(added).fields]
+    at = [c.lower() for c in kept.columns].index(text)
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        work = start()
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).cumsum()
+            first = 0
+            while first < batch.num_rows:
+                upto = (int(sizes[first - 1]) if first else 0) + SLICE_BYTES
+                last = max(first + 1, int(sizes.searchsorted(upto, side="right")))
+                part = batch.slice(first, last - first)
+                columns = [c if isinstance(c, pa.Array) else pa.array(c, kind)
+                           for c, kind in zip(work(part.column(at).to_pylist()), kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=schema.names)
+                first = last
+
+    return kept.mapInArrow(run, schema)
