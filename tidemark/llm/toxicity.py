@@ -47,9 +47,12 @@ def features_of(word: str) -> list[str]:
 def _document_features(text: Column) -> Column:
     """Distinct features of a text, as ``features_of`` makes them."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(\p{L}+)")))
-    begins = [F.array_distinct(F.transform(F.filter(words, lambda w, n=n: F.char_length(w) >= n),
-                                           lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))) for n in PREFIXES]
-    return F.concat(words, *begins)
+
+    def begins(n: int) -> Column:
+        long = F.filter(words, lambda w: F.char_length(w) >= n)
+        return F.array_distinct(F.transform(long, lambda w: F.concat(F.substring(w, 1, n), F.lit("*"))))
+
+    return F.concat(words, *map(begins, PREFIXES))
 
 
 def select_features(train: DataFrame, size: int = FEATURES, min_docs: int = MIN_DOCS) -> list[str]:
