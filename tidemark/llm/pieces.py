@@ -11,7 +11,9 @@ where a text has no spaces.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from array import array
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,8 +21,8 @@ from tidemark.llm.common import add_from_text, table
 from tidemark.llm.registry import query
 
 SPACE = "▁"
-#: Units kept per task with their ids; units longer than the second number are not kept.
-MEMO_UNITS, MEMO_CHARS = 200_000, 48
+#: Units that a Python process keeps with their ids (twice as many at most), and their length at most.
+MEMO_UNITS, MEMO_CHARS, MEMO_PAIRS = 400_000, 48, 500_000
 
 
 def read_model(path: str) -> dict:
@@ -37,7 +39,8 @@ def read_model(path: str) -> dict:
     letters = {c for p in pieces for c in p}
     if not letters <= pieces.keys() or any(a != SPACE and b == SPACE for p in pieces for a, b in zip(p, p[1:])):
         raise ValueError("pieces must be made of letters that are pieces, with spaces only in front")
-    return {"pieces": pieces, "bytes": byte_ids}
+    name = hashlib.sha256(repr((sorted(pieces.items()), byte_ids)).encode()).hexdigest()
+    return {"name": name, "pieces": pieces, "bytes": byte_ids}
 
 
 class PrefixTable:
@@ -47,19 +50,26 @@ class PrefixTable:
         import ahocorasick
 
         self.pieces, self.byte_ids = model["pieces"], model["bytes"]
-        self.text_of = {i: p for p, (i, _) in self.pieces.items()}
-        self.byte_of = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        size = 1 + max([*(i for i, _ in self.pieces.values()), *self.byte_ids])
+        self.text_of, self.length_of, self.byte_of = [""] * size, [0] * size, {}
         self.automaton = ahocorasick.Automaton()
         for piece, (i, _) in self.pieces.items():
-            self.automaton.add_word(piece, (i, len(piece)))
+            self.text_of[i], self.length_of[i] = piece, len(piece)
+            self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
-        known = "".join(re.escape(p) for p in self.pieces if len(p) == 1)
+        for b, i in enumerate(self.byte_ids):
+            self.byte_of[i] = bytes([b])
+            self.text_of[i] = chr(b) if b < 128 else ""
+        self.high_bytes = frozenset(self.byte_ids[128:])
+        self.letters = frozenset(p for p in self.pieces if len(p) == 1)
+        known = "".join(map(re.escape, self.letters))
         self.runs = re.compile(f"[{known}]+|[^{known}]")
+        self.neighbours = {p[k:k + 2] for p in self.pieces for k in range(len(p) - 1)}
         # No merge crosses the place before a space that follows something else, nor an unknown line end.
         end = "" if "\n" in self.pieces else "\n"
         self.units = re.compile(f"{SPACE}*[^{SPACE}{end}]+|{SPACE}+" + (f"|{end}" if end else ""))
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.encoded = _Memo(self.encode_unit)
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text by merging, best score first, leftmost on ties."""
@@ -74,59 +84,95 @@ class PrefixTable:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def stands_alone(self, token: int) -> bool:
-        known = self.alone.get(token)
-        if known is None:
-            known = self.alone[token] = len(self.merge(self.text_of[token])) == 1
-        return known
-
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            a, b = self.text_of[left], self.text_of[right]
-            known = self.pairs[left, right] = self.merge(a + b) == [a, b]
+        """Whether two tokens stay as they are side by side; with ``left`` -1, whether one does alone."""
+        a, b = self.text_of[left] if left >= 0 else "", self.text_of[right]
+        if len(self.pairs) > MEMO_PAIRS:
+            self.pairs.clear()
+        known = self.pairs[(left + 1) << 20 | right] = self.merge(a + b) == ([a, b] if a else [b])
         return known
 
     def _encode_run(self, run: str) -> list[int]:
-        last = [-1] * (len(run) + 1)
-        for end, (token, length) in self.automaton.iter(run):
-            if last[end + 1] < 0:
-                before = end + 1 - length
-                if self.stands_alone(token) if before == 0 else last[before] >= 0 and self.compatible(last[before], token):
-                    last[end + 1] = token
+        last, known, length_of = [-1] * (len(run) + 1), self.pairs.get, self.length_of
+        for end, token in self.automaton.iter(run):
+            end += 1
+            if last[end] < 0:
+                before = end - length_of[token]
+                left = last[before] if before else -1
+                if left >= 0 or not before:
+                    fits = known((left + 1) << 20 | token)
+                    if self.compatible(left, token) if fits is None else fits:
+                        last[end] = token
         ids, at = [], len(run)
         while at:
             ids.append(last[at])
-            at -= len(self.text_of[last[at]])
+            at -= length_of[last[at]]
         return ids[::-1]
 
-    def encode_unit(self, unit: str) -> list[int]:
-        ids: list[int] = []
-        for run in self.runs.findall(unit):
-            ids += self._encode_run(run) if run[0] in self.pieces else [self.byte_ids[b] for b in run.encode()]
-        return ids
+    def encode_unit(self, unit: str) -> bytes:
+        """Ids as 32-bit integers.  No merge joins two letters that are neighbours in no piece, so a unit may be cut there."""
+        if 1 < len(unit) <= MEMO_CHARS and unit[-2:] not in self.neighbours:  # as before a full stop
+            return self.encoded[unit[:-1]] + self.encoded[unit[-1]]
+        if self.letters.issuperset(unit):
+            return array("i", self._encode_run(unit)).tobytes()
+        return array("i", [i for run in self.runs.findall(unit) for i in (
+            self._encode_run(run) if run[0] in self.letters else [self.byte_ids[b] for b in run.encode()])]).tobytes()
 
     def split(self, text: str) -> list[str]:
         """Parts of a text that encode one by one; the text gets a space in front."""
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces and bytes in order, without the space in front."""
-        out, pending = [], []
-        for i in ids:
-            if i in self.byte_of:
-                pending.append(self.byte_of[i])
-                continue
-            if pending:
-                out.append(b"".join(pending).decode("utf-8", "replace"))
-                pending = []
-            out.append(self.text_of[i])
-        out.append(b"".join(pending).decode("utf-8", "replace"))
-        text = "".join(out)
+        if self.high_bytes.isdisjoint(ids):
+            text = "".join(map(self.text_of.__getitem__, ids))
+        else:
+            out, pending = [], []
+            for i in ids:
+                if i in self.byte_of:
+                    pending.append(self.byte_of[i])
+                    continue
+                if pending:
+                    out.append(b"".join(pending).decode("utf-8", "replace"))
+                    pending = []
+                out.append(self.text_of[i])
+            text = "".join(out) + b"".join(pending).decode("utf-8", "replace")
         return (text[1:] if text.startswith(SPACE) else text).replace(SPACE, " ")
 
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as 32-bit integers."""
+        return b"".join(map(self.encoded.__getitem__, self.split(text)))
+
+
+class _Memo(dict):
+    """Ids of units met before, as bytes.  When full, the older half is forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.make(unit)
+        if len(unit) <= MEMO_CHARS:
+            if len(self) >= MEMO_UNITS:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = ids
+        return ids
+
+
+#: The coder of this Python process, with what it has learned from earlier tasks.
+_CODER: dict[str, PrefixTable] = {}
+
+
+def coder_for(model: dict) -> PrefixTable:
+    if model["name"] not in _CODER:
+        _CODER.clear()
+        _CODER[model["name"]] = PrefixTable(model)
+    return _CODER[model["name"]]
+
 
 def encode_texts(docs: DataFrame, model_path: str, decode: bool = True) -> DataFrame:
     """``docs`` with ``ids`` (array of int) and, if asked for, ``decoded`` text.
@@ -140,49 +186,17 @@ def encode_texts(docs: DataFrame, model_path: str, decode: bool = True) -> DataF
     model = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
 
     def start():
-        from array import array
-
         import numpy as np
         import pyarrow as pa
 
-        coder = PrefixTable(model.value)
-
-        class Memo(dict):
-            def __missing__(self, unit: str) -> bytes:
-                ids = array("i", coder.encode_unit(unit)).tobytes()
-                if len(unit) <= MEMO_CHARS:
-                    if len(self) >= MEMO_UNITS:
-                        self.clear()
-                    self[unit] = ids
-                return ids
-
-        encoded, surfaces = Memo(), {}
-
-        def surface(ids: bytes, unit: str) -> str:
-            # A unit's byte ids are whole letters, so units decode one by one.
-            text = surfaces.get(unit)
-            if text is None:
-                numbers = array("i")
-                numbers.frombytes(ids)
-                text = coder.decode([coder.pieces[SPACE][0], *numbers])
-                if len(unit) <= MEMO_CHARS:
-                    if len(surfaces) >= MEMO_UNITS:
-                        surfaces.clear()
-                    surfaces[unit] = text
-            return text
+        coder = coder_for(model.value)
 
         def work(texts: list[str | None]):
-            raw, ends, back = [], [0], []
-            for text in texts:
-                units = coder.split(text or "")
-                ids = [encoded[u] for u in units]
-                raw.append(b"".join(ids))
-                ends.append(ends[-1] + len(raw[-1]) // 4)
-                if decode:
-                    back.append("".join(map(surface, ids, units))[1:])
+            raw = [coder.encode(text or "") for text in texts]
             values = pa.array(np.frombuffer(b"".join(raw), dtype=np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(np.array(ends, dtype=np.int32)), values)
-            return [lists, back] if decode else [lists]
+            ends = np.cumsum([0, *(len(r) // 4 for r in raw)])
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+            return [lists, [coder.decode(array("i", r).tolist()) for r in raw]] if decode else [lists]
 
         return work
 
