@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline over documents, embeddings and pages."""
 
 from tidemark.llm.registry import ORACLES, QUERIES
-from tidemark.llm import licenses, line_dedup, mixing, ngram_join, pieces, secrets, toxicity, url_filter  # noqa: F401  (registration)
+from tidemark.llm import embedding_dedup, licenses, line_dedup, mixing, ngram_join, pieces, secrets, toxicity, url_filter  # noqa: F401  (registration)
 
 __all__ = ["ORACLES", "QUERIES"]
