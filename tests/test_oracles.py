@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidemark.catalog import QUERIES
 from check_oracles import compare, connect
 
 
@@ -17,7 +18,7 @@ def no_pairwise_joins_and_no_row_python(df):
     assert "BatchEvalPython" not in text and "exchange singlepartition" not in text.lower()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
     problem = compare(spark, con, queries()[name], oracle_sql().get(name), sf_dir, no_pairwise_joins_and_no_row_python)
     # Some results are legitimately empty on tables this small.
