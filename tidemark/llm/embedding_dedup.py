@@ -22,6 +22,8 @@ from tidemark.plans.storage import stage
 
 #: Vectors that rotations are learned on, at most (by hash of the id), and learning rounds.
 SAMPLE, ROUNDS = 20_000, 30
+#: Rotations learned, before random ones follow, and pairs that misses are measured on at least.
+LEARNED, TRIALS = 24, 4_000
 #: Chance, measured on the sample, that a pair exactly at the threshold agrees in no table.
 MISS = 5e-4
 #: Vectors that share a code on average, rows per task, and vectors compared at a time.
@@ -55,22 +57,29 @@ def learn_codes(sample, count: int, threshold: float):
 
     rng, dim = np.random.default_rng(20), sample.shape[1]
     bits = min(30, max(4, math.ceil(math.log2(max(1, count / PER_CODE)))))
-    aside = rng.standard_normal(sample.shape)
-    aside -= cosines(aside, sample)[:, None] * sample
+    pairs = np.tile(sample, (math.ceil(TRIALS / len(sample)), 1))[:max(TRIALS, len(sample))]
+    aside = rng.standard_normal(pairs.shape)
+    aside -= cosines(aside, pairs)[:, None] * pairs
     norms = np.sqrt(cosines(aside, aside))[:, None]
-    moved = threshold * sample + math.sqrt(max(0.0, 1 - threshold ** 2)) * aside / np.where(norms > 0, norms, 1)
-    rotations, agreed, tables = [], np.zeros(len(sample), bool), 0
-    while tables < 4_000 and (agreed.mean() < 1 - MISS or tables < 4):
-        need = (tables + 1) * bits
-        while len(rotations) * dim < need:
-            rotations.append(learn_rotation(sample, rng))
-        one, two = (np.hstack([(x - m) @ r >= 0 for m, r in rotations])[:, tables * bits:need] for x in (sample, moved))
-        agreed |= (one == two).all(axis=1)
-        tables += 1
-    # A safe multiple, because the sample shows only so many misses.
+    moved = threshold * pairs + math.sqrt(max(0.0, 1 - threshold ** 2)) * aside / np.where(norms > 0, norms, 1)
+    rotations, agreed, equal, tables = [], np.zeros(len(pairs), bool), np.zeros((len(pairs), 0), bool), 0
+
+    def more():
+        # Few or flat vectors may lead to the same rotation again and again; later ones are left as drawn.
+        learned = learn_rotation(sample, rng) if len(rotations) < LEARNED else (
+            np.zeros(dim), np.linalg.qr(rng.standard_normal((dim, dim)))[0])
+        rotations.append(learned)
+        return (((pairs - learned[0]) @ learned[1] >= 0) == ((moved - learned[0]) @ learned[1] >= 0))
+
+    while agreed.mean() < 1 - MISS:
+        while equal.shape[1] < bits:
+            equal = np.hstack([equal, more()])
+        agreed |= equal[:, :bits].all(axis=1)
+        equal, tables = equal[:, bits:], tables + 1
+    # A safe multiple, because the trials show only so many misses.
     tables = math.ceil(tables * 1.2)
     while len(rotations) * dim < tables * bits:
-        rotations.append(learn_rotation(sample, rng))
+        more()
     return rotations, bits, tables
 
 

@@ -11,6 +11,7 @@ where a text has no spaces.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import re
 from array import array
@@ -43,6 +44,10 @@ def read_model(path: str) -> dict:
     return {"name": name, "pieces": pieces, "bytes": byte_ids}
 
 
+# Every byte that is part of no letter becomes a replacement character of its own.
+codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
+
+
 class PrefixTable:
     """Encoder and decoder over the vocabulary that ``read_model`` gives."""
 
@@ -133,10 +138,10 @@ class PrefixTable:
                     pending.append(self.byte_of[i])
                     continue
                 if pending:
-                    out.append(b"".join(pending).decode("utf-8", "replace"))
+                    out.append(b"".join(pending).decode("utf-8", "each_byte"))
                     pending = []
                 out.append(self.text_of[i])
-            text = "".join(out) + b"".join(pending).decode("utf-8", "replace")
+            text = "".join(out) + b"".join(pending).decode("utf-8", "each_byte")
         return (text[1:] if text.startswith(SPACE) else text).replace(SPACE, " ")
 
     def encode(self, text: str) -> bytes:
