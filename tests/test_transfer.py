@@ -6,10 +6,11 @@ from conftest import rows
 from pyspark.sql import Window, functions as F
 
 from tidemark.operators import transfer
-from tidemark.operators.effects import complete, delete_files, publish
+from tidemark.operators.effects import complete, delete_files, fetch_commit_complete, publish
 from tidemark.operators.routes import route_delete
 from tidemark.plans.ranking import running_number
-from tidemark.sources.content import attach_content, fetch_content
+from tidemark.plans.storage import stage
+from tidemark.sources.content import attach_content, fetch_chunks, fetch_content
 from tidemark.sources.inventory import scan_inventory
 from tidemark.sources.sinks import read_listing_ids, write_empty, write_listing
 from tidemark.schema import INVENTORY
@@ -131,28 +132,91 @@ def plan_of(spark, reqs, there=()):
 
 @pytest.mark.parametrize("suffix", [None, ".part", " "])
 def test_publish(spark, tmp_path, suffix):
-    (tmp_path / "d").mkdir()
-    (tmp_path / "d" / "old").write_bytes(b"old")
+    base = tmp_path / "h" / "s"
+    (base / "d").mkdir(parents=True)
+    (base / "d" / "old").write_bytes(b"old")
     reqs = [(1, "h", "d", "new", "fail", b"1"), (2, "h", "d/e", "deep", "replace", b"2"), (3, "h", "d", "old", "replace", b"3"),
             (4, "h", "d", "new", "fail", b"4"), (5, "h", "d/e", "deep", "replace", b"5"), (6, "h", "d", "empty", "fail", b"")]
     out = publish(*plan_of(spark, reqs, [("h", "d/old")]), str(tmp_path), suffix)
     got = {r["seq"]: (r["write_action"], r["done"]) for r in out.collect()}
     assert got == {1: ("create", True), 2: ("create", True), 3: ("overwrite", True), 4: ("reject", None), 5: ("overwrite", True),
                    6: ("create", True)}
-    assert (tmp_path / "d" / "new").read_bytes() == b"1"
-    assert (tmp_path / "d/e/deep").read_bytes() == b"5"  # the last write counts
-    assert (tmp_path / "d" / "old").read_bytes() == b"3"
-    assert (tmp_path / "d" / "empty").read_bytes() == b""
+    assert (base / "d" / "new").read_bytes() == b"1"
+    assert (base / "d/e/deep").read_bytes() == b"5"  # the last write counts
+    assert (base / "d" / "old").read_bytes() == b"3"
+    assert (base / "d" / "empty").read_bytes() == b""
     assert not [f for _, _, fs in os.walk(tmp_path) for f in fs if "part" in f]
 
 
 def test_publish_reports_errors_per_file(spark, tmp_path):
-    (tmp_path / "blocked").write_bytes(b"a file where a folder is needed")
+    (tmp_path / "h" / "s").mkdir(parents=True)
+    (tmp_path / "h" / "s" / "blocked").write_bytes(b"a file where a folder is needed")
     out = publish(*plan_of(spark, [(1, "h", "blocked", "f", "fail", b"1"), (2, "h", "fine", "f", "fail", b"2")]), str(tmp_path))
     got = {r["seq"]: (r["done"], bool(r["message"])) for r in out.collect()}
     assert got == {1: (False, True), 2: (True, False)}
 
 
+def test_publish_keeps_hosts_apart_and_answers_every_request(spark, tmp_path):
+    reqs = [(1, "h1", "d", "a", "replace", b"one"), (2, "h2", "d", "a", "replace", b"two"), (3, "h1", "d", "a", "replace", b"three"),
+            (4, "h1", "d", "a", "replace", None), (5, "h3/x", "d", "b", "replace", None)]
+    plan, content = plan_of(spark, [(*r[:5], r[5] or b"") for r in reqs])
+    out = publish(plan, content.where("seq < 4"), str(tmp_path))
+    got = {r["seq"]: (r["done"], r["code"], bool(r["message"])) for r in out.collect()}
+    assert got == {1: (True, None, False), 2: (True, None, False), 3: (True, None, False),
+                   4: (False, 3221225524, True), 5: (False, 3221225524, True)}
+    assert (tmp_path / "h1/s/d/a").read_bytes() == b"three" and (tmp_path / "h2/s/d/a").read_bytes() == b"two"
+    own = publish(plan.where("seq = 1"), content, F.concat(F.lit(f"{tmp_path}/own-"), F.col("host")))
+    assert rows(own, "done") == [(True,)] and (tmp_path / "own-h1/d/a").read_bytes() == b"one"
+
+
+def test_publish_falls_back_to_an_older_write(spark, tmp_path, monkeypatch):
+    """The newest write fails; the one before it is carried out and is a success."""
+    reqs = [(1, "h", "d", "a", "replace", b"one"), (2, "h", "d", "a", "replace", b"two"), (3, "h", "d", "a", "replace", b"three")]
+    plan, content = plan_of(spark, reqs)
+    (tmp_path / "bad").write_bytes(b"no folder")
+    root = F.when(F.col("seq") == 3, F.lit(f"{tmp_path}/bad")).otherwise(F.lit(f"{tmp_path}/good"))
+    got = {r["seq"]: (r["done"], bool(r["message"])) for r in publish(plan, content, root).collect()}
+    assert got == {1: (True, False), 2: (True, False), 3: (False, True)}
+    assert (tmp_path / "good/d/a").read_bytes() == b"two"
+
+
+def test_fetch_keeps_columns_and_large_files_fail_alone(spark, tmp_path):
+    (tmp_path / "big").write_bytes(b"x" * 1000)
+    (tmp_path / "small").write_bytes(b"y")
+    listing = spark.createDataFrame([("big", 1), ("small", 1), ("small", 2), ("small", 2), ("none", 3)], "full_path string, trigger_id int")
+    got = fetch_content(listing, str(tmp_path), max_bytes=999)
+    assert rows(got, "full_path", "trigger_id", "route", "error_code") == sorted(
+        [("big", 1, "failure", "-2"), ("small", 1, "success", None), ("small", 2, "success", None), ("small", 2, "success", None),
+         ("none", 3, "failure", "3221225524")], key=repr)
+    chunks = fetch_chunks(listing, str(tmp_path), chunk_bytes=300)
+    assert [(r["chunk_no"], len(r["content"])) for r in chunks.where("full_path = 'big'").orderBy("chunk_no").collect()] == [
+        (0, 300), (1, 300), (2, 300), (3, 100)]
+    assert rows(chunks.where("content IS NULL"), "full_path") == [("none",)]
+
+
+def test_nothing_is_moved_before_the_commit(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"1")
+    listing = spark.createDataFrame([(1, "a", "a"), (2, "gone", "gone")], "seq bigint, full_path string, filename string")
+
+    def broken(fetched):
+        raise OSError("the store is full")
+
+    with pytest.raises(OSError):
+        fetch_commit_complete(listing, str(tmp_path), broken, "move", F.lit("done"), True)
+    assert (tmp_path / "a").exists()
+    stored, outcome = fetch_commit_complete(listing, str(tmp_path), lambda f: stage(f, "t"), "move", F.lit("done"), True, f"{tmp_path}/marks")
+    assert rows(stored, "seq", "route") == [(1, "success"), (2, "failure")] and rows(outcome, "seq", "done") == [(1, True)]
+    assert (tmp_path / "done/a").read_bytes() == b"1" and not (tmp_path / "a").exists()
+    plan = transfer.plan_completion(stored, "move", F.lit("done"), create_directory=True)
+    assert rows(complete(plan, str(tmp_path), f"{tmp_path}/marks"), "done") == [(True,)]  # as a repeated task sees it
+    assert rows(complete(plan, str(tmp_path)), "done") == [(False,)]
+
+
+def test_delete_without_a_path(spark, tmp_path):
+    df = spark.createDataFrame([(1, None)], "seq bigint, path string")
+    assert rows(delete_files(df, str(tmp_path)), "done", "message") == [(False, "no path")]
+
+
 def test_delete(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / name).write_bytes(b"x")
@@ -199,7 +263,7 @@ def test_attach_content_normalises(spark):
     listing = spark.createDataFrame([("/d/f",), ("d/g",)], "full_path string")
     content = spark.createDataFrame([("d\\f", bytearray(b"1"))], "path string, content binary")
     assert rows(attach_content(listing, content), "full_path", "route", "error_code") == [
-        ("/d/f", "success", None), ("d/g", "failure", "-2")]
+        ("/d/f", "success", None), ("d/g", "failure", "3221225524")]
 
 
 def test_scan(spark, tmp_path):

@@ -10,7 +10,7 @@ from tidemark.catalog.functions import error_code
 from tidemark.catalog.registry import query
 from tidemark.catalog.views import inventory, line_inventory, table, text, write_requests
 from tidemark.operators import transfer
-from tidemark.operators.effects import complete, delete_files, publish
+from tidemark.operators.effects import delete_files, fetch_commit_complete, publish
 from tidemark.operators.routes import route_delete, route_fetch
 from tidemark.plans.storage import shared_dir, stage
 from tidemark.sources.content import attach_content, fetch_content
@@ -102,10 +102,10 @@ def _content(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return listing, stored
 
 
-@query("fetch_content", """SELECT inv.doc_id, CASE WHEN is_directory OR ends_with(filename, '.tmp') THEN 'failure' ELSE 'success' END AS route,
+@query("attach_content", """SELECT inv.doc_id, CASE WHEN is_directory OR ends_with(filename, '.tmp') THEN 'failure' ELSE 'success' END AS route,
  CASE WHEN NOT is_directory AND NOT ends_with(filename, '.tmp') THEN md5(text) END AS digest,
- CASE WHEN is_directory OR ends_with(filename, '.tmp') THEN '-2' END AS error_code FROM inv JOIN documents USING (doc_id)""", ("inv",))
-def _fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+ CASE WHEN is_directory OR ends_with(filename, '.tmp') THEN '3221225524' END AS error_code FROM inv JOIN documents USING (doc_id)""", ("inv",))
+def _attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing, stored = _content(spark, sf_dir)
     rows = attach_content(listing, stored)
     return rows.select("doc_id", "route", F.md5("content").alias("digest"), "error_code")
@@ -144,28 +144,47 @@ def _completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _publish_all(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Every document as a write request: two documents share one target."""
+    """Every document as a write request to one of three hosts, which share names; two share a target, a tenth have no content."""
     docs = table(spark, sf_dir, "documents")
-    requests = docs.select(F.col("doc_id").alias("seq"), F.lit("h").alias("host"), F.lit("share").alias("share"),
-                           F.concat("source", F.lit("/"), "lang").alias("directory"),
-                           F.concat(F.lit("d"), text(F.floor(F.col("doc_id") / 2)), F.lit(".txt")).alias("filename"),
+    requests = docs.select(F.col("doc_id").alias("seq"), F.concat(F.lit("h"), text(F.col("doc_id") % 3)).alias("host"),
+                           F.lit("share").alias("share"), F.col("lang").alias("directory"),
+                           F.concat(F.lit("d"), text(F.floor(F.col("doc_id") / 6)), F.lit(".txt")).alias("filename"),
                            F.lit("replace").alias("conflict"))
     nothing = transfer.with_destination(requests).select("host", "share", "dest").where(F.lit(False))
     plan = transfer.plan_writes(requests, nothing, create_dirs=True, batch_size=None)
-    content = docs.select(F.col("doc_id").alias("seq"), F.col("text").cast("binary").alias("content"))
-    return publish(plan, content, root, tmp_suffix=".part")
+    content = docs.where(F.col("doc_id") % 10 != 9).select(F.col("doc_id").alias("seq"), F.col("text").cast("binary").alias("content"))
+    return publish(plan, content, root, tmp_suffix=".part").withColumn("path", F.concat_ws("/", "host", "share", "dest"))
+
+
+_PATH = "concat('h', doc_id % 3, '/share/', lang, '/d', CAST(floor(doc_id / 6) AS BIGINT), '.txt')"
+_LAST = f"last AS (SELECT {_PATH} AS path, max(doc_id) AS doc_id FROM documents WHERE doc_id % 10 <> 9 GROUP BY 1)"
 
 
-_LAST = """last AS (SELECT concat(source, '/', lang, '/d', CAST(floor(doc_id / 2) AS BIGINT), '.txt') AS path, max(doc_id) AS doc_id FROM documents GROUP BY 1)"""
+def _written(published: DataFrame) -> DataFrame:
+    """The files that are there now, each with its last successful request."""
+    return published.where("done").groupBy("path").agg(F.max("seq").alias("seq"))
 
 
-@query("publish", f"WITH {_LAST} SELECT path, md5(text) AS digest, 'success' AS route FROM last JOIN documents USING (doc_id)")
+@query("publish", f"""WITH {_LAST} SELECT d.doc_id, p.path, d.doc_id % 10 <> 9 AS done, md5(l.text) AS digest
+ FROM documents d JOIN (SELECT doc_id, {_PATH} AS path FROM documents) p USING (doc_id) LEFT JOIN last ON last.path = p.path
+ LEFT JOIN documents l ON l.doc_id = last.doc_id""")
 def _publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published files read back from storage: the last write of each target is there."""
+    """The outcome of every request, and the bytes found at its target: the last write that had content is there."""
     root = f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
-    outcome = _publish_all(spark, sf_dir, root).where("done").select(F.col("dest").alias("full_path")).distinct()
+    outcome = _publish_all(spark, sf_dir, root).select(F.col("seq").alias("doc_id"), F.col("path").alias("full_path"), "done")
     rows = fetch_content(outcome, root, partitions=8)
-    return rows.select(F.col("full_path").alias("path"), F.md5("content").alias("digest"), "route")
+    return rows.select("doc_id", F.col("full_path").alias("path"), "done", F.md5("content").alias("digest"))
+
+
+@query("fetch_content", f"""WITH {_LAST} SELECT doc_id, path, trigger_id, CASE WHEN trigger_id < 2 THEN 'success' ELSE 'failure' END AS route,
+ CASE WHEN trigger_id < 2 THEN md5(text) END AS digest, CASE WHEN trigger_id = 2 THEN '3221225524' END AS error_code
+ FROM last JOIN documents USING (doc_id) CROSS JOIN (VALUES (0), (1), (2)) t(trigger_id)""")
+def _fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two triggers list each published file, a third one a file that is gone; trigger columns stay on the fetched rows."""
+    root = f"{shared_dir(spark)}/fetched-{uuid.uuid4().hex}"
+    listed = _written(_publish_all(spark, sf_dir, root)).withColumn("trigger_id", F.explode(F.array(*map(F.lit, range(3)))))
+    listed = listed.withColumn("full_path", F.when(F.col("trigger_id") == 2, F.concat("path", F.lit(".gone"))).otherwise(F.col("path")))
+    return fetch_content(listed, root).select(F.col("seq").alias("doc_id"), "path", "trigger_id", "route", F.md5("content").alias("digest"), "error_code")
 
 
 @query("delete_files", f"""WITH {_LAST}, r AS (SELECT path, 'success' AS route FROM last UNION ALL SELECT path, 'not found' FROM last
@@ -173,31 +192,32 @@ def _publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each published file is deleted twice, and one that is not there is asked for."""
     root = f"{shared_dir(spark)}/deleted-{uuid.uuid4().hex}"
-    paths = _publish_all(spark, sf_dir, f"{root}/files").where("done").groupBy("dest").agg(F.max("seq").alias("seq"))
-    wanted = F.array(F.struct((F.col("seq") * 3).alias("seq"), F.col("dest").alias("path")),
-                     F.struct((F.col("seq") * 3 + 1).alias("seq"), F.col("dest").alias("path")),
-                     F.struct((F.col("seq") * 3 + 2).alias("seq"), F.concat(F.lit("nowhere/"), "dest").alias("path")))
+    paths = _written(_publish_all(spark, sf_dir, f"{root}/files"))
+    wanted = F.array(F.struct((F.col("seq") * 3).alias("seq"), F.col("path")),
+                     F.struct((F.col("seq") * 3 + 1).alias("seq"), F.col("path")),
+                     F.struct((F.col("seq") * 3 + 2).alias("seq"), F.concat(F.lit("nowhere/"), "path").alias("path")))
     done = delete_files(paths.select(F.inline(wanted)), f"{root}/files", f"{root}/markers")
     return route_delete(done, F.col("done")).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("complete", f"WITH {_LAST} SELECT concat('done/', path) AS path, 'success' AS route FROM last")
+@query("complete", f"WITH {_LAST} SELECT concat('done/', path) AS path, 'success' AS route, md5(text) AS digest, true AS stored FROM last JOIN documents USING (doc_id)")
 def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetched files are moved after their content was committed; the moved files are read back."""
+    """Files are fetched, their content is stored and read back, and only then they are moved; the moved files are read again."""
     root = f"{shared_dir(spark)}/completed-{uuid.uuid4().hex}"
-    paths = _publish_all(spark, sf_dir, f"{root}/files").where("done").groupBy("dest").agg(F.max("seq").alias("seq"))
-    fetched = paths.select("seq", F.col("dest").alias("full_path"), F.substring_index("dest", "/", -1).alias("filename"),
-                           F.lit("success").alias("route"))
-    stored = stage(fetched, "fetched")
+    listed = _written(_publish_all(spark, sf_dir, f"{root}/files")).select(
+        "seq", F.col("path").alias("full_path"), F.substring_index("path", "/", -1).alias("filename"))
     folder = F.concat(F.lit("done/"), F.regexp_replace("full_path", "/[^/]*$", ""))
-    plan = transfer.plan_completion(stored, "move", folder, create_directory=True)
-    outcome = complete(plan, f"{root}/files")
-    moved = fetch_content(plan.join(outcome.where("done"), "seq").select(F.col("move_to").alias("full_path")), f"{root}/files")
-    return moved.select(F.col("full_path").alias("path"), "route")
+    stored, outcome = fetch_commit_complete(listed, f"{root}/files", lambda fetched: stage(fetched, "fetched"), "move", folder, True)
+    there = stored.where("route = 'success'").join(outcome.where("done").select("seq"), "seq").select(
+        F.concat(folder, F.lit("/"), "filename").alias("full_path"), F.md5("content").alias("_digest"))
+    moved = fetch_content(there, f"{root}/files")
+    return moved.select(F.col("full_path").alias("path"), "route", F.md5("content").alias("digest"),
+                        (F.md5("content") == F.col("_digest")).alias("stored"))
 
 
 @query("scan_inventory", f"""WITH {_LAST} SELECT path AS full_path, strlen(text) AS size, false AS is_directory FROM last JOIN documents USING (doc_id)
- UNION ALL SELECT DISTINCT source, 0, true FROM documents UNION ALL SELECT DISTINCT concat(source, '/', lang), 0, true FROM documents""")
+ UNION ALL SELECT DISTINCT split_part(path, '/', 1), 0, true FROM last UNION ALL SELECT DISTINCT concat(split_part(path, '/', 1), '/share'), 0, true FROM last
+ UNION ALL SELECT DISTINCT regexp_replace(path, '/[^/]*$', ''), 0, true FROM last""")
 def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents are published as files, then their folders are listed."""
     root = f"{shared_dir(spark)}/scanned-{uuid.uuid4().hex}"

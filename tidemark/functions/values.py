@@ -10,6 +10,8 @@ from tidemark.schema import ATTRS, FAILURE, NOT_FOUND
 
 # File-server status codes that mean "no such file or path".
 MISSING_FILE_CODES = (0xC000000F, 0xC0000034, 0xC000003A)
+# The one reported here for any file that is not there.
+MISSING_FILE_CODE = MISSING_FILE_CODES[1]
 # Fixed value: code reported when the error carries none.
 UNKNOWN_ERROR_CODE = "-2"
 # Fixed value: user name of the share client when none is configured.

@@ -11,18 +11,18 @@ the second time.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.transfer import effective_writes
+from tidemark.functions.values import MISSING_FILE_CODE
+from tidemark.operators.transfer import TARGET, plan_completion
 from tidemark.plans.joins import join_checked
-from tidemark.plans.storage import open_store, stage, task_count
-
-# Fixed value: status code reported for a file that is not there.
-_MISSING = 0xC0000034
+from tidemark.plans.storage import open_store, shared_dir, stage, task_count
+from tidemark.sources.content import fetch_content
 
 _OUTCOME = "seq bigint, done boolean, code bigint, message string"
 
@@ -35,7 +35,7 @@ def _each(rows: Iterator[pd.DataFrame], act: Callable) -> Iterator[pd.DataFrame]
                 act(row)
                 out.append((row.seq, True, None, None))
             except FileNotFoundError as e:
-                out.append((row.seq, False, _MISSING, str(e)))
+                out.append((row.seq, False, MISSING_FILE_CODE, str(e)))
             except Exception as e:  # one bad file must not fail its neighbours
                 out.append((row.seq, False, None, str(e) or type(e).__name__))
         frame = pd.DataFrame(out, columns=["seq", "done", "code", "message"])
@@ -48,44 +48,105 @@ def _is_file(store, path: str) -> bool:
     return store.get_file_info(path).type == fs.FileType.File
 
 
-def publish(plan: DataFrame, content: DataFrame, root: str, tmp_suffix: str | None = None,
-            create_dirs: bool = True, partitions: int | None = None) -> DataFrame:
-    """Carry out a write plan below ``root``; returns the plan with ``done``, ``code`` and ``message``.
+def _markers(rows: DataFrame, run_dir: str | None) -> str:
+    """The folder of a call's markers: the caller's, for calls that may be repeated, or a new one."""
+    return run_dir.rstrip("/") if run_dir else f"{shared_dir(rows.sparkSession)}/markers/{uuid.uuid4().hex}"
+
+
+class _Marks:
+    """Which files a call has begun to take away, kept in a folder as empty files."""
+
+    def __init__(self, folder: str):
+        self.store, self.folder = open_store(folder)
+        self.store.create_dir(self.folder, recursive=True)
+
+    def _path(self, name: str) -> str:
+        return f"{self.folder}/{hashlib.sha256(name.encode()).hexdigest()}"
+
+    def set(self, name: str) -> None:
+        with self.store.open_output_stream(self._path(name)):
+            pass
+
+    def has(self, name: str) -> bool:
+        return _is_file(self.store, self._path(name))
+
+
+def target_root(root: str, by: list[str]) -> Column:
+    """The folder of a request's target system: one below ``root`` for each key, with unsafe letters escaped."""
+    return F.concat_ws("/", F.lit(root.rstrip("/")), *[F.url_encode(F.coalesce(F.col(c), F.lit(""))) for c in by])
+
 
-    ``plan`` comes from ``plan_writes``; ``content`` (``seq``, ``content``) is
-    shuffled once.  Only the last write of a target is carried out; earlier
-    ones count as done with it.  With ``tmp_suffix`` the bytes go to ``dest +
-    suffix`` plus the attempt id and are renamed over ``dest``, so readers see
-    the old file or the new one and two attempts never share a temporary file.
+def publish(plan: DataFrame, content: DataFrame, root: str | Column, tmp_suffix: str | None = None,
+            create_dirs: bool = True, by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Carry out a write plan; returns the plan with ``done``, ``code`` and ``message``.
+
+    ``plan`` comes from ``plan_writes`` with the same ``by``.  ``root`` is a
+    folder that holds one folder per target system, or a column with the root
+    folder of each request.  Of the writes to one target only the last is
+    carried out, and earlier ones count as done with it; if it fails, the next
+    older one is carried out instead.  Only the content of writes carried out
+    is moved.  A write without a row in ``content`` (``seq``, ``content``) is a
+    failure.  Requests that are no writes have no outcome (null).  With
+    ``tmp_suffix`` the bytes go to ``dest + suffix`` plus the attempt id and are
+    renamed over ``dest``, so readers see the old file or the new one and two
+    attempts never share a temporary file.
     """
+    by = by or TARGET
     n = partitions or task_count(plan.sparkSession)
-    marked = effective_writes(plan)
-    due = marked.where("is_effective").select("seq", "dest")
-    work = content.select("seq", "content").repartition(n, "seq").join(due.repartition(n, "seq"), "seq")
-    base = root.rstrip("/")
+    place = root if isinstance(root, Column) else target_root(root, by)
+    plan = stage(plan, "publish-plan")
+    writes = F.col("write_action").isin("create", "overwrite")
+    # One text names a target, null keys included.
+    target = F.to_json(F.struct(*by, "dest"), {"ignoreNullFields": "false"})
+    requested = plan.where(writes).select("seq", "dest", place.alias("place"), target.alias("_target"))
+    ready = stage(requested.join(content.select("seq").distinct(), "seq", "left_semi"), "publish-ready")
 
     def write(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, folder = open_store(base)
-        attempt = TaskContext.get().taskAttemptId()
+        attempt, stores = TaskContext.get().taskAttemptId(), {}
 
         def one(row) -> None:
+            if row.place not in stores:
+                stores[row.place] = open_store(row.place)
+            store, folder = stores[row.place]
             dest = f"{folder}/{row.dest.lstrip('/')}"
             if create_dirs:
                 store.create_dir(dest.rsplit("/", 1)[0], recursive=True)
-            target = f"{dest}{tmp_suffix}.{attempt}" if tmp_suffix and tmp_suffix.strip() else dest
-            with store.open_output_stream(target) as f:
+            path = f"{dest}{tmp_suffix}.{attempt}" if tmp_suffix and tmp_suffix.strip() else dest
+            with store.open_output_stream(path) as f:
                 f.write(row.content or b"")
-            if target != dest:
-                store.move(target, dest)
+            if path != dest:
+                store.move(path, dest)
 
         yield from _each(rows, one)
 
-    done = stage(work.mapInPandas(write, _OUTCOME), "published")
-    keys = ["host", "share", "dest"]
-    by_target = marked.where("is_effective").select(*keys, "seq").join(done, "seq").drop("seq")
-    writes = F.col("write_action").isin("create", "overwrite")
-    written = join_checked(marked.where(writes).drop("is_effective"), by_target, keys, "left")
-    return written.unionByName(marked.where(~writes).drop("is_effective"), allowMissingColumns=True)
+    outcomes, winners, waiting = None, None, ready
+    while True:  # once, and again for the older writes of targets where the newest failed
+        due = stage(waiting.groupBy("_target").agg(F.max_by(F.struct("seq", "dest", "place"), "seq").alias("_due"))
+                    .select("_target", "_due.*"), "publish-due")
+        if due.isEmpty():
+            break
+        work = join_checked(content.select("seq", "content"), due.drop("_target"), ["seq"]).repartition(n, "seq")
+        tried = stage(work.mapInPandas(write, _OUTCOME), "published")
+        outcomes = tried if outcomes is None else outcomes.unionByName(tried)
+        named = due.select("_target", "seq").join(tried.select("seq", "done"), "seq")
+        won = named.where("done").select("_target", F.col("seq").alias("_won"))
+        winners = won if winners is None else winners.unionByName(won)
+        failed = stage(named.where("NOT done").select("_target", F.col("seq").alias("_failed")), "publish-failed")
+        if failed.isEmpty():
+            break
+        waiting = join_checked(waiting, failed, ["_target"]).where("seq < _failed").drop("_failed")
+    if outcomes is None:
+        outcomes = plan.sparkSession.createDataFrame([], _OUTCOME)
+        winners = plan.sparkSession.createDataFrame([], "_target string, _won bigint")
+    known = ready.select("seq", "_target").join(winners, "_target", "left").join(outcomes, "seq", "left").select(
+        "seq", F.coalesce("done", F.col("_won") > F.col("seq"), F.lit(False)).alias("done"), "code", "message",
+        F.lit(True).alias("_has_content"))
+    judged = join_checked(plan, stage(known, "publish-outcomes"), ["seq"], "left")
+    missing = writes & F.col("_has_content").isNull()
+    return (judged.withColumn("done", F.when(missing, False).otherwise(F.col("done")))
+            .withColumn("code", F.when(missing, F.lit(MISSING_FILE_CODE)).otherwise(F.col("code")))
+            .withColumn("message", F.when(missing, F.lit("no content for this request")).otherwise(F.col("message")))
+            .drop("_has_content"))
 
 
 def delete_files(requests: DataFrame, root: str, run_dir: str | None = None,
@@ -93,28 +154,25 @@ def delete_files(requests: DataFrame, root: str, run_dir: str | None = None,
     """Delete each ``path`` below ``root``; returns ``seq``, ``path``, ``done``, ``code``, ``message``.
 
     Of several requests for one path the first (by ``seq``) deletes the file and
-    the others find it gone.  ``run_dir`` holds a marker per deleted file, so
-    that a retried task can tell its own earlier delete from a missing file.
+    the others find it gone; a request without a path fails.  ``run_dir`` holds a
+    marker per deleted file, so that a task that runs again, or twice at a time,
+    can tell its own delete from a missing file; without it each call has a
+    folder of its own in the shared one.
     """
-    firsts = requests.groupBy("path").agg(F.min("seq").alias("seq"))
+    firsts = requests.where(F.col("path").isNotNull()).groupBy("path").agg(F.min("seq").alias("seq"))
     work = firsts.repartition(partitions or task_count(requests.sparkSession), "path")
-    base, markers = root.rstrip("/"), run_dir.rstrip("/") if run_dir else None
+    base, markers = root.rstrip("/"), _markers(requests, run_dir)
 
     def remove(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, folder = open_store(base)
-        mark_store, mark_folder = open_store(markers) if markers else (None, None)
-        if mark_store is not None:
-            mark_store.create_dir(mark_folder, recursive=True)
+        marked = _Marks(markers)
 
         def one(row) -> None:
             path = f"{folder}/{row.path.lstrip('/')}"
-            mark = mark_store and f"{mark_folder}/{hashlib.sha256(row.path.encode()).hexdigest()}"
             if _is_file(store, path):
-                if mark:
-                    with mark_store.open_output_stream(mark):
-                        pass
+                marked.set(row.path)
                 store.delete_file(path)
-            elif not (mark and _is_file(mark_store, mark)):
+            elif not marked.has(row.path):
                 raise FileNotFoundError(f"no such file: {row.path}")
 
         yield from _each(rows, one)
@@ -123,44 +181,60 @@ def delete_files(requests: DataFrame, root: str, run_dir: str | None = None,
     done = outcomes.join(firsts, "seq").withColumnRenamed("seq", "_first")
     joined = join_checked(requests.select("seq", "path"), done, ["path"], "left")
     later = (F.col("seq") != F.col("_first")) & F.col("done")
+    joined = joined.withColumn("done", F.coalesce("done", F.lit(False))).withColumn(
+        "message", F.when(F.col("path").isNull(), F.lit("no path")).otherwise(F.col("message")))
     return joined.select(
         "seq", "path",
-        (F.col("done") & ~later).alias("done"),
-        F.when(later, F.lit(_MISSING)).otherwise(F.col("code")).alias("code"),
+        (F.col("done") & ~F.coalesce(later, F.lit(False))).alias("done"),
+        F.when(later, F.lit(MISSING_FILE_CODE)).otherwise(F.col("code")).alias("code"),
         F.when(later, F.concat(F.lit("no such file: "), F.col("path"))).otherwise(F.col("message")).alias("message"))
 
 
-def complete(plan: DataFrame, root: str) -> DataFrame:
+def complete(plan: DataFrame, root: str, run_dir: str | None = None) -> DataFrame:
     """Carry out ``plan_completion``; returns ``seq``, ``done``, ``code``, ``message``.
 
     Call it after the fetched content has been committed.  A failure here is a
-    warning in the outcome; the fetched row stays a success.  A retried task
-    takes a source that is gone as its own earlier work.
+    warning in the outcome; the fetched row stays a success.  Markers in
+    ``run_dir``, as in ``delete_files``, tell a source that a task itself moved
+    or deleted before from one that was never there.
     """
     work = (plan.where(F.col("completion") != "none")
             .select("seq", "full_path", "completion", "move_to", "ensure_directory")
             .repartition(task_count(plan.sparkSession), "full_path"))
-    base = root.rstrip("/")
+    base, markers = root.rstrip("/"), _markers(plan, run_dir)
 
     def finish(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, folder = open_store(base)
-        retried = TaskContext.get().attemptNumber() > 0
+        marked = _Marks(markers)
 
         def one(row) -> None:
             source = f"{folder}/{row.full_path.lstrip('/')}"
-            if row.completion == "delete":
-                if _is_file(store, source):
-                    store.delete_file(source)
-                elif not retried:
+            if not _is_file(store, source):
+                if not marked.has(row.full_path):
                     raise FileNotFoundError(f"no such file: {row.full_path}")
                 return
+            marked.set(row.full_path)
+            if row.completion == "delete":
+                store.delete_file(source)
+                return
             if row.ensure_directory:
                 store.create_dir(f"{folder}/{row.ensure_directory.strip('/')}", recursive=True)
-            target = f"{folder}/{row.move_to.lstrip('/')}"
-            if _is_file(store, source) or not (retried and _is_file(store, target)):
-                store.move(source, target)
+            store.move(source, f"{folder}/{row.move_to.lstrip('/')}")
 
         yield from _each(rows, one)
 
     return stage(work.mapInPandas(finish, _OUTCOME), "completed")
 
+
+def fetch_commit_complete(listing: DataFrame, root: str, commit: Callable[[DataFrame], DataFrame], strategy: str,
+                          destination: Column | None = None, create_directory: bool = False,
+                          run_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Fetch listed files, commit their content, and only then move or delete the sources.
+
+    ``listing`` has ``seq``, ``full_path`` and ``filename``.  ``commit`` stores
+    the fetched rows and returns the stored table; if it raises, no source has
+    been touched.  Returns the stored rows and the outcomes of the completion.
+    """
+    stored = commit(fetch_content(listing, root))
+    plan = plan_completion(stored.drop("content"), strategy, destination, create_directory)
+    return stored, complete(plan, root, run_dir)
