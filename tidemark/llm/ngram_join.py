@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -100,22 +101,37 @@ class Shingles:
         return np.unique(total)
 
 
+@lru_cache
+def _orders(count: int, small: bool):
+    """Factors and shifts of ``count`` orders of 64-bit hashes."""
+    import numpy as np
+
+    rng = np.random.default_rng([10, small])
+    factors, shifts = rng.integers(0, 2**64, (2, count, 1), dtype=np.uint64)
+    return factors | np.uint64(1), shifts
+
+
 def sample_keys(values, measure: Measure):
     """One key per sample of a set: a hash of its smallest members in an order of the sample's own."""
     import numpy as np
 
-    keys = []
+    keys = [np.zeros(0, np.uint64)]
     for small in (False, True):
         applies = len(values) < SMALL_SET if small else measure.sizes_allow(len(values), SMALL_SET)
         if not applies:
             continue
         each, count = measure.samples(small)
-        for number in range(count):
-            order = _mix(values + np.uint64((number * 2 + small + 1) * 0x9E3779B97F4A7C15 % 2**64))
-            least = np.sort(np.partition(order, each - 1)[:each]) if len(order) > each else np.sort(order)
-            weighed = (least * np.arange(1, 2 * len(least), 2, dtype=np.uint64)).sum(keepdims=True)
-            keys.append(int(_mix(weighed + np.uint64(number * 2 + small))[0]))
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+        factors, shifts = _orders(count, small)
+        step = max(1, 1_000_000 // len(values))  # samples at a time, for a few MB
+        for start in range(0, count, step):
+            order = ((values * factors[start:start + step] + shifts[start:start + step]) >> np.uint64(32)).astype(np.uint32)
+            if len(values) > each:
+                order = np.partition(order, each - 1, axis=1)[:, :each]
+            order.sort(axis=1)
+            odd = np.arange(1, 2 * order.shape[1], 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            number = np.arange(start, start + len(order), dtype=np.uint64) * np.uint64(2) + np.uint64(small)
+            keys.append(_mix((order * odd).sum(axis=1, dtype=np.uint64) + number))
+    return np.concatenate(keys).view(np.int64).tolist()
 
 
 def _signed(docs: DataFrame, measure: Measure) -> DataFrame:
