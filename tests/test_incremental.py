@@ -148,6 +148,20 @@ def test_state_store(spark, tmp_path):
     assert store.versions() == [2, 3]
 
 
+def test_a_run_is_not_repeated_without_its_state(spark, tmp_path):
+    """Once the state before a run is dropped, repeating the run must not look like a first run."""
+    files = inv(spark, ("a", "x", 1, 1), ("a", "y", 2, 1))
+    for listing, run in ((TimestampListing(spark, f"{tmp_path}/t"), lambda v: listing.run(files, v, f"{tmp_path}/out")),
+                         (EntityListing(spark, f"{tmp_path}/e", 10**9), lambda v: listing.run(files, v, f"{tmp_path}/out", 10**7))):
+        assert [run(v).count() for v in range(1, 9)] == [2, 0, 0, 0, 0, 0, 0, 0]
+        kept = listing.store.versions()
+        assert kept == [4, 5, 6, 7, 8] and run(5).count() == 0
+        for v in (3, 4):
+            with pytest.raises(RuntimeError):
+                run(v)
+        assert listing.store.versions() == kept
+
+
 def test_timestamp_listing_survives_retry(spark, tmp_path):
     listing = TimestampListing(spark, f"{tmp_path}/state")
     first = inv(spark, ("a", "x", 5, 1), ("a", "y", 3, 1))

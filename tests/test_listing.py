@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.functions import render, target_attributes
+from tidemark.operators import listing as listing_module
 from tidemark.operators.listing import (
     CONSTANT_PATTERNS, ListingTemplates, emit_attributes, error_rows, has_objects, list_for_triggers, resolve_triggers,
     route_listing, route_listing_s3, unmatched_triggers,
@@ -191,3 +192,19 @@ def test_measure_counts_rows_and_bytes(spark):
     assert not measure(df, BroadcastLimit(bytes=90_000))
 
 
+
+
+def test_prefixes_in_one_folder_meet_only_their_files(spark):
+    """1,000 prefixes below one folder: the join gives as many pairs as there are matches."""
+    triggers = spark.range(1_000).select(F.col("id").alias("trigger_id"), F.create_map(
+        F.lit("p"), F.format_string("data/2024-%04d-", "id")).cast("map<string,string>").alias("attrs"))
+    names = F.format_string("2024-%04d-%d", F.col("id") % 1_500, F.col("id"))
+    files = spark.range(3_000).select(F.lit("c").alias("container"), F.lit("data").alias("directory"), names.alias("filename"),
+                                      F.concat(F.lit("data/"), names).alias("full_path"), F.lit(1).cast("bigint").alias("size"),
+                                      F.lit(False).alias("is_directory"), F.lit(None).cast("timestamp").alias("last_modified"))
+    got = list_for_triggers(triggers, files, ListingTemplates(container="c", prefix="${p}"), None)
+    assert got.count() == 2_000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "t_anchor" in plan
+    side, t = listing_module._anchored(files, [15], True), triggers.select("trigger_id", F.col("attrs")["p"].alias("t_anchor"))
+    assert side.join(t, "t_anchor").count() == 2_000  # no pair is left for the prefix test to drop

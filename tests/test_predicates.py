@@ -2,6 +2,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark.operators.routes import route_message
+
 from tidemark.operators import predicates as p
 from tidemark.operators.validate import validate_triggers
 from tidemark.sources.inventory import any_object, scope
@@ -89,3 +91,12 @@ def test_validation(spark):
     assert got[2]["errors"] == [] and got[2]["is_valid"]
     assert got[3]["errors"] == ["path_filter needs recursion", "port is out of range", "batch_size is not positive"]
     assert got[4]["is_valid"]
+
+
+def test_topics_drop_only_messages_of_another_topic(spark):
+    bodies = ['{"id":"1","event":"click"}', '{"id":"2","event":"buy"}', "{bad", "", '{"id":"3","event":"click","x":"' + "y" * 50 + '"}',
+              '{"id":"4"}', None]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "message_id int, body string")
+    got = rows(route_message(df, limit=40, topics="click"), "message_id", "route")
+    assert [m for m, _ in got] == [0, 2, 3, 4, 5, 6]
+    assert dict(got)[0] != "failure" and dict(got)[2] == dict(got)[4] == "failure"

@@ -11,6 +11,7 @@ from tidemark.operators.routes import route_delete
 from tidemark.plans.ranking import running_number
 from tidemark.plans.storage import stage
 from tidemark.sources.content import attach_content, fetch_chunks, fetch_content
+from tidemark.sources import inventory as inventory_source
 from tidemark.sources.inventory import scan_inventory
 from tidemark.sources.sinks import read_listing_ids, write_empty, write_listing
 from tidemark.schema import INVENTORY
@@ -46,6 +47,29 @@ def test_slices_balance_a_hot_group(spark):
     assert got.agg(F.max("rn"), F.countDistinct("rn")).first() == (20_000, 20_000)
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "double"])
+def test_numbers_do_not_depend_on_type_ties_or_size(spark, kind):
+    """Text, dates and one value repeated through a hot group number alike below and above the threshold."""
+    a = {"string": F.concat(F.lit("n"), F.col("id") % 3), "date": F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int")),
+         "double": F.lit(1.0)}[kind]
+    df = spark.range(400).select(F.when(F.col("id") % 4 != 0, "hot").alias("g"), a.alias("a"), (F.col("id") * 37 % 400).alias("b"))
+    w = Window.partitionBy("g").orderBy("a", "b")
+    want = df.withColumn("rn", F.row_number().over(w).cast("bigint"))
+    got = running_number(df, ["g"], ["a", "b"], hot_rows=5)
+    assert got.dtypes == running_number(df, ["g"], ["a", "b"]).dtypes
+    assert rows(got, "g", "a", "b", "rn") == rows(want, "g", "a", "b", "rn")
+    tied = running_number(df, ["g"], ["a"], hot_rows=5)
+    assert sorted(r.rn for r in tied.where("g = 'hot'").collect()) == list(range(1, 301))
+
+
+def test_a_large_next_batch_is_cut_without_one_large_task(spark):
+    df = requests(spark, *[(i, "h", "d", f"f{i}", "fail") for i in range(3_000)])
+    got = transfer.next_batch(df, 2_000, hot_rows=500)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert all("_slice" in line for line in plan.splitlines() if "row_number()" in line and "Window" in line)
+    assert sorted(r.seq for r in got.collect()) == list(range(2_000))
+
+
 def test_batches(spark):
     df = requests(spark, *[(i, "h" if i % 2 else "g", "d", f"f{i}", "fail") for i in range(1, 22)])
     got = transfer.assign_batches(df, 4)
@@ -282,6 +306,28 @@ def test_scan(spark, tmp_path):
     assert rows(tree, "full_path") == [("d",), ("d/_e",)]
 
 
+def test_scan_joins_names_as_they_are_and_reports_folders(spark, tmp_path, monkeypatch):
+    """A folder named with a blank, its namesake at the top, and a folder that is gone when its turn comes."""
+    (tmp_path / " " / "sub").mkdir(parents=True)
+    (tmp_path / " " / "sub" / "f").write_bytes(b"1")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "g").write_bytes(b"2")
+    got = scan_inventory(spark, str(tmp_path))
+    assert rows(got, "full_path") == [(" /sub/f",), ("sub/g",)]
+    real, root = inventory_source.stage, tmp_path
+
+    def stage_and_remove(df, label):
+        out = real(df, label)
+        if (root / "sub").exists():
+            (root / "sub" / "g").unlink()
+            (root / "sub").rmdir()
+        return out
+
+    monkeypatch.setattr(inventory_source, "stage", stage_and_remove)
+    found = {r.full_path: (r.is_directory, "error.message" in r.extra) for r in scan_inventory(spark, str(root)).collect()}
+    assert found == {" /sub/f": (False, False), "sub": (True, True)}
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "json", "orc"])
 def test_listing_sinks(spark, tmp_path, fmt):
     df = spark.range(10).select((F.col("id") % 2).alias("trigger_id"), F.col("id").alias("n"))

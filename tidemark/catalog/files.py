@@ -13,7 +13,7 @@ from tidemark.catalog.views import (
 from tidemark.operators import predicates as p
 from tidemark.operators.incremental import initial_floor
 from tidemark.operators.listing import has_objects
-from tidemark.schema import NO_FILES, SUCCESS
+
 from tidemark.sources.inventory import any_object, read_manifest, scope, union_providers
 
 _COLUMNS = "container, directory, filename, size, last_modified_ms"
@@ -106,14 +106,14 @@ def _has_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("trigger_id", "has_objects")
 
 
-@query("preflight", """SELECT container, count(*) AS files,
- CASE WHEN (SELECT count(*) FROM inv WHERE container = 'src1' AND starts_with(full_path, 'data/en')) > 0
- THEN 'success' ELSE 'no_files' END AS route FROM inv GROUP BY container""", ("inv",))
+@query("preflight", """SELECT container, count(*) AS files, bool_or(starts_with(full_path, 'data/en/b1')) AS found,
+ (SELECT count(*) FROM inv WHERE container = 'src1' AND starts_with(full_path, 'data/en')) > 0 AS first_found FROM inv GROUP BY container""", ("inv",))
 def _preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One listing's emptiness test reads at most one row before the listing itself runs."""
+    """One listing's emptiness test, which reads at most one row, and the same test for every container."""
     inv = inventory(spark, sf_dir)
-    route = SUCCESS if any_object(inv, "src1", "data/en") else NO_FILES
-    return inv.groupBy("container").agg(F.count(F.lit(1)).alias("files")).withColumn("route", F.lit(route))
+    there = scope(inv, prefix="data/en/b1").select("container", F.lit(True).alias("found")).distinct()
+    counted = inv.groupBy("container").agg(F.count(F.lit(1)).alias("files")).join(there, "container", "left")
+    return counted.withColumns({"found": F.coalesce("found", F.lit(False)), "first_found": F.lit(any_object(inv, "src1", "data/en"))})
 
 
 def _s3_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

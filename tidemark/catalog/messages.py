@@ -42,7 +42,7 @@ def _banking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("route_message_topics", f"""{_ROUTED} SELECT message_id, route, ack FROM r
- WHERE CASE WHEN st IN ('ok', 'missing') THEN body->>'$.event' END IN ('click', 'view')""", ("msg",))
+ WHERE coalesce(CASE WHEN st IN ('ok', 'missing') THEN body->>'$.event' END IN ('click', 'view'), true)""", ("msg",))
 def _topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route_message(messages(spark, sf_dir), topics="click,view").select("message_id", "route", "ack")
 

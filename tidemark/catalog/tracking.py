@@ -16,14 +16,13 @@ from tidemark.operators.predicates import initial_timestamp
 from tidemark.plans.storage import shared_dir, stage
 from tidemark.streaming import EntityListing, TimestampListing
 
-_TIE, _END = "1998-06-01", "1998-09-01"
+_TIE = "1998-06-01"
 
 _CYCLES = f"""WITH i AS (SELECT *, size < 25000 AS early FROM invl),
  c1 AS (SELECT * FROM i WHERE last_modified < TIMESTAMP '{_TIE}' OR (last_modified = TIMESTAMP '{_TIE}' AND early)),
  st AS (SELECT container, max(last_modified) AS wm FROM c1 GROUP BY 1),
  sk AS (SELECT DISTINCT c1.container, k, last_modified FROM c1 JOIN st USING (container) WHERE last_modified = wm),
- c2 AS (SELECT * FROM i WHERE last_modified < TIMESTAMP '{_END}'),
- fresh AS (SELECT c2.* FROM c2 LEFT JOIN st USING (container) WHERE wm IS NULL OR last_modified > wm
+ fresh AS (SELECT c2.* FROM i c2 LEFT JOIN st USING (container) WHERE wm IS NULL OR last_modified > wm
   OR (last_modified = wm AND NOT EXISTS (SELECT 1 FROM sk WHERE sk.container = c2.container AND sk.k = c2.k)))"""
 
 
@@ -33,14 +32,16 @@ def _first(inv: DataFrame) -> DataFrame:
     return inv.where((F.col("last_modified") < tie) | ((F.col("last_modified") == tie) & (F.col("size") < 25_000)))
 
 
-def _second(inv: DataFrame) -> DataFrame:
-    return inv.where(F.col("last_modified") < F.lit(_END).cast("timestamp"))
-
-
-@query("next_state", f"{_CYCLES} SELECT container, epoch_ms(last_modified) AS newest_ms, k AS key FROM sk", ("invl",))
+@query("next_state", f"""{_CYCLES}, al AS (SELECT container, max(last_modified) AS wm FROM i GROUP BY 1)
+ SELECT 1 AS cycle, container, epoch_ms(last_modified) AS newest_ms, k AS key FROM sk
+ UNION ALL SELECT DISTINCT 2, i.container, epoch_ms(wm), k FROM i JOIN al ON al.container = i.container AND last_modified = wm""", ("invl",))
 def _next_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = next_state(_first(line_inventory(spark, sf_dir)), key="k")
-    return state.select("container", F.unix_millis("newest").alias("newest_ms"), "key")
+    """The state after a partial snapshot, and after the whole table."""
+    inv = line_inventory(spark, sf_dir)
+    one = stage(next_state(_first(inv), key="k"), "state")
+    two = next_state(new_since(inv, one, key="k"), one, key="k")
+    return one.select(F.lit(1).alias("cycle"), "container", F.unix_millis("newest").alias("newest_ms"), "key").unionByName(
+        two.select(F.lit(2).alias("cycle"), "container", F.unix_millis("newest").alias("newest_ms"), "key"))
 
 
 @query("new_since_timestamp", f"""{_CYCLES} SELECT container, count(*) AS n, epoch_ms(max(last_modified)) AS newest_ms FROM fresh GROUP BY 1""", ("invl",))
@@ -48,7 +49,7 @@ def _new_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two cycles; the state goes through storage between them, as it does between runs."""
     inv = line_inventory(spark, sf_dir)
     state = stage(next_state(_first(inv), key="k"), "state")
-    fresh = new_since(_second(inv), state, key="k")
+    fresh = new_since(inv, state, key="k")
     return fresh.groupBy("container").agg(F.count(F.lit(1)).alias("n"), F.unix_millis(F.max("last_modified")).alias("newest_ms"))
 
 
@@ -59,7 +60,7 @@ def _timestamp_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, inv = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}", line_inventory(spark, sf_dir)
     listing = TimestampListing(spark, f"{path}/state", key="k")
     runs = [listing.run(snapshot, n, f"{path}/out") for n, snapshot in
-            enumerate((_first(inv), _second(inv), _second(inv)), 1)]
+            enumerate((_first(inv), inv, inv), 1)]
     counted = [r.groupBy("container").agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("run"), "container", "n")
                for i, r in enumerate(runs, 1)]
     return counted[0].unionByName(counted[1]).unionByName(counted[2])

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.paths import depth, normalise_path, parent, relative_dir
+from tidemark.functions.paths import depth, normalise_path, relative_dir
 from tidemark.functions.templates import full_match, pattern_compiles, render, resolve_filter, wrap_full
 from tidemark.functions.values import error_attributes, merge_attributes, root_cause
 from tidemark.operators.predicates import FilterSpec, apply_filters
@@ -49,14 +50,14 @@ def resolve_triggers(triggers: DataFrame, templates: ListingTemplates) -> DataFr
         "t_path": resolve_filter(templates.path_filter, attrs, templates.no_trigger),
     })
     if templates.prefix is not None:
-        anchor = F.coalesce(parent(F.col("t_prefix")), F.lit(""))
+        anchor = F.coalesce(F.col("t_prefix"), F.lit(""))
     elif templates.directory is not None:
         anchor = F.col("t_directory")
     else:
         anchor = F.lit("")
     ok = [F.col(c).isNull() | pattern_compiles(F.col(c)) for c in ("t_file", "t_path")]
     return out.withColumns({
-        "t_anchor": F.trim(anchor, F.lit("/")),
+        "t_anchor": anchor if templates.prefix is not None else F.trim(anchor, F.lit("/")),
         "is_valid": F.coalesce(ok[0] & ok[1], F.lit(False)),
     })
 
@@ -71,15 +72,15 @@ class _Facts:
     paths: list[str] | None
 
 
-def _facts(t: DataFrame, limit: BroadcastLimit) -> _Facts:
-    """Measure a trigger table: size, folder depths, and its patterns if they are few.
+def _facts(t: DataFrame, limit: BroadcastLimit, level: Callable[[Column], Column]) -> _Facts:
+    """Measure a trigger table: size, levels of its anchors, and its patterns if they are few.
 
     One job over at most ``limit.rows + 1`` rows; a larger table takes further
-    ones for its depths (as many as folder levels) and its patterns, of which
+    ones for its levels (folder depths or prefix lengths) and its patterns, of which
     no more come back than may become constants.
     """
     few = CONSTANT_PATTERNS + 1
-    depths = F.collect_set(depth(F.col("t_anchor")))
+    depths = F.collect_set(level(F.col("t_anchor")))
     n, size, levels, files, paths = t.limit(limit.rows + 1).agg(
         F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(t)), F.lit(0)), depths,
         F.slice(F.collect_set("t_file"), 1, few), F.slice(F.collect_set("t_path"), 1, few)).first()
@@ -119,16 +120,20 @@ def _at_depth(directory: Column, level: int) -> Column:
     return F.lit("") if level == 0 else F.substring_index(directory, "/", level)
 
 
-def _anchored(inv: DataFrame, depths: list[int]) -> DataFrame:
-    """Add ``t_anchor``: the file's folder cut to each depth at which a trigger looks.
+def _anchored(inv: DataFrame, levels: list[int], prefixes: bool) -> DataFrame:
+    """Add ``t_anchor``: the file's folder cut to each depth, or its path cut to each prefix length, of a trigger.
 
-    With one depth this is a plain column; with more, a file appears once per
-    depth that it reaches.  Triggers then meet only files below their folder.
+    With one level this is a plain column; with more, a file appears once per
+    level that it reaches.  Triggers then meet only files below their folder or
+    with their prefix.
     """
-    clean = F.trim(F.col("directory"), F.lit("/"))
-    if depths == [0]:
+    if levels == [0]:
         return inv.withColumn("t_anchor", F.lit(""))
-    reach = [F.when(depth(clean) >= level, _at_depth(clean, level)) for level in depths]
+    path, clean = F.col("full_path"), F.trim(F.col("directory"), F.lit("/"))
+    if prefixes:
+        reach = [F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in levels]
+    else:
+        reach = [F.when(depth(clean) >= n, _at_depth(clean, n)) for n in levels]
     if len(reach) == 1:
         return inv.withColumn("t_anchor", reach[0]).where(F.col("t_anchor").isNotNull())
     return inv.withColumn("t_anchor", F.explode(F.array_compact(F.array(*reach))))
@@ -140,7 +145,7 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
     """Files of each valid trigger: inventory columns plus ``trigger_id``.
 
     The settings that are the same for all triggers filter the inventory first.
-    The rest is one equi-join on container and folder, with the trigger table
+    The rest is one equi-join on container and folder or prefix, with the trigger table
     broadcast if it was measured to fit, else shuffled with hot keys split; the
     patterns run on the pairs that are left.
     """
@@ -151,7 +156,8 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
     t = resolved.where("is_valid").select(
         "trigger_id", "t_container", "t_directory", "t_prefix", "t_file", "t_path", "t_anchor",
         *(["attrs"] if with_attrs else []))
-    facts = _facts(t, limit)
+    prefixes = templates.prefix is not None
+    facts = _facts(t, limit, F.char_length if prefixes else depth)
     t = t.select(
         "trigger_id", F.col("t_container").alias("container"), "t_anchor", "t_prefix", "t_directory",
         _coded(F.col("t_file"), facts.files).alias("t_file"),
@@ -173,7 +179,7 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
     if templates.directory is not None and not templates.recursive:
         side = inv.withColumn("t_anchor", F.trim(F.col("directory"), F.lit("/")))
     else:
-        side = _anchored(inv, facts.depths or [0])
+        side = _anchored(inv, facts.depths or [0], prefixes)
     on = ["container"] if facts.depths in ([], [0]) and not (
         templates.directory is not None and not templates.recursive) else ["container", "t_anchor"]
     if on == ["container"]:

@@ -37,8 +37,9 @@ def route_message(messages: DataFrame, limit: int = TEXT_LIMIT, with_error: bool
     """Add ``route`` and ``ack`` to messages; every row keeps its body.
 
     Messages over the size limit fail without being parsed.  ``with_error``
-    adds ``error_message`` on failures (banking listener).  ``topics`` keeps
-    the messages of the given topics only.  Stateless and in one pass, so it
+    adds ``error_message`` on failures (banking listener).  ``topics`` drops
+    messages that are known to be of another topic; those whose event cannot be
+    told (too large, malformed, without an event) stay.  Stateless and in one pass, so it
     serves batches and streams alike.
     """
     small = F.coalesce(message_size(limit), F.lit(True))
@@ -51,5 +52,5 @@ def route_message(messages: DataFrame, limit: int = TEXT_LIMIT, with_error: bool
         extra["error_message"] = reason
     out = out.withColumns(extra)
     if topics is not None:
-        out = out.where(topic_filter(topics, "_m.event"))
+        out = out.where(F.coalesce(topic_filter(topics, "_m.event"), F.lit(True)))
     return out.drop("_json", "_m")

@@ -33,12 +33,16 @@ def assign_batches(requests: DataFrame, size: int = DEFAULT_BATCH_SIZE, by: list
 
 
 def next_batch(requests: DataFrame, size: int = DEFAULT_BATCH_SIZE, by: list[str] | None = None,
-               order: list[str] | None = None) -> DataFrame:
+               order: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """First batch of each host and share.
 
-    Spark cuts each task's rows to the first ``size`` per group before the
-    shuffle, so a large group costs nothing extra.
+    Up to 1,000 requests Spark cuts each task's rows to the first ``size`` per
+    group before the shuffle, so a large group costs nothing extra; a larger
+    batch is numbered like all others, with large groups split.
     """
+    if size > 1_000:
+        numbered = running_number(requests, by or TARGET, order or ["seq"], "_rn", hot_rows)
+        return numbered.where(F.col("_rn") <= size).drop("_rn")
     w = Window.partitionBy(*(by or TARGET)).orderBy(*(order or ["seq"]))
     return requests.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= size).drop("_rn")
 

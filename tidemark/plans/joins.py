@@ -20,10 +20,12 @@ class BroadcastLimit:
 
 DEFAULT_LIMIT = BroadcastLimit()
 
-# A key with more rows than this is split; at most MAX_HOT_KEYS keys are.
+# A key with more rows than this is split, into as many parts as it needs.  Only if
+# there are more than MAX_HOT_KEYS such keys does the bound rise, since they are broadcast.
 HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000
-MAX_SALTS = 1_024
+MAX_HOT_KEYS = 200_000
+# Tasks that rows without a key are spread over.
+NO_KEY_PARTS = 1_024
 HASH_BUCKETS = 1 << 20
 
 
@@ -76,7 +78,7 @@ def hot_keys(large: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataF
     if total is None:
         return None
     floor = max(hot_rows, total // MAX_HOT_KEYS)
-    parts = F.least(F.ceil(F.col("_n") / floor), F.lit(MAX_SALTS)).cast("int")
+    parts = F.ceil(F.col("_n") / floor).cast("int")
     return counts.where(F.col("_n") > floor).select(*on, parts.alias("_parts"))
 
 
@@ -97,7 +99,7 @@ def salted_join(large: DataFrame, small: DataFrame, on: list[str], how: str = "i
         return _equi_join(large, small, on, how, residual)
     hashable = [f.name for f in large.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    spread = F.when(no_key, F.lit(MAX_SALTS)).otherwise(F.coalesce("_parts", F.lit(1)))
+    spread = F.when(no_key, F.lit(NO_KEY_PARTS)).otherwise(F.coalesce("_parts", F.lit(1)))
     left = (large.join(F.broadcast(hot), on, "left")
             .withColumn("_salt", F.pmod(F.xxhash64(*hashable), spread).cast("int")).drop("_parts"))
     right = small.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(

@@ -2,55 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.plans.joins import HOT_ROWS, hot_keys, measure
-from tidemark.plans.storage import stage
+from tidemark.plans.storage import stage, task_count
 
 
 def running_number(df: DataFrame, by: list[str], order: list[str], out: str = "rn",
                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """``row_number() over (partition by … order by …)`` for groups of any size.
 
-    Groups of up to ``hot_rows`` rows are numbered by that window.  A larger
-    group is cut into value ranges of its leading order column (numeric), of
-    about equal row count; rows are numbered within (group, range) and moved up
-    by the number of rows in the ranges before.  The bounds affect only the
-    balance, never the result, because those counts are exact.  The leading
-    column should not repeat one value for most of a group.
+    Without groups of more than ``hot_rows`` rows this is that window.  Otherwise
+    rows are range-partitioned by group and order, staged with the number of
+    their range, numbered within (group, range) and moved up by the rows of the
+    group in the ranges before.  Columns of any sortable type may lead, and rows
+    that are equal in them are dealt out by a hash of the whole row, so their
+    numbers do not depend on how tasks run.
     """
     hot = hot_keys(df, by, hot_rows)
     if hot is None:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
-    lead = F.col(order[0]).cast("double")
-    slices = hot.agg(F.max("_parts")).first()[0]
-    probs = [i / slices for i in range(1, slices)]
-    bounds = stage(df.join(F.broadcast(hot.drop("_parts")), by).groupBy(*by)
-                   .agg(F.percentile_approx(lead, probs, 10_000).alias("_bounds")), "bounds")
-    sliced = (df.join(F.broadcast(bounds), by, "left")
-              .withColumn("_slice", F.when(F.col("_bounds").isNull(), F.lit(0))
-                          .otherwise(_position(lead, F.col("_bounds"), slices - 1)))
-              .drop("_bounds"))
+    parts = max(task_count(df.sparkSession), int(hot.agg(F.sum("_parts")).first()[0]) * 2)
+    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    sliced = stage(df.withColumn("_tie", F.xxhash64(*hashable)).repartitionByRange(parts, *by, *order, "_tie")
+                   .withColumn("_slice", F.spark_partition_id()), "slices")
     part = [*by, "_slice"]
-    counts = sliced.join(F.broadcast(hot.drop("_parts")), by, "left_semi").groupBy(*part).agg(
-        F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(counts.select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "offsets")
+    counts = sliced.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = stage(counts.select(*[F.col(c).alias(f"_o_{c}") for c in part],
+                                  F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "offsets")
     if measure(offsets):
         offsets = F.broadcast(offsets)
-    local = Window.partitionBy(*part).orderBy(*order)
-    return (sliced.withColumn(out, F.row_number().over(local).cast("bigint"))
-            .join(offsets, part, "left")
-            .withColumn(out, F.col(out) + F.coalesce("_offset", F.lit(0)))
-            .drop("_slice", "_offset").select(*df.columns, out))
-
-
-def _position(x: Column, bounds: Column, n: int) -> Column:
-    """Number of the ``n`` ascending bounds below ``x``, by binary search."""
-    steps = [1 << k for k in reversed(range(n.bit_length()))]
-
-    def step(pos: Column, k: Column) -> Column:
-        onward = (pos + k <= n) & (F.get(bounds, pos + k - 1) < x)
-        return F.when(onward, pos + k).otherwise(pos)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+    local = Window.partitionBy(*part).orderBy(*order, "_tie")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in part])
+    return (sliced.withColumn(out, F.row_number().over(local).cast("bigint")).join(offsets, same)
+            .withColumn(out, F.col(out) + F.col("_offset")).select(*df.columns, out))

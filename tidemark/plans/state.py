@@ -41,9 +41,16 @@ class StateStore:
         return known[-1] if known else None
 
     def read(self, before: int | None = None) -> DataFrame:
-        """Newest committed state older than ``before``; an empty table if there is none."""
+        """Newest committed state older than ``before``; an empty table if there never was one.
+
+        A run that is repeated after the state before it has been dropped would
+        look like a first run, so that is an error.
+        """
         version = self.latest(before)
         if version is None:
+            first = self._first()
+            if first is not None and (before is None or first < before):
+                raise RuntimeError(f"the state before run {before} was dropped, so that run cannot be repeated")
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self._path(version))
 
@@ -51,9 +58,19 @@ class StateStore:
         state.write.mode("overwrite").parquet(self._path(version))
         return self.spark.read.schema(self.schema).parquet(self._path(version))
 
+    def _first(self) -> int | None:
+        """The first version there ever was, if it was dropped."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(path(self.root))] if fs.exists(path(self.root)) else []
+        return min((int(n[6:]) for n in names if n.startswith("first=")), default=None)
+
     def prune(self, keep: int = 2) -> None:
-        """Drop versions older than the newest ``keep``."""
-        jvm = self.spark._jvm
-        fs = jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for version in self.versions()[:-keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self._path(version)), True)
+        """Drop versions older than the newest ``keep``, and note the first there ever was."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        old = self.versions()[:-keep]
+        if old and self._first() is None:
+            fs.create(path(f"{self.root}/first={old[0]}"), True).close()
+        for version in old:
+            fs.delete(path(self._path(version)), True)

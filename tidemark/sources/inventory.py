@@ -16,7 +16,7 @@ from tidemark.plans.storage import open_store, stage, task_count
 from tidemark.schema import ATTRS, INVENTORY
 
 
-_ENTRY = "directory string, filename string, size bigint, last_modified timestamp, is_directory boolean"
+_ENTRY = "directory string, filename string, size bigint, last_modified timestamp, is_directory boolean, error string"
 
 
 def scan_inventory(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None,
@@ -26,8 +26,11 @@ def scan_inventory(spark: SparkSession, root: str, recursive: bool = True, glob:
     One Spark job per folder level, in which each folder is listed by a task
     and its entries go to the shared folder, so no listing passes through the
     driver.  Empty files and names that start with ``_`` or ``.`` are listed
-    like any other (Spark's own file sources skip them).  ``glob`` applies to
-    file names.  Stores page through one folder in sequence; where a single
+    like any other (Spark's own file sources skip them), and names are joined as
+    they are, blanks and doubled slashes included.  A folder below the root that
+    cannot be listed, or is gone by then, gives a row of its own: a directory
+    with ``error.message`` in ``extra``, returned also without
+    ``with_directories``.  ``glob`` applies to file names.  Stores page through one folder in sequence; where a single
     folder holds more names than a task can, use ``read_manifest`` over the
     store's inventory report.
     """
@@ -37,9 +40,19 @@ def scan_inventory(spark: SparkSession, root: str, recursive: bool = True, glob:
         from pyarrow import fs
 
         store, top = open_store(base)
+        names = ["directory", "filename", "size", "last_modified", "is_directory", "error"]
         for batch in batches:
             for folder in batch.column("folder").to_pylist():
-                infos = store.get_file_info(fs.FileSelector(f"{top}/{folder}".rstrip("/") or "/"))
+                try:
+                    infos = store.get_file_info(fs.FileSelector(f"{top}/{folder}" if folder else top or "/"))
+                except OSError as e:
+                    if not folder:
+                        raise
+                    above, _, name = folder.rpartition("/")
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([above]), pa.array([name]), pa.array([0], pa.int64()), pa.array([None], pa.timestamp("us", "UTC")),
+                        pa.array([True]), pa.array([str(e)])], names=names)
+                    continue
                 for i in range(0, len(infos), 10_000):
                     part = infos[i:i + 10_000]
                     yield pa.RecordBatch.from_arrays([
@@ -48,25 +61,28 @@ def scan_inventory(spark: SparkSession, root: str, recursive: bool = True, glob:
                         pa.array([f.size if f.is_file else 0 for f in part], pa.int64()),
                         pa.array([f.mtime for f in part], pa.timestamp("us", "UTC")),
                         pa.array([f.type == fs.FileType.Directory for f in part], pa.bool_()),
-                    ], names=["directory", "filename", "size", "last_modified", "is_directory"])
+                        pa.nulls(len(part), pa.string()),
+                    ], names=names)
 
+    path = F.when(F.col("directory") == "", F.col("filename")).otherwise(F.concat("directory", F.lit("/"), "filename"))
     level, levels = spark.createDataFrame([("",)], "folder string"), []
     while True:
         spread = level.repartition(task_count(spark), "folder")
         listed = stage(spread.mapInArrow(entries, _ENTRY), "scan")
         levels.append(listed)
-        level = listed.where("is_directory").select(join_path(F.col("directory"), F.col("filename")).alias("folder"))
+        level = listed.where("is_directory AND error IS NULL").select(path.alias("folder"))
         if not recursive or level.isEmpty():
             break
     found = reduce(DataFrame.unionByName, levels)
     if not with_directories:
-        found = found.where(~F.col("is_directory"))
+        found = found.where(~F.col("is_directory") | F.col("error").isNotNull())
     if glob:
         found = found.where(F.col("is_directory") | F.col("filename").rlike(rf"\A{_glob_pattern(glob)}\z"))
     return found.select(
         F.lit(provider).alias("provider"), F.lit(base).alias("container"), "directory", "filename",
-        join_path(F.col("directory"), F.col("filename")).alias("full_path"), "size", "last_modified", "is_directory",
-        F.lit(None).cast("string").alias("etag"), F.create_map().cast(ATTRS).alias("extra"))
+        path.alias("full_path"), "size", "last_modified", "is_directory", F.lit(None).cast("string").alias("etag"),
+        F.when(F.col("error").isNull(), F.create_map().cast(ATTRS))
+        .otherwise(F.create_map(F.lit("error.message"), F.col("error"))).alias("extra"))
 
 
 def _glob_pattern(glob: str) -> str:

@@ -21,6 +21,7 @@ from tidemark.operators.listing import (
 )
 from tidemark.operators.predicates import FilterSpec, apply_filters, min_timestamp
 from tidemark.plans.state import StateStore
+from tidemark.plans.storage import stage
 from tidemark.schema import DEFAULT_SCHEDULE, FAILURE, NO_FILES, SUCCESS
 from tidemark.sources.sinks import read_listing_ids, write_listing
 
@@ -51,7 +52,7 @@ def run_triggered_listing(triggers: DataFrame, inventory: Callable[[SparkSession
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        resolved = resolve_triggers(batch, templates)
+        resolved = stage(resolve_triggers(batch, templates), "triggers")
         now = clock_ms() if clock_ms else None
         rows = match_triggers(resolved, inventory(spark), templates, spec, now, with_attrs=listing is not None)
         if listing is not None:
@@ -132,8 +133,9 @@ class EntityListing:
         self.store = StateStore(self.spark, self.state_root, ENTITY_STATE)
 
     def run(self, inv: DataFrame, version: int, out: str, now_ms: int) -> DataFrame:
-        first = self.store.latest(before=version) is None
         state = self.store.read(before=version)
+        first = self.store.latest(before=version) is None
+        inv = stage(inv, "snapshot")  # the files listed and those remembered must be the same
         emitted, following = track_entities(inv, state, now_ms, self.window_ms, self.initial_target, first,
                                             self.by, self.key)
         target = f"{out}/run={version}"
