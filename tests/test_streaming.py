@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.listing import ListingTemplates
 from tidemark.schema import MESSAGES
 from tidemark.sources.messages import message_stream, trigger_stream
-from tidemark.streaming import dedupe_messages, run_message_routes, run_triggered_listing, schedule
+from tidemark.functions import target_attributes
+from tidemark.streaming import (
+    TriggeredListing, dedupe_messages, run_incremental_triggers, run_message_routes, run_triggered_listing, schedule,
+)
 
 T = ListingTemplates(container="${bucket}", file_filter="${ff}")
 
@@ -74,3 +77,52 @@ def test_replays_are_dropped(spark, tmp_path):
 
 def test_schedule():
     assert schedule() == {"processingTime": "1 minute"} and schedule(None) == {"availableNow": True}
+
+
+def snapshot_of(spark, *names_and_minutes):
+    df = spark.createDataFrame(list(names_and_minutes), "filename string, minute int")
+    return df.select(F.lit("b").alias("container"), F.lit("d").alias("directory"), "filename", F.concat(F.lit("d/"), "filename").alias("full_path"),
+                     F.lit(1).cast("bigint").alias("size"), F.timestamp_millis(F.col("minute") * 60_000).alias("last_modified"),
+                     F.lit(False).alias("is_directory"))
+
+
+def asked(spark, *data):
+    return spark.createDataFrame(list(data), "trigger_id bigint, attrs map<string,string>")
+
+
+@pytest.mark.parametrize("tracking", ["timestamps", "entities"])
+def test_triggered_listing_keeps_state_per_setting(spark, tmp_path, tracking):
+    listing = TriggeredListing(spark, f"{tmp_path}/state", T, tracking, window_ms=10**12,
+                               target=target_attributes("s3", F.col("t_container"), F.col("t_prefix")))
+    one, two = snapshot_of(spark, ("a.csv", 1), ("b.txt", 2)), snapshot_of(spark, ("a.csv", 1), ("b.txt", 2), ("c.csv", 3))
+    same = (1, {"bucket": "b", "ff": r".*\.csv"})
+
+    def run(inv, version, *triggers):
+        out = listing.run(asked(spark, *triggers), inv, version, f"{tmp_path}/out", 10**9)
+        return [r[:3] for r in rows(out, "trigger_id", "route", "filename")], out
+
+    first, out = run(one, 1, same, (2, {"bucket": "none", "x": "y"}), (3, {"bucket": "b", "ff": "["}))
+    assert first == [(1, "success", "a.csv"), (2, "no_files", None), (3, "failure", None)]
+    attrs = {r.trigger_id: r.attributes for r in out.collect()}
+    assert attrs[2] == {"bucket": "none", "x": "y", "s3.bucket": "none", "record.count": "0", "mime.type": "application/parquet"}
+    assert attrs[3]["error.message"] == "invalid pattern" and attrs[3]["s3.bucket"] == "b" and attrs[1] is None
+    for _ in range(2):  # the second attempt gives the same rows
+        assert run(two, 2, same, (4, {"bucket": "b", "ff": r".*\.csv"}))[0] == [(1, "success", "c.csv"), (4, "success", "c.csv")]
+    assert run(two, 3, same)[0] == []  # all matches are old: no row at all
+    assert run(two, 4, (1, {"bucket": "b", "ff": r".*\.(csv|txt)"}))[0] == [(1, "success", "a.csv"), (1, "success", "b.txt"), (1, "success", "c.csv")]
+
+
+def test_a_listing_without_state_starts_at_its_floor(spark, tmp_path):
+    listing = TriggeredListing(spark, f"{tmp_path}/state", T, initial="from_timestamp", initial_ms=2 * 60_000)
+    inv = snapshot_of(spark, ("a", 1), ("b", 2), ("c", 3))
+    out = listing.run(asked(spark, (1, {"bucket": "b"})), inv, 1, f"{tmp_path}/out", 10**9)
+    assert rows(out, "filename") == [("b",), ("c",)]
+
+
+def test_incremental_triggers_as_a_stream(spark, tmp_path):
+    listing = TriggeredListing(spark, f"{tmp_path}/state", T)
+    for number, names in enumerate(([("a", 1)], [("a", 1), ("b", 2)])):
+        land(tmp_path / "in", f"{number}.json", {"trigger_id": number, "attrs": {"bucket": "b"}})
+        run_incremental_triggers(trigger_stream(spark, f"{tmp_path}/in"), lambda s, n=names: snapshot_of(s, *n), listing,
+                                 f"{tmp_path}/out", f"{tmp_path}/cp", lambda: 10**9).awaitTermination()
+    assert [rows(spark.read.parquet(f"{tmp_path}/out/run={n}"), "trigger_id", "filename") for n in (0, 1)] == [[(0, "a")], [(1, "b")]]

@@ -328,6 +328,13 @@ def test_scan_joins_names_as_they_are_and_reports_folders(spark, tmp_path, monke
     assert found == {" /sub/f": (False, False), "sub": (True, True)}
 
 
+def test_csv_listings_hold_maps_as_text(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", {"k": "v"})], "trigger_id bigint, full_path string, extra map<string,string>")
+    back = write_listing(df, f"{tmp_path}/l", "csv")
+    assert rows(back, "trigger_id", "full_path", "extra") == [(1, "a", '{"k":"v"}')]
+    assert write_empty(spark, INVENTORY, f"{tmp_path}/e", "csv") == {"record.count": "0", "mime.type": "text/csv"}
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "json", "orc"])
 def test_listing_sinks(spark, tmp_path, fmt):
     df = spark.range(10).select((F.col("id") % 2).alias("trigger_id"), F.col("id").alias("n"))

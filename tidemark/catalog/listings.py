@@ -11,17 +11,17 @@ from tidemark.catalog.registry import NOW_MS, query
 from tidemark.catalog.views import (
     NATION_LISTING, SUPPLIER_LISTING, inventory, line_inventory, nation_triggers, supplier_triggers,
 )
-from tidemark.functions import to_attributes
+from tidemark.functions import target_attributes, to_attributes
 from tidemark.operators.listing import (
-    ListingTemplates, emit_attributes, list_for_triggers, outcome, resolve_triggers, route_listing,
+    ListingTemplates, emit_attributes, list_for_triggers, match_triggers, outcome, resolve_triggers, route_listing,
     route_listing_s3, route_union, trigger_counts, unmatched_triggers,
 )
 from tidemark.operators.predicates import FilterSpec
 from tidemark.operators.summary import count_unfiltered, listing_summary, record_count
-from tidemark.plans.storage import shared_dir
+from tidemark.plans.storage import shared_dir, stage
 from tidemark.schema import INVENTORY, TRIGGERS
 from tidemark.sources.sinks import write_empty, write_listing
-from tidemark.streaming import run_triggered_listing
+from tidemark.streaming import TimestampListing, TriggeredListing, run_scheduled_listing, run_triggered_listing
 
 _NATION_MATCH = "nat.container = i.container AND (ff IS NULL OR regexp_full_match(filename, ff))"
 _SUPPLIER_MATCH = ("sup.container = i.container AND starts_with(i.full_path, sup.prefix) "
@@ -123,27 +123,110 @@ def _record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CUT = 1_704_097_200_000  # instant after which a file counts as new in the routing query
 
 
-@query("route_listing", f"""WITH m AS (SELECT trigger_id, doc_id, last_modified_ms, is_directory FROM sup JOIN inv i ON {_SUPPLIER_MATCH})
- SELECT trigger_id, doc_id, 'success' AS route FROM m WHERE last_modified_ms >= {_CUT} AND trigger_id % 10 <> 9
- UNION ALL SELECT trigger_id, NULL, 'no_files' FROM sup WHERE trigger_id % 10 <> 9
-  AND NOT EXISTS (SELECT 1 FROM m WHERE m.trigger_id = sup.trigger_id AND NOT m.is_directory)
- UNION ALL SELECT trigger_id, NULL, 'failure' FROM sup WHERE trigger_id % 10 = 9""", ("inv", "sup"))
+def _target():
+    return target_attributes("s3", F.col("t_container"), F.col("t_prefix"))
+
+
+_RAW = "CASE sup.trigger_id % 3 WHEN 0 THEN '.*[.]csv' WHEN 1 THEN ' ' ELSE 'doc_[0-9]*1.*' END"
+
+
+def _described(route: str, source: str, extra: dict[str, str]) -> str:
+    """SQL of the attributes of rows without files: the trigger's, its target's and more."""
+    pairs = {"bucket": "container", "prefix": "prefix", "filter": _RAW, "s3.bucket": "container", "s3.prefix": "prefix",
+             **{k: f"'{v}'" for k, v in extra.items()}}
+    return " UNION ALL ".join(f"SELECT sup.trigger_id, NULL AS doc_id, '{route}' AS route, '{k}' AS name, {v} AS value FROM {source}" for k, v in pairs.items())
+
+
+_NONE = {"record.count": "0", "mime.type": "application/parquet"}
+
+
+def _exploded(routed: DataFrame) -> DataFrame:
+    """Rows without files by attribute; success rows as they are."""
+    return routed.select("trigger_id", "doc_id", "route", F.explode_outer("attributes").alias("name", "value"))
+
+
+@query("route_listing", f"""WITH m AS (SELECT trigger_id, doc_id, last_modified_ms, is_directory FROM sup JOIN inv i ON {_SUPPLIER_MATCH}),
+ none AS (SELECT * FROM sup WHERE trigger_id % 10 <> 9 AND NOT EXISTS (SELECT 1 FROM m WHERE m.trigger_id = sup.trigger_id AND NOT m.is_directory)),
+ bad AS (SELECT * FROM sup WHERE trigger_id % 10 = 9)
+ SELECT trigger_id, doc_id, 'success' AS route, NULL AS name, NULL AS value FROM m WHERE last_modified_ms >= {_CUT} AND trigger_id % 10 <> 9
+ UNION ALL {_described("no_files", "none sup", _NONE)}
+ UNION ALL {_described("failure", "bad sup", {"error.message": "refused", "error.class": "AccessError"})}""", ("inv", "sup"))
 def _route_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches that are all old give no row; triggers whose listing failed give one row."""
-    triggers = supplier_triggers(spark, sf_dir)
-    matches = list_for_triggers(triggers, inventory(spark, sf_dir), SUPPLIER_LISTING)
+    """Matches that are all old give no row; triggers whose listing failed give one row; both other routes are described."""
+    triggers = resolve_triggers(supplier_triggers(spark, sf_dir), SUPPLIER_LISTING)
+    matches = stage(match_triggers(triggers, inventory(spark, sf_dir), SUPPLIER_LISTING), "matches")
     emitted = matches.where(F.col("last_modified") >= F.timestamp_millis(F.lit(_CUT)))
-    failed = triggers.where(F.col("trigger_id") % 10 == 9).select("trigger_id")
-    return route_listing(triggers, matches, emitted, failed).select("trigger_id", "doc_id", "route")
+    failed = triggers.where(F.col("trigger_id") % 10 == 9).select(
+        "trigger_id", F.lit("refused").alias("error_message"), F.lit("AccessError").alias("error_class"))
+    return _exploded(route_listing(triggers, matches, emitted, failed, target=_target()))
 
 
-@query("route_listing_s3", f"""SELECT trigger_id, doc_id, 'success' AS route FROM sup JOIN inv i ON {_SUPPLIER_MATCH}
- UNION ALL SELECT trigger_id, NULL, 'no_files' FROM sup WHERE NOT EXISTS
-  (SELECT 1 FROM inv i WHERE i.container = sup.container AND starts_with(i.full_path, sup.prefix))""", ("inv", "sup"))
+@query("route_listing_s3", f"""WITH none AS (SELECT * FROM sup WHERE NOT EXISTS
+  (SELECT 1 FROM inv i WHERE i.container = sup.container AND starts_with(i.full_path, sup.prefix)))
+ SELECT trigger_id, doc_id, 'success' AS route, NULL AS name, NULL AS value FROM sup JOIN inv i ON {_SUPPLIER_MATCH}
+ UNION ALL {_described("no_files", "none sup", _NONE)}""", ("inv", "sup"))
 def _route_s3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    triggers, inv = supplier_triggers(spark, sf_dir), inventory(spark, sf_dir)
-    matches = list_for_triggers(triggers, inv, SUPPLIER_LISTING)
-    return route_listing_s3(triggers, inv, matches, SUPPLIER_LISTING).select("trigger_id", "doc_id", "route")
+    triggers, inv = resolve_triggers(supplier_triggers(spark, sf_dir), SUPPLIER_LISTING), inventory(spark, sf_dir)
+    matches = match_triggers(triggers, inv, SUPPLIER_LISTING)
+    return _exploded(route_listing_s3(triggers, inv, matches, SUPPLIER_LISTING, target=_target()))
+
+
+_M = "JOIN inv i ON t.container = i.container AND starts_with(i.full_path, t.prefix) AND (t.ff IS NULL OR regexp_full_match(filename, t.ff))"
+
+
+@query("triggered_incremental_listing", f"""WITH t2 AS (SELECT trigger_id, container, prefix, CASE WHEN trigger_id % 5 = 0 THEN 'doc_.*' ELSE ff END AS ff FROM sup),
+ m1 AS (SELECT t.*, i.doc_id, last_modified_ms AS lm, is_directory FROM sup t {_M} WHERE last_modified_ms < {_CUT}),
+ m2 AS (SELECT t.*, i.doc_id, last_modified_ms AS lm, is_directory FROM t2 t {_M}),
+ wm AS (SELECT DISTINCT container, prefix, coalesce(ff, '') AS ff, max(lm) OVER (PARTITION BY container, prefix, coalesce(ff, '')) AS wm FROM m1),
+ o AS (SELECT 'timestamps' AS tracking, 1 AS run, trigger_id, 'success' AS route, CAST(NULL AS VARCHAR) AS bucket FROM m1
+  UNION ALL SELECT 'entities', 1, trigger_id, 'success', NULL FROM m1
+  UNION ALL SELECT 'timestamps', 2, trigger_id, 'success', NULL FROM m2 LEFT JOIN wm ON m2.container = wm.container AND m2.prefix = wm.prefix AND coalesce(m2.ff, '') = wm.ff
+   WHERE wm IS NULL OR lm > wm
+  UNION ALL SELECT 'entities', 2, trigger_id, 'success', NULL FROM m2 LEFT JOIN wm ON m2.container = wm.container AND m2.prefix = wm.prefix AND coalesce(m2.ff, '') = wm.ff
+   WHERE wm IS NULL OR lm >= {_CUT}
+  UNION ALL SELECT k, 1, trigger_id, 'no_files', container FROM sup CROSS JOIN (VALUES ('timestamps'), ('entities')) x(k)
+   WHERE NOT EXISTS (SELECT 1 FROM m1 WHERE m1.trigger_id = sup.trigger_id AND NOT is_directory)
+  UNION ALL SELECT k, r, trigger_id, 'no_files', container FROM t2 CROSS JOIN (VALUES ('timestamps'), ('entities')) x(k) CROSS JOIN (VALUES (2), (3)) y(r)
+   WHERE NOT EXISTS (SELECT 1 FROM m2 WHERE m2.trigger_id = t2.trigger_id AND NOT is_directory))
+ SELECT tracking, run, trigger_id, route, bucket, count(*) AS n FROM o GROUP BY ALL""", ("inv", "sup"))
+def _triggered_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three cycles by time and by entity: part of the files, then all of them with some filters changed, then nothing new."""
+    path, inv = f"{shared_dir(spark)}/incremental-{uuid.uuid4().hex}", inventory(spark, sf_dir)
+    before = supplier_triggers(spark, sf_dir)
+    changed = F.map_zip_with("attrs", F.create_map(F.lit("filter"), F.lit("doc_.*")), lambda k, old, new: F.coalesce(new, old))
+    after = before.withColumn("attrs", F.when(F.col("trigger_id") % 5 == 0, changed).otherwise(F.col("attrs")))
+    part, parts = inv.where(F.col("last_modified") < F.timestamp_millis(F.lit(_CUT))), []
+    for tracking in ("timestamps", "entities"):
+        listing = TriggeredListing(spark, f"{path}/{tracking}/state", SUPPLIER_LISTING, tracking, target=_target(), window_ms=NOW_MS)
+        for run, (asked, files) in enumerate(((before, part), (after, inv), (after, inv)), 1):
+            rows = listing.run(asked, files, run, f"{path}/{tracking}/out", NOW_MS)
+            parts.append(rows.select(F.lit(tracking).alias("tracking"), F.lit(run).alias("run"), "trigger_id", "route",
+                                     F.col("attributes")["s3.bucket"].alias("bucket")))
+    return route_union(*parts).groupBy("tracking", "run", "trigger_id", "route", "bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("scheduled_listing", f"""SELECT 0 AS run, container, count(*) AS n FROM inv WHERE last_modified_ms < {_CUT} GROUP BY container
+ UNION ALL SELECT 1, container, count(*) FROM inv WHERE last_modified_ms >= {_CUT} GROUP BY container""", ("inv",))
+def _scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A timer lists the inventory twice without any trigger: part of the files, then all."""
+    path = f"{shared_dir(spark)}/scheduled-{uuid.uuid4().hex}"
+    listing, runs = TimestampListing(spark, f"{path}/state", key="full_path"), []
+
+    def tick(inv: DataFrame, number: int) -> None:
+        if number < 2:
+            cut = F.timestamp_millis(F.lit(_CUT))
+            listing.run(inv if number else inv.where(F.col("last_modified") < cut), number, f"{path}/out")
+            runs.append(number)
+
+    timer = run_scheduled_listing(spark, lambda s: inventory(s, sf_dir), tick, f"{path}/checkpoint", "5 seconds")
+    try:
+        while len(runs) < 2:
+            if timer.awaitTermination(1):
+                break
+    finally:
+        timer.stop()
+    rows = [spark.read.parquet(f"{path}/out/run={n}").select(F.lit(n).alias("run"), "container") for n in (0, 1)]
+    return route_union(*rows).groupBy("run", "container").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("route_union", f"""SELECT trigger_id, route, count(*) AS n FROM (

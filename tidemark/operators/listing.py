@@ -248,16 +248,36 @@ def route_union(*routes: DataFrame) -> DataFrame:
     return out
 
 
+def empty_attributes(target: Column, mime_type: str) -> Column:
+    """Attributes of a trigger without files: its own, its target, and a record count of zero."""
+    none = F.create_map(F.lit("record.count"), F.lit("0"), F.lit("mime.type"), F.lit(mime_type))
+    return merge_attributes(F.col("attrs"), merge_attributes(target, none))
+
+
+def _failed_rows(triggers: DataFrame, failed: DataFrame, target: Column) -> DataFrame:
+    described = join_checked(triggers, failed, ["trigger_id"])
+    kind = F.col("error_class") if "error_class" in failed.columns else F.lit(None).cast("string")
+    message = F.col("error_message") if "error_message" in failed.columns else F.lit(None).cast("string")
+    attrs = merge_attributes(F.col("attrs"), merge_attributes(target, F.map_filter(
+        error_attributes(message, kind), lambda k, v: v.isNotNull())))
+    return described.select(*failed.columns, attrs.alias("attributes"))
+
+
 def route_listing(triggers: DataFrame, matches: DataFrame, emitted: DataFrame | None = None,
-                  failed: DataFrame | None = None, records_requested: bool = True) -> DataFrame:
+                  failed: DataFrame | None = None, records_requested: bool = True,
+                  target: Column | None = None, mime_type: str = "application/parquet") -> DataFrame:
     """Rows of a run with their ``route``.
 
     ``matches`` are the files that pass the filters regardless of the stored
     time, ``emitted`` those of them that are new (default: all).  A trigger
     whose matches are all old gives no row at all; one without any match gives a
     ``no_files`` row if records are requested; those in ``failed``
-    (``trigger_id`` and whatever describes the error) give a ``failure`` row
-    and nothing else.
+    (``trigger_id``, ``error_message``, ``error_class`` and whatever else
+    describes the error) give a ``failure`` row and nothing else.  With
+    ``target``, a map over the trigger's columns, the last two kinds of rows
+    have ``attributes``: the trigger's own (``attrs``), the target's, and the
+    record count or the error.  Both tables of files are used twice: stage them
+    if they are costly.
     """
     rows = (matches if emitted is None else emitted).withColumn("route", F.lit(SUCCESS))
     parts = []
@@ -266,23 +286,30 @@ def route_listing(triggers: DataFrame, matches: DataFrame, emitted: DataFrame |
         ids = failed.select("trigger_id").distinct()
         live = triggers.join(ids, "trigger_id", "left_anti")
         rows = join_checked(rows, ids, ["trigger_id"], "left_anti")
-        parts.append(failed.withColumn("route", F.lit(FAILURE)))
+        parts.append((failed if target is None else _failed_rows(triggers, failed, target)).withColumn("route", F.lit(FAILURE)))
     if records_requested:
         files = matches.where(~F.col("is_directory")) if "is_directory" in matches.columns else matches
-        parts.append(unmatched_triggers(live, files).select("trigger_id").withColumn("route", F.lit(NO_FILES)))
+        parts.append(_empty_rows(unmatched_triggers(live, files), target, mime_type))
     return route_union(rows, *parts)
 
 
+def _empty_rows(triggers: DataFrame, target: Column | None, mime_type: str) -> DataFrame:
+    described = [] if target is None else [empty_attributes(target, mime_type).alias("attributes")]
+    return triggers.select("trigger_id", *described).withColumn("route", F.lit(NO_FILES))
+
+
 def route_listing_s3(triggers: DataFrame, inv: DataFrame, matches: DataFrame, templates: ListingTemplates,
-                     records_requested: bool = True) -> DataFrame:
+                     records_requested: bool = True, target: Column | None = None,
+                     mime_type: str = "application/parquet") -> DataFrame:
     """Object-store routing: emptiness is tested on the prefix before any filter.
 
-    A trigger whose objects are all filtered away gives no row.
+    A trigger whose objects are all filtered away gives no row.  ``target`` as
+    in ``route_listing``.
     """
     parts = [matches.withColumn("route", F.lit(SUCCESS))]
     if records_requested:
         empty = has_objects(inv, triggers, templates).where(~F.col("has_objects"))
-        parts.append(empty.select("trigger_id").withColumn("route", F.lit(NO_FILES)))
+        parts.append(_empty_rows(empty, target, mime_type))
     return route_union(*parts)
 
 

@@ -10,14 +10,22 @@ MIME_TYPES = {"json": "application/json", "csv": "text/csv", "parquet": "applica
               "orc": "application/orc"}
 
 
+def _writable(df: DataFrame, fmt: str) -> DataFrame:
+    """Text formats hold no maps: these become JSON text."""
+    maps = [f.name for f in df.schema.fields if f.dataType.typeName() == "map"] if fmt == "csv" else []
+    return df.withColumns({c: F.to_json(c) for c in maps}) if maps else df
+
+
 def write_listing(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ("trigger_id",),
                   mode: str = "append") -> DataFrame:
     """Write whole listings as records, one folder per trigger.
 
     The rebalance hint gathers the rows of a trigger before the write and lets
     Spark split a trigger that holds most of the rows over many tasks, so there
-    are neither thousands of tiny files nor one giant task.
+    are neither thousands of tiny files nor one giant task.  In CSV, maps are
+    JSON text.
     """
+    df = _writable(df, fmt)
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode).format(fmt)
@@ -34,5 +42,5 @@ def read_listing_ids(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
 
 def write_empty(spark: SparkSession, schema: StructType, path: str, fmt: str = "parquet") -> dict[str, str]:
     """Write a record set of zero rows that keeps its schema; returns its attributes."""
-    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    _writable(spark.createDataFrame([], schema), fmt).coalesce(1).write.mode("overwrite").format(fmt).save(path)
     return {"record.count": "0", "mime.type": MIME_TYPES.get(fmt, "application/octet-stream")}

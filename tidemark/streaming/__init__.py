@@ -1,9 +1,10 @@
 """Structured Streaming forms of the listing and message operators."""
 
 from tidemark.streaming.listing_stream import (
-    EntityListing, TimestampListing, run_triggered_listing, schedule,
+    EntityListing, TimestampListing, TriggeredListing, run_incremental_triggers, run_scheduled_listing,
+    run_triggered_listing, schedule,
 )
 from tidemark.streaming.message_stream import dedupe_messages, run_message_routes
 
-__all__ = ["EntityListing", "TimestampListing", "dedupe_messages", "run_message_routes",
-           "run_triggered_listing", "schedule"]
+__all__ = ["EntityListing", "TimestampListing", "TriggeredListing", "dedupe_messages", "run_incremental_triggers",
+           "run_message_routes", "run_scheduled_listing", "run_triggered_listing", "schedule"]

@@ -12,14 +12,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.incremental import (
-    ENTITY_STATE, TIMESTAMP_STATE, new_since, next_state, track_entities, watermark_floor,
+    ENTITY_STATE, TIMESTAMP_STATE, fingerprint, initial_floor, new_since, next_state, track_entities, watermark_floor,
 )
 from tidemark.operators.listing import (
-    ListingTemplates, emit_attributes, match_triggers, resolve_triggers,
+    ListingTemplates, emit_attributes, match_triggers, resolve_triggers, route_listing,
 )
 from tidemark.operators.predicates import FilterSpec, apply_filters, min_timestamp
+from tidemark.plans.joins import join_checked
 from tidemark.plans.state import StateStore
 from tidemark.plans.storage import stage
 from tidemark.schema import DEFAULT_SCHEDULE, FAILURE, NO_FILES, SUCCESS
@@ -143,3 +145,94 @@ class EntityListing:
         self.store.write(following, version)
         self.store.prune(KEPT_STATES)
         return self.spark.read.schema(emitted.schema).parquet(target)
+
+
+@dataclass
+class TriggeredListing:
+    """Listings asked for by triggers, each compared with the state of its own listing.
+
+    A listing is a set of resolved settings, known by their fingerprint: equal
+    triggers share its state, and a changed setting starts afresh.  ``tracking``
+    is ``timestamps``, ``entities`` or ``none``.  ``target`` is a map over the
+    resolved trigger's columns (``t_container``, ``t_prefix``, ``t_directory``).
+    """
+
+    spark: SparkSession
+    state_root: str
+    templates: ListingTemplates
+    tracking: str = "timestamps"
+    spec: FilterSpec | None = None
+    target: Column | None = None
+    initial: str = "all_files"
+    initial_ms: int | None = None
+    window_ms: int | None = None
+    key: str = "full_path"
+
+    def __post_init__(self) -> None:
+        if self.tracking not in ("timestamps", "entities", "none"):
+            raise ValueError(f"unknown tracking {self.tracking!r}")
+        kept = ENTITY_STATE if self.tracking == "entities" else TIMESTAMP_STATE
+        self.store = StateStore(self.spark, self.state_root, StructType(
+            [StructField("listing", StringType())] + [f for f in kept.fields if f.name != "container"]))
+
+    def run(self, triggers: DataFrame, inv: DataFrame, version: int, out: str, now_ms: int | None = None,
+            records_requested: bool = True) -> DataFrame:
+        """Route the files that are new for each trigger, write them, and only then commit the state.
+
+        Files of a listing without any state so far must pass the initial floor.
+        Triggers, matches and new files are staged, so triggers are resolved and
+        the inventory is read once.  A repeated version gives the same result.
+        """
+        state = self.store.read(before=version)
+        names = ["t_container", "t_directory", "t_prefix", "t_file", "t_path"]
+        resolved = stage(resolve_triggers(triggers, self.templates).withColumn(
+            "listing", fingerprint({n: F.col(n) for n in names})), "triggers")
+        found = match_triggers(resolved, inv, self.templates, self.spec, now_ms, with_attrs=True)
+        listed = join_checked(found, resolved.select("trigger_id", "listing"), ["trigger_id"])
+        floor = initial_floor(self.initial, True, self.tracking, now_ms, self.initial_ms)
+        if floor is not None:
+            begun = state.select("listing").distinct().withColumn("_begun", F.lit(True))
+            listed = join_checked(listed, begun, ["listing"], "left").where(
+                F.col("_begun").isNotNull() | min_timestamp(floor)).drop("_begun")
+        listed = stage(listed, "matches")
+        if self.tracking == "timestamps":
+            fresh = new_since(listed, state, "listing", self.key)
+            following = None
+        elif self.tracking == "entities":
+            fresh, following = track_entities(listed, state, now_ms, self.window_ms, by="listing", key=self.key)
+        else:
+            fresh, following = listed, state
+        fresh = stage(fresh, "fresh")
+        failed = resolved.where(~F.col("is_valid")).select("trigger_id", F.lit("invalid pattern").alias("error_message"))
+        routed = route_listing(resolved, listed, fresh, failed, records_requested, self.target)
+        path = f"{out}/run={version}"
+        routed.write.mode("overwrite").parquet(path)
+        if following is None:
+            following = next_state(fresh, state, "listing", self.key)
+        self.store.write(following.select(self.store.schema.fieldNames()).distinct(), version)
+        self.store.prune(KEPT_STATES)
+        return self.spark.read.schema(routed.schema).parquet(path)
+
+
+def run_incremental_triggers(triggers: DataFrame, inventory: Callable[[SparkSession], DataFrame], listing: TriggeredListing,
+                             out: str, checkpoint: str, clock_ms: Callable[[], int] | None = None,
+                             trigger: dict | None = None) -> StreamingQuery:
+    """``TriggeredListing`` over a stream of triggers: one run per batch, numbered by the batch id."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        listing.run(batch, inventory(batch.sparkSession), batch_id, out, clock_ms() if clock_ms else None)
+
+    return (triggers.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or schedule(None))).start())
+
+
+def run_scheduled_listing(spark: SparkSession, inventory: Callable[[SparkSession], DataFrame],
+                          listing: Callable[[DataFrame, int], object], checkpoint: str,
+                          interval: str = DEFAULT_SCHEDULE) -> StreamingQuery:
+    """List on a timer, without any trigger: ``listing`` gets the current snapshot and the number of the run.
+
+    Every interval brings one batch, whose id is the number; a batch that is
+    repeated after a failure has the same number.
+    """
+    ticks = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load())
+    return (ticks.writeStream.foreachBatch(lambda batch, number: listing(inventory(batch.sparkSession), number) and None)
+            .option("checkpointLocation", checkpoint).trigger(**schedule(interval)).start())
