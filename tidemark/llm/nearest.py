@@ -19,14 +19,15 @@ from tidemark.llm.common import SMALL, table
 from tidemark.llm.registry import query
 from tidemark.llm.vectors import cosines, lengths, unpacked, units, usable
 from tidemark.plans.joins import join_checked
-from tidemark.plans.storage import stage
+from tidemark.plans.storage import stage, task_count
 
 #: Tables, width of a cell (projections of unit vectors have deviation 1), and outermost cell.
 TABLES, WIDTH, EDGE = 3, 1.0, 4
 #: Buckets per table visited first, and the chance of passing by the k-th neighbour that ends the search.
 FIRST, MISS = 4, 0.01
-#: Vectors per bucket that the number of projections aims at; vectors and queries compared in one task.
-PER_BUCKET, CHUNK = 200, 4_000
+#: Vectors per bucket that the number of projections aims at: a query visits few large buckets, since each visit is a
+#: row.  Vectors, and queries, compared in one task.
+PER_BUCKET, CHUNK = 2_500, 4_000
 
 
 class Hashes:
@@ -182,7 +183,7 @@ def _search(vectors: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFra
             yield pd.DataFrame({"query_id": rows["vec_id"], "query": [v.tobytes() for v in values]})
 
     asks = stage(queries.select("vec_id", "embedding").mapInPandas(pack, "query_id bigint, query binary"), "lsh-queries")
-    probe = lambda rows: stage(rows.mapInPandas(choose, "number int, bucket bigint, query_id bigint, query binary"), "lsh-probes")
+    probe = lambda rows: stage(rows.repartition(task_count(rows.sparkSession), "query_id").mapInPandas(choose, "number int, bucket bigint, query_id bigint, query binary"), "lsh-probes")
     begun = asks.withColumn("kth", F.lit(None).cast("double")).withColumn("again", F.lit(False))
     first = stage(best_of(_visit(index, probe(begun), crowd, dim, k), k), "lsh-first")
     kth = first.where(F.col("rank") == k).groupBy("query_id").agg(F.max("score").alias("kth"))
