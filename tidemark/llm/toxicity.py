@@ -22,7 +22,7 @@ from tidemark.plans.storage import stage
 FEATURES = 3_000
 #: A feature counts only if this many training documents hold it.
 MIN_DOCS = 5
-#: Labelled documents that the weights are fitted on, at most (chosen by hash of the id).
+#: Labelled documents that the weights are fitted on, at most (those with the smallest hashes of their ids).
 SAMPLE_DOCS = 20_000
 #: Lengths of word beginnings that are features besides whole words.
 PREFIXES = (4, 5)
@@ -123,20 +123,23 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, si
 
         return work
 
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    # Only hashes are sorted; the texts of the sample stay in their tasks.
+    place = F.xxhash64("doc_id")
+    last = rows.select(place.alias("place")).orderBy("place").limit(sample_docs).agg(F.max("place")).first()[0]
+    sample = rows.where(place <= last)
     bags = add_from_text(sample, "bags array<array<int>>", start).select("toxic", "bags").toArrow()
     return _fit(bags["bags"].to_pylist(), bags["toxic"].to_pylist(), features)
 
 
 class _Memo(dict):
-    """Values by word, at most 200,000 at a time."""
+    """Values by word, at most 100,000 at a time."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
 
     def __missing__(self, word):
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = self.make(word)
         return value
