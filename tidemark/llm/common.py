@@ -54,6 +54,8 @@ def add_from_text(df: DataFrame, added: str, start, text: str = "text") -> DataF
     schema = StructType(kept.schema.fields + StructType.fromDDL(added).fields)
     kinds = [to_arrow_type(f.dataType) for f in StructType.fromDDL(added).fields]
     at = [c.lower() for c in kept.columns].index(text)
+    # Arrow batches are bounded by rows only unless told otherwise; long texts need a bound in bytes.
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * SLICE_BYTES))
 
     def run(batches):
         import pyarrow as pa
@@ -71,5 +73,6 @@ def add_from_text(df: DataFrame, added: str, start, text: str = "text") -> DataF
                            for c, kind in zip(work(part.column(at).to_pylist()), kinds)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=schema.names)
                 first = last
+        pa.default_memory_pool().release_unused()  # the process stays for other tasks
 
     return kept.mapInArrow(run, schema)

@@ -80,7 +80,7 @@ class Shingles:
     def _hash(self, word: bytes) -> int:
         import xxhash
 
-        if len(self.known) > 400_000:
+        if len(self.known) > 200_000:
             self.known.clear()
         value = self.known[word] = xxhash.xxh64_intdigest(word)
         return value

@@ -23,7 +23,7 @@ from tidemark.llm.registry import query
 
 SPACE = "▁"
 #: Units that a Python process keeps with their ids (twice as many at most), and their length at most.
-MEMO_UNITS, MEMO_CHARS, MEMO_PAIRS = 400_000, 48, 500_000
+MEMO_UNITS, MEMO_CHARS, MEMO_PAIRS = 100_000, 48, 200_000
 
 
 def read_model(path: str) -> dict:
