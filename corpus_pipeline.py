@@ -48,11 +48,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every text of the mix."""
+    """The ids of every text of the mix, and the text that they decode to."""
     import public_tokenizers
 
-    out = encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), decode=False)
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    out = encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), decode=True)
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("near_copies", drop_near_copies),

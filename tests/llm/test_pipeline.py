@@ -38,3 +38,18 @@ def test_stages_take_odd_documents(spark):
         for _, step in STAGES:
             now = stage(step(spark, now, sf_dir), "test-odd")
         assert now.count() <= 2 * some.count()
+
+
+def test_last_stage_encodes_and_decodes(spark, sf_dir, odd_texts):
+    import public_tokenizers
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = odd_texts + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert sorted(r.doc_id for r in out) == list(range(len(texts)))
+    for r in out:
+        ids = library.encode(texts[r.doc_id] or "")
+        assert (r.n_tokens, r.ids, r.decoded) == (len(ids), ids, library.decode(ids))
