@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import SMALL, table
+from tidemark.llm.common import SMALL, table, two_hashes
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import join_ngrams
@@ -32,13 +32,22 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share most of their five-word shingles, connected at 0.8, the one with the smallest id.
+    """Of rows that share most of their five-word shingles, connected at 0.8, the one with the smallest id.
 
+    Rows are judged one by one, each by its own text, also where they repeat an
+    id; ties go by text, then by the other columns, and of equal rows one stays.
     Empty documents, and rows without an id, link with nothing and stay.
     """
-    joined = join_ngrams(docs.select("doc_id", "text"), words=5, per_cent=80)
-    gone = stage(joined.where("component_id <> doc_id").select("doc_id").distinct(), "pipeline-copies")
-    return join_checked(docs, gone, ["doc_id"], "left_anti", limit=SMALL).select(COLUMNS)
+    # Each row has a name of its own here, so rows with one id neither link nor go together.
+    rows = stage(docs.select(*COLUMNS).withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())),
+                 "pipeline-rows")
+    order = F.struct("doc_id", *[h.alias(f"_h{i}") for i, h in enumerate(two_hashes(F.col("text")))],
+                     F.xxhash64("lang", "source", "n_chars").alias("_rest"), "_row")
+    joined = join_ngrams(rows.select(F.col("_row").alias("doc_id"), "text", order.alias("_order")), words=5, per_cent=80)
+    judged = stage(joined.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_row"), "component_id", "_order"), "pipeline-judged")
+    first = judged.groupBy("component_id").agg(F.min("_order").alias("_order")).select("_order._row")
+    gone = stage(judged.select("_row").join(first, "_row", "left_anti"), "pipeline-copies")
+    return join_checked(rows, gone, ["_row"], "left_anti", limit=SMALL).select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,3 +53,24 @@ def test_last_stage_encodes_and_decodes(spark, sf_dir, odd_texts):
     for r in out:
         ids = library.encode(texts[r.doc_id] or "")
         assert (r.n_tokens, r.ids, r.decoded) == (len(ids), ids, library.decode(ids))
+
+
+def test_near_copies_are_judged_row_by_row(spark, sf_dir):
+    base = [f"w{i}" for i in range(60)]
+    text, near, other, third = " ".join(base), " ".join(base[:-1]), "quite another text that stands alone here", "one more text like no other at all"
+    rows = [(1, text, "en", "a"), (5, near, "en", "a"), (5, other, "en", "a"),  # one text of id 5 is a copy, the other is not
+            (7, third, "en", "b"), (7, third, "en", "b"), (7, third, "en", "b"),  # equal rows
+            (8, third + " x", "en", "a"), (8, "a b c d e f g", "de", "a"),
+            (9, "p q r s t u", "en", "a"), (9, "v w x y z a b", "en", "a"),  # different texts, both alone
+            (11, "same id two sources here now", "en", "b"), (11, "same id two sources here now", "en", "c"),
+            (None, text, "en", "a"), (None, text, "en", "a"), (12, "", "en", "a"), (12, "", "en", "a"), (13, None, "en", "a")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    near_copies = dict(STAGES)["near_copies"]
+    got = [[(r.doc_id, r.text, r.source) for r in near_copies(spark, d, sf_dir).collect()] for d in (docs, docs.repartition(5), docs.orderBy("text"))]
+    key = lambda r: repr(r)
+    elevens = [sorted((r for r in g if r[0] == 11), key=key) for g in got]
+    assert len(elevens[0]) == 1 and elevens[0] == elevens[1] == elevens[2]
+    want = [(1, text, "a"), (5, other, "a"), (7, third, "b"), (8, "a b c d e f g", "a"), (9, "p q r s t u", "a"), (9, "v w x y z a b", "a"),
+            (None, text, "a"), (None, text, "a"), (12, "", "a"), (12, "", "a"), (13, None, "a")]
+    for g in got:
+        assert sorted((r for r in g if r[0] != 11), key=key) == sorted(want, key=key)
