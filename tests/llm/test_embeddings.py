@@ -105,3 +105,35 @@ def test_nearest(spark, monkeypatch, chunk):
     assert sorted(r.rank for r in few) == [1, 2, 3]
     assert nearest.nearest(vectors.limit(0), vectors.limit(0)).collect() == []
     assert nearest.nearest(vectors, table(spark, [(0, rows[0][1])]), 1).first().score == pytest.approx(1.0)
+
+
+def test_second_visit_leaves_out_just_what_the_first_visited(spark, monkeypatch):
+    staged, real = {}, nearest.stage
+
+    def keep(df, label):
+        staged.setdefault(label, []).append(real(df, label))
+        return staged[label][-1]
+
+    monkeypatch.setattr(nearest, "stage", keep)
+    monkeypatch.setattr(nearest, "PER_BUCKET", 24)
+    rng, rows = np.random.default_rng(6), []
+    for v in rng.standard_normal((80, 16)):
+        for aside in rng.standard_normal((5, 16)):
+            rows.append((len(rows), np.float32(v / np.linalg.norm(v) + 0.3 * aside / np.linalg.norm(aside)).tolist()))
+    vectors = table(spark, rows)
+    nearest.nearest(vectors, vectors, 3).collect()
+    hashes, (first, second) = nearest.Hashes(16, len(rows)), [
+        {(r.query_id, r.number, r.bucket) for r in p.collect()} for p in staged["lsh-probes"]]
+    held = [(r.number, r.bucket) for r in staged["lsh-buckets"][0].collect()]
+    kth = {r.query_id: r.score for r in staged["lsh-first"][0].where("rank = 3").collect()}
+    assert hashes.functions == 2 and len(kth) > 300 and not first & second
+    for q, score in kth.items():
+        value = nearest.units(np.array([rows[q][1]], float))
+        for number in range(nearest.TABLES):
+            buckets = np.array([b for n, b in held if n == number])
+            chance = hashes.chances(hashes.places(value, number), buckets, np.sqrt([2 - 2 * score]))[0]
+            order = np.argsort(-chance, kind="stable")
+            left = 1 - np.cumsum(chance[order])
+            # Every bucket is reached before which more chance is left than what ends the search.
+            wanted = buckets[order][np.concatenate([[1.0], left[:-1]]) > nearest.MISS ** (1 / nearest.TABLES) + 1e-9]
+            assert all((q, number, b) in first | second for b in wanted.tolist())

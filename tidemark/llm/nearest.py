@@ -76,6 +76,16 @@ def _normal(x):
     return np.where(x >= 0, 1 - tail, tail)
 
 
+def first_buckets(hashes: Hashes, values, number: int, buckets):
+    """Positions of the buckets that each query visits first: the likeliest for a neighbour at distance 1."""
+    import numpy as np
+
+    # Row by row, so that a query gets the same buckets among whatever others it stands.
+    places = np.array([hashes.places(v, number) for v in values]).reshape(len(values), hashes.functions)
+    chance = hashes.chances(places, buckets, np.ones(len(values)))
+    return np.argsort(-chance, axis=1, kind="stable")[:, :FIRST]
+
+
 def best_of(found: DataFrame, k: int) -> DataFrame:
     """The k best distinct candidates of each query; ties go to the smaller id."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -166,8 +176,10 @@ def _search(vectors: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFra
                     passed = 1 - np.cumsum(np.take_along_axis(chance, order, axis=1), axis=1)
                     # A bucket is visited if too much chance is left before it.
                     wanted = np.concatenate([np.ones((len(some), 1)), passed[:, :-1]], axis=1) > share
-                    few = np.arange(len(buckets))[None, :] < FIRST
-                    wanted = np.where(first[:, None], few, wanted & ~few)
+                    # The first visit had no distance, so it went by another order: just its buckets are left out now.
+                    before = first_buckets(hashes, values, number, buckets)
+                    visited = (order[:, :, None] == before[:, None, :]).any(axis=2)
+                    wanted = np.where(first[:, None], visited, wanted & ~visited)
                     # Without k neighbours so far, all buckets are visited.
                     wanted |= (some["kth"].isna() & some["again"]).to_numpy()[:, None]
                     q, b = np.nonzero(wanted)
