@@ -18,9 +18,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    df = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import Window, functions as F
 
 from tidemark.operators.incremental import (

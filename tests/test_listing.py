@@ -2,7 +2,7 @@ import random
 import re
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidemark.functions import render, target_attributes
