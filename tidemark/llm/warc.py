@@ -212,6 +212,7 @@ def normalise_archives(archives: DataFrame, revisited: DataFrame | None = None,
     tagged = archives.select("archive", *[F.lit(None).cast(part.split()[1]).alias(part.split()[0]) for part in what.split(", ")[1:]])
     if revisited is not None:
         tagged = tagged.union(revisited.select(tagged.columns))
+    tagged = stage(tagged, "archives-revisited")  # as a table, so that Spark deals archives to as many tasks as asked for
 
     def run(batches):
         name, marked, done = None, {}, []
@@ -289,7 +290,8 @@ def read_index(archives: DataFrame) -> DataFrame:
                         yield _batch([(archive, int(o), int(n), kind.decode()) for o, n, kind in cut],
                                      "archive string, offset bigint, length bigint, record_type string")
 
-    return archives.select("archive", "index").mapInArrow(run, "archive string, offset bigint, length bigint, record_type string")
+    spread = archives.select("archive", "index").repartition(task_count(archives.sparkSession), "archive")
+    return spread.mapInArrow(run, "archive string, offset bigint, length bigint, record_type string")
 
 
 def fetch_records(found: DataFrame, payloads: bool = True) -> DataFrame:
