@@ -208,3 +208,50 @@ def test_prefixes_in_one_folder_meet_only_their_files(spark):
     assert "t_anchor" in plan
     side, t = listing_module._anchored(files, [15], True), triggers.select("trigger_id", F.col("attrs")["p"].alias("t_anchor"))
     assert side.join(t, "t_anchor").count() == 2_000  # no pair is left for the prefix test to drop
+
+
+def nested_case(spark, seed, n_triggers, n_files, lengths):
+    """Keys over two letters, so that prefixes of many lengths enclose each other."""
+    rnd = random.Random(seed)
+    inv = [(rnd.choice(["a", "b"]), "".join(rnd.choices("xy", weights=[5, 1], k=rnd.randint(0, lengths + 5))), i) for i in range(n_files)]
+    heads = [rnd.choice(inv)[:2] for _ in range(n_triggers)]
+    trig = [(i, {"bucket": c, "prefix": key[:rnd.randint(0, lengths)] + rnd.choice(["", "", "z"]), "ff": ""}) for i, (c, key) in enumerate(heads)]
+    want = sorted(((t, k, n) for t, a in trig for c, k, n in inv if c == a["bucket"] and k.startswith(a["prefix"])), key=repr)
+    return triggers(spark, *trig), files(spark, inv), want
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_nested_prefixes_by_brute_force(spark, seed):
+    t, inv, want = nested_case(spark, seed, 120, 300, 20)
+    got = list_for_triggers(t, inv, T)
+    assert rows(got, "trigger_id", "full_path", "size") == want and len(want) > 1_000
+
+
+@pytest.mark.parametrize("recursive", [True, False])
+def test_nested_folders_by_brute_force(spark, recursive):
+    rnd = random.Random(5)
+    paths = ["/".join(rnd.choices(["a", "ab", "é"], weights=[6, 1, 1], k=rnd.randint(0, 9)) + [f"f{i}"]) for i in range(300)]
+    wanted = ["/".join(rnd.choices(["a", "ab", "é"], weights=[6, 1, 1], k=rnd.randint(0, 8))) for _ in range(60)]
+    t = triggers(spark, *[(i, {"bucket": "b", "prefix": rnd.choice(["", "/"]) + w}) for i, w in enumerate(wanted)])
+    got = list_for_triggers(t, files(spark, [("b", p, i) for i, p in enumerate(paths)]),
+                            ListingTemplates(container="${bucket}", directory="${prefix}", recursive=recursive))
+
+    def inside(path, folder):
+        parts, where = path.split("/")[:-1], folder.split("/") if folder else []
+        return parts[:len(where)] == where if recursive else parts == where
+
+    assert rows(got, "trigger_id", "full_path") == sorted(((i, p) for i, w in enumerate(wanted) for p in paths if inside(p, w)), key=repr)
+
+
+def test_thousand_prefixes_of_300_lengths_make_no_pair_to_drop(spark):
+    """After the lookup there is one row per file, after the join exactly the matches, and no file was copied or shuffled."""
+    t, inv, want = nested_case(spark, 6, 1_000, 2_000, 300)
+    resolved = t.select("trigger_id", F.col("attrs")["bucket"].alias("container"), F.col("attrs")["prefix"].alias("t_anchor"))
+    levels = sorted({len(r[0]) for r in resolved.select("t_anchor").collect()})
+    assert len(levels) > 250
+    side, reach = listing_module._nested(inv, resolved, levels, True, BroadcastLimit())
+    located = {(r[0], r[1], r[2]) for r in side.select("container", "full_path", "size").collect()}
+    assert side.count() == len(located) == len({(k, n) for _, k, n in want})
+    assert side.join(reach, ["container", "t_anchor"]).count() == len(want)
+    plan = side._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan

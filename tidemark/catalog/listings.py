@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.catalog.files import LISTING
 from tidemark.catalog.registry import NOW_MS, query
 from tidemark.catalog.views import (
-    NATION_LISTING, SUPPLIER_LISTING, inventory, line_inventory, nation_triggers, supplier_triggers,
+    NATION_LISTING, SUPPLIER_LISTING, head_triggers, inventory, key_inventory, line_inventory, nation_triggers, supplier_triggers,
 )
 from tidemark.functions import target_attributes, to_attributes
 from tidemark.operators.listing import (
@@ -45,6 +45,16 @@ def _list_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trigger_id", "doc_id", "container", "full_path", "size")
 
 
+@query("list_for_triggers_nested", """WITH keys AS (SELECT doc_id, source AS container, concat('keys/', lang, '/', substr(coalesce(text, ''), 1, 400), '/', doc_id) AS key FROM documents),
+ asked AS (SELECT c_custkey AS trigger_id, container, substr(key, 1, c_custkey * 7 % 300 + 5) AS prefix FROM customer JOIN keys ON doc_id = c_custkey)
+ SELECT trigger_id, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids FROM asked a JOIN keys k ON k.container = a.container AND starts_with(key, prefix)
+ GROUP BY trigger_id""")
+def _list_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefixes of 300 lengths, many inside each other; every file is looked up once."""
+    rows = list_for_triggers(head_triggers(spark, sf_dir), key_inventory(spark, sf_dir), SUPPLIER_LISTING)
+    return rows.groupBy("trigger_id").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids"))
+
+
 _BY_FOLDER = ListingTemplates(container="${bucket}", directory="${prefix}", path_filter=".*[1-4]", relative_paths=True)
 _DIRECT = ListingTemplates(container="${bucket}", directory="${prefix}", recursive=False)
 

@@ -119,3 +119,20 @@ def write_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 0, "replace").when(kind == 1, "ignore").otherwise("fail").alias("conflict"),
         F.col("full_path").alias("dest"), F.col("directory").alias("dest_dir"),
         "last_modified", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def key_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as objects whose keys begin like their texts, so that many have long heads in common."""
+    head = F.substring(F.coalesce("text", F.lit("")), 1, 400)
+    key = F.concat(F.lit("keys/"), "lang", F.lit("/"), head, F.lit("/"), text("doc_id"))
+    return table(spark, sf_dir, "documents").select(
+        F.col("source").alias("container"), F.lit("keys").alias("directory"), text("doc_id").alias("filename"),
+        key.alias("full_path"), F.col("n_chars").alias("size"), F.lit(False).alias("is_directory"), "doc_id")
+
+
+def head_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer asks for the objects that begin like the one of its number, by prefixes of hundreds of lengths."""
+    keys = key_inventory(spark, sf_dir).select(F.col("doc_id").alias("c_custkey"), "container", "full_path")
+    head = F.substring(F.col("full_path"), F.lit(1), (F.col("c_custkey") * 7 % 300 + 5).cast("int"))
+    attrs = F.create_map(F.lit("bucket"), F.col("container"), F.lit("prefix"), head, F.lit("filter"), F.lit(""))
+    return table(spark, sf_dir, "customer").join(keys, "c_custkey").select(F.col("c_custkey").alias("trigger_id"), attrs.alias("attrs"))

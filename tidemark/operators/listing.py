@@ -12,10 +12,13 @@ from tidemark.functions.templates import full_match, pattern_compiles, render, r
 from tidemark.functions.values import error_attributes, merge_attributes, root_cause
 from tidemark.operators.predicates import FilterSpec, apply_filters
 from tidemark.plans.joins import DEFAULT_LIMIT, BroadcastLimit, join_checked, measure, row_bytes
+from tidemark.plans.nested import fits, locate, nest
 from tidemark.schema import FAILURE, NO_FILES, SUCCESS
 
 # Up to this many different patterns are written into the plan as constants.
 CONSTANT_PATTERNS = 64
+# With more folder depths or prefix lengths than this, files are put at their deepest prefix instead of being copied.
+COPIED_LEVELS = 4
 
 
 @dataclass(frozen=True)
@@ -139,6 +142,23 @@ def _anchored(inv: DataFrame, levels: list[int], prefixes: bool) -> DataFrame:
     return inv.withColumn("t_anchor", F.explode(F.array_compact(F.array(*reach))))
 
 
+def _nested(inv: DataFrame, t: DataFrame, levels: list[int], prefixes: bool,
+            limit: BroadcastLimit) -> tuple[DataFrame, DataFrame] | None:
+    """Files at their deepest enclosing prefix or folder, and triggers at each such place that they reach.
+
+    Both have ``container`` and ``t_anchor``, and joined on these give each file
+    once per trigger, never a pair to drop.  None if the lookups do not fit.
+    """
+    forest = nest(t.select("container", F.col("t_anchor").alias("anchor")), levels, folders=not prefixes)
+    if not fits(forest, limit):
+        return None
+    where = F.col("full_path") if prefixes else F.trim(F.col("directory"), F.lit("/"))
+    files = locate(inv, forest, where, F.char_length(where) if prefixes else depth(where), "t_anchor")
+    reach = forest.chains.select("container", F.col("node"), F.col("anchor").alias("t_anchor"))
+    return (files.where(F.col("t_anchor").isNotNull()),
+            join_checked(reach, t, ["container", "t_anchor"]).drop("t_anchor").withColumnRenamed("node", "t_anchor"))
+
+
 def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTemplates,
                    spec: FilterSpec | None = None, now_ms: int | None = None,
                    with_attrs: bool = False, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
@@ -147,7 +167,8 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
     The settings that are the same for all triggers filter the inventory first.
     The rest is one equi-join on container and folder or prefix, with the trigger table
     broadcast if it was measured to fit, else shuffled with hot keys split; the
-    patterns run on the pairs that are left.
+    patterns run on the pairs that are left.  A file is looked up at a few folder
+    depths or prefix lengths by copies, at more by a search for its deepest one.
     """
     if spec is not None:
         if now_ms is None:
@@ -163,7 +184,7 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
         _coded(F.col("t_file"), facts.files).alias("t_file"),
         _coded(F.col("t_path"), facts.paths).alias("t_path"),
         *(["attrs"] if with_attrs else []))
-    tests = []
+    tests, fitting = [], facts.fits
     if templates.prefix is not None:
         tests.append(F.startswith(F.col("full_path"), F.col("t_prefix")))
         if not templates.recursive:
@@ -179,17 +200,19 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
     if templates.directory is not None and not templates.recursive:
         side = inv.withColumn("t_anchor", F.trim(F.col("directory"), F.lit("/")))
     else:
-        side = _anchored(inv, facts.depths or [0], prefixes)
+        nested = _nested(inv, t, facts.depths, prefixes, limit) if facts.fits and len(facts.depths) > COPIED_LEVELS else None
+        side, t = nested or (_anchored(inv, facts.depths or [0], prefixes), t)
+        fitting = fitting if nested is None else None  # what triggers reach may be more than there are triggers
     on = ["container"] if facts.depths in ([], [0]) and not (
         templates.directory is not None and not templates.recursive) else ["container", "t_anchor"]
     if on == ["container"]:
         side, t = side.drop("t_anchor"), t.drop("t_anchor")
-    if not facts.fits:
+    if fitting is False:
         # Too many triggers to broadcast; the places they look at may still fit.
         places = t.select(*on).distinct()
         if measure(places, limit):
             side = side.join(F.broadcast(places), on, "left_semi")
-    out = join_checked(side, t, on, "inner", limit=limit, fits=facts.fits)
+    out = join_checked(side, t, on, "inner", limit=limit, fits=fitting)
     for test in tests:
         out = out.where(test)
     return out.select(*inv.columns, "trigger_id", *(["attrs"] if with_attrs else []))
