@@ -7,7 +7,7 @@ from tidemark.llm import ORACLES, QUERIES
 
 
 def test_names():
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11)) and len(QUERIES) == 10
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14)) and len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -18,7 +18,7 @@ def test_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_runs_over_the_smallest_tables(spark, sf_dir, name):
-    source = {"op4": "embeddings", "op8": None, "op7": None, "op9": "pages"}.get(name[:3], "documents")
+    source = {"op4": "embeddings", "op8": None, "op7": None, "op9": "pages", "op11": "pages", "op12": None, "op13": None}.get(name.split("_")[0], "documents")
     df = QUERIES[name](spark, sf_dir)
     assert source is None or df.count() == spark.read.parquet(f"{sf_dir}/{source}.parquet").count()
     assert df.count() > 0

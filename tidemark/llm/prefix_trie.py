@@ -91,7 +91,7 @@ def prefixes(turns: DataFrame, ids: DataFrame) -> DataFrame:
             "first": F.col("first").bitwiseXOR(F.coalesce("o1", F.lit(0))),
             "second": F.col("second").bitwiseXOR(F.coalesce("o2", F.lit(0)))})
     above = F.col("pos") > 0
-    return stage(out.select("conv_id", "piece", F.col("pos").alias("depth"), "words", "first", "second",
+    return stage(out.select("conv_id", "piece", F.col("pos").alias("depth"), (F.col("pos") % PIECE == 0).alias("cut"), "words", "first", "second",
                             F.when(above, F.col("first").bitwiseXOR(F.col("m1"))).alias("up_first"),
                             F.when(above, F.col("second").bitwiseXOR(F.col("m2"))).alias("up_second")), "prefixes")
 
@@ -102,10 +102,11 @@ def _node_tables(batches):
     import pyarrow as pa
     from pyspark import TaskContext
 
-    whole = pa.Table.from_batches(list(batches))
-    if not whole.num_rows:
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
         return
-    no_parent = whole["up_first"].is_null().to_numpy()
+    whole = pa.Table.from_batches(held)
+    no_parent, cut = whole["up_first"].is_null().to_numpy(), whole["cut"].to_numpy()
     col = {c: whole[c].fill_null(0).to_numpy() for c in ("conv_id", "depth", "words", "first", "second", "up_first", "up_second")}
     slots = Slots(col["first"], col["second"])
     at = slots.of(col["first"], col["second"])
@@ -117,9 +118,10 @@ def _node_tables(batches):
     flat["n"] = np.bincount(at, minlength=len(slots))
     flat["conv_id"] = np.full(len(slots), np.iinfo(np.int64).max)
     np.minimum.at(flat["conv_id"], at, col["conv_id"])
-    top = np.zeros(len(slots), dtype=bool)
-    top[at] = no_parent
-    parent = np.where(top, -1, slots.of(flat["up_first"], flat["up_second"]))
+    top, first = np.zeros(len(slots), dtype=bool), np.zeros(len(slots), dtype=bool)
+    top[at], first[at] = no_parent, cut
+    # A piece ends at its first node, also where the piece before it is in the same shard.
+    parent = np.where(first, -1, slots.of(flat["up_first"], flat["up_second"]))
     flat |= {"shard": np.full(len(slots), TaskContext.get().partitionId()), "slot": np.arange(len(slots)),
              "parent_slot": parent, "first": slots.first, "second": slots.second}
     small = {"shard", "slot", "parent_slot"}
@@ -173,29 +175,32 @@ def _handed_down(rows: DataFrame, nodes: DataFrame) -> DataFrame | None:
         "shard", "first", "second", "saved", "leaves")
 
 
-def _packed(batches):
-    """Runs of ids of one node as text, at most ``IDS`` of them in a row."""
-    import pyarrow as pa
-
-    def out(done):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-            zip(*done), (pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=["first", "second", "conv_id", "ids"])
+def _packed(at_most: int):
+    """Runs of ids of one node as text, so many of them in a row at most."""
+    def run(batches):
+        import pyarrow as pa
+
+        def out(done):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*done), (pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=["first", "second", "conv_id", "ids"])
+
+        key, held, done, size = None, [], [], 0
+        for batch in batches:
+            for node, conv in zip(zip(batch["first"].to_pylist(), batch["second"].to_pylist()), batch["conv_id"].to_pylist()):
+                if held and (node != key or len(held) == at_most):
+                    done.append((*key, held[0], ",".join(map(str, held))))
+                    size, held = size + len(held), []
+                    if size >= at_most:
+                        yield out(done)
+                        done, size = [], 0
+                key = node
+                held.append(conv)
+        if held:
+            done.append((*key, held[0], ",".join(map(str, held))))
+        if done:
+            yield out(done)
 
-    key, run, done, size = None, [], [], 0
-    for batch in batches:
-        for node, conv in zip(zip(batch["first"].to_pylist(), batch["second"].to_pylist()), batch["conv_id"].to_pylist()):
-            if run and (node != key or len(run) == IDS):
-                done.append((*key, run[0], ",".join(map(str, run))))
-                size, run = size + len(run), []
-                if size >= IDS:
-                    yield out(done)
-                    done, size = [], 0
-            key = node
-            run.append(conv)
-    if run:
-        done.append((*key, run[0], ",".join(map(str, run))))
-    if done:
-        yield out(done)
+    return run
 
 
 def _chained(batches):
@@ -232,7 +237,7 @@ def end_digests(rows: DataFrame) -> DataFrame:
                  .select("conv_id", "_end.first", "_end.second"), "ends")
     parts = task_count(rows.sparkSession)
     texts = (last.repartitionByRange(parts, "conv_id").sortWithinPartitions("first", "second", "conv_id")
-             .mapInArrow(_packed, "first bigint, second bigint, conv_id bigint, ids string"))
+             .mapInArrow(_packed(IDS), "first bigint, second bigint, conv_id bigint, ids string"))
     return (texts.repartition(parts, "first", "second").sortWithinPartitions("first", "second", "conv_id")
             .mapInArrow(_chained, "first bigint, second bigint, ends_sha256 string"))
 
