@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.catalog.files import LISTING
 from tidemark.catalog.registry import NOW_MS, query
 from tidemark.catalog.views import (
-    NATION_LISTING, SUPPLIER_LISTING, head_triggers, inventory, key_inventory, line_inventory, nation_triggers, supplier_triggers,
+    NATION_LISTING, SUPPLIER_LISTING, head_triggers, inventory, key_inventory, line_inventory, nation_triggers,
+    pattern_triggers, supplier_triggers,
 )
 from tidemark.functions import target_attributes, to_attributes
 from tidemark.operators.listing import (
@@ -55,6 +56,17 @@ def _list_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("trigger_id").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids"))
 
 
+@query("list_for_triggers_patterns", r"""SELECT trigger_id, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes FROM (
+ SELECT c_custkey AS trigger_id, size FROM customer JOIN invl ON l_orderkey = c_custkey AND container = concat('c', c_custkey % 20)
+ WHERE c_custkey % 200 <> 0 AND regexp_full_match(filename, concat('f', c_custkey, '_[0-9]*[.](csv|txt)'))
+ UNION ALL SELECT c_custkey, size FROM customer JOIN invl ON container = concat('c', c_custkey % 20)
+ WHERE c_custkey % 200 = 0 AND filename >= 'a' AND length(filename) > c_custkey % 7) m GROUP BY trigger_id""", ("invl",))
+def _list_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pattern per trigger, far more than can be constants; each runs on names with its literal only."""
+    rows = list_for_triggers(pattern_triggers(spark, sf_dir), line_inventory(spark, sf_dir), NATION_LISTING)
+    return rows.groupBy("trigger_id").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+
+
 _BY_FOLDER = ListingTemplates(container="${bucket}", directory="${prefix}", path_filter=".*[1-4]", relative_paths=True)
 _DIRECT = ListingTemplates(container="${bucket}", directory="${prefix}", recursive=False)
 

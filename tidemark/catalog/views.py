@@ -136,3 +136,12 @@ def head_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.substring(F.col("full_path"), F.lit(1), (F.col("c_custkey") * 7 % 300 + 5).cast("int"))
     attrs = F.create_map(F.lit("bucket"), F.col("container"), F.lit("prefix"), head, F.lit("filter"), F.lit(""))
     return table(spark, sf_dir, "customer").join(keys, "c_custkey").select(F.col("c_custkey").alias("trigger_id"), attrs.alias("attrs"))
+
+
+def pattern_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer asks for files by a name pattern of its own; some patterns say hardly anything."""
+    n = F.col("c_custkey")
+    own = F.concat(F.lit("f"), text(n), F.lit("_[0-9]*[.](csv|txt)"))
+    attrs = F.create_map(F.lit("bucket"), F.concat(F.lit("c"), text(n % 20)), F.lit("filter"),
+                         F.when(n % 200 == 0, F.concat(F.lit("[a-z].{"), text(n % 7), F.lit(",}"))).otherwise(own))
+    return table(spark, sf_dir, "customer").select(n.alias("trigger_id"), attrs.alias("attrs"))

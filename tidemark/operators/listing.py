@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.paths import depth, normalise_path, relative_dir
 from tidemark.functions.templates import full_match, pattern_compiles, render, resolve_filter, wrap_full
 from tidemark.functions.values import error_attributes, merge_attributes, root_cause
+from tidemark.operators.patterns import contained, literals_of, with_literal
 from tidemark.operators.predicates import FilterSpec, apply_filters
 from tidemark.plans.joins import DEFAULT_LIMIT, BroadcastLimit, join_checked, measure, row_bytes
 from tidemark.plans.nested import fits, locate, nest
+from tidemark.plans.storage import stage
 from tidemark.schema import FAILURE, NO_FILES, SUCCESS
 
 # Up to this many different patterns are written into the plan as constants.
@@ -169,6 +171,8 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
     broadcast if it was measured to fit, else shuffled with hot keys split; the
     patterns run on the pairs that are left.  A file is looked up at a few folder
     depths or prefix lengths by copies, at more by a search for its deepest one.
+    Beyond ``CONSTANT_PATTERNS`` a name pattern runs only on names that contain
+    its literal, which is part of the join key then.
     """
     if spec is not None:
         if now_ms is None:
@@ -179,8 +183,13 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
         *(["attrs"] if with_attrs else []))
     prefixes = templates.prefix is not None
     facts = _facts(t, limit, F.char_length if prefixes else depth)
+    # Very many patterns of file names only meet names with a text that their matches must contain.
+    prefilter = templates.file_filter is not None and facts.files is None and facts.fits
+    if prefilter:
+        t = stage(with_literal(t, "t_file", "t_literal"), "patterns")
+        literals = literals_of(t, "t_literal")
     t = t.select(
-        "trigger_id", F.col("t_container").alias("container"), "t_anchor", "t_prefix", "t_directory",
+        *(["t_literal"] if prefilter else []), "trigger_id", F.col("t_container").alias("container"), "t_anchor", "t_prefix", "t_directory",
         _coded(F.col("t_file"), facts.files).alias("t_file"),
         _coded(F.col("t_path"), facts.paths).alias("t_path"),
         *(["attrs"] if with_attrs else []))
@@ -205,7 +214,9 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
         fitting = fitting if nested is None else None  # what triggers reach may be more than there are triggers
     on = ["container"] if facts.depths in ([], [0]) and not (
         templates.directory is not None and not templates.recursive) else ["container", "t_anchor"]
-    if on == ["container"]:
+    if prefilter:
+        side, on = contained(side, "filename", literals, "t_literal"), [*on, "t_literal"]
+    if "t_anchor" not in on:
         side, t = side.drop("t_anchor"), t.drop("t_anchor")
     if fitting is False:
         # Too many triggers to broadcast; the places they look at may still fit.
