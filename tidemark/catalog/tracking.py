@@ -14,7 +14,8 @@ from tidemark.operators.incremental import (
 )
 from tidemark.operators.predicates import initial_timestamp
 from tidemark.plans.storage import shared_dir, stage
-from tidemark.streaming import EntityListing, TimestampListing
+from tidemark.streaming import EntityListing, TimestampListing, track_entities_stream
+from tidemark.streaming.entity_stream import STATE_PROVIDER
 
 _TIE = "1998-06-01"
 
@@ -124,6 +125,29 @@ def _entity_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted[0].unionByName(counted[1])
 
 
+@query("entity_listing_stream", f"""SELECT 1 AS run, 'new' AS change, container, count(*) AS n FROM invl WHERE l_suppkey % 3 <> 0 GROUP BY container
+ UNION ALL SELECT 2, CASE WHEN l_suppkey % 3 = 0 THEN 'new' ELSE 'changed' END AS change, container, count(*) FROM invl
+ WHERE last_modified >= TIMESTAMP '{_WINDOW_FROM}' AND (l_suppkey % 3 = 0 OR l_partkey % 5 = 0) GROUP BY change, container""", ("invl",))
+def _entity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of ``entity_listing_runs`` as a stream with its own state, restarted from its checkpoint between them."""
+    path = f"{shared_dir(spark)}/entity-stream-{uuid.uuid4().hex}"
+    inv = line_inventory(spark, sf_dir).select("container", "k", "last_modified", "size", "l_suppkey", "l_partkey")
+    rewritten = F.when(F.col("l_partkey") % 5 == 0, F.col("size") + 1).otherwise(F.col("size"))
+    first, provider = inv.where(F.col("l_suppkey") % 3 != 0).withColumn("size", rewritten), spark.conf.get(STATE_PROVIDER[0], None)
+    for run, snapshot in enumerate((first, inv), 1):
+        at = _WINDOW_NOW - 2 + run
+        snapshot = snapshot.withColumn("listed_at", F.timestamp_millis(F.lit(at)))
+        snapshot.write.mode("append").parquet(f"{path}/in")
+        stream = track_entities_stream(spark.readStream.schema(snapshot.schema).parquet(f"{path}/in"), _WINDOW_MS,
+                                       initial_ms=_WINDOW_NOW - 1, key="k", buckets=64)
+        (stream.select((F.unix_millis("listed_at") - (_WINDOW_NOW - 2)).cast("int").alias("run"), "change", "container")
+         .writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
+         .trigger(once=True).start().awaitTermination())
+    if provider is None:
+        spark.conf.unset(STATE_PROVIDER[0])  # the session is the caller's
+    return spark.read.parquet(f"{path}/out").groupBy("run", "change", "container").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("initial_listing", """SELECT 'from_timestamp' AS strategy, container, count(*) AS n FROM inv WHERE last_modified_ms >= 1704097200000 GROUP BY container
  UNION ALL SELECT 'all_files', container, count(*) FROM inv GROUP BY container
  UNION ALL SELECT 'new_files', container, count(*) FROM inv WHERE last_modified_ms >= 1704110000000 GROUP BY container""", ("inv",))
