@@ -75,15 +75,24 @@ def watermark_floor(state: DataFrame, by: str = "container") -> int | None:
     return floor if n == 1 else None
 
 
-def changed_entities(inv: DataFrame, state: DataFrame, by: str = "container", key: str = "full_path") -> DataFrame:
-    """Files that are not in the state, or differ from it in time or size."""
-    old = state.select(F.col(by), F.col("key").alias(key), F.col("last_modified").alias("_lm"),
-                       F.col("size").alias("_size"), F.lit(True).alias("_known"))
-    joined = inv.join(old, [by, key], "left")
-    same = F.col("last_modified").eqNullSafe(F.col("_lm")) & F.col("size").eqNullSafe(F.col("_size"))
-    return (joined.withColumn("change", F.when(F.col("_known").isNull(), "new").when(~same, "changed"))
-            .where(F.col("change").isNotNull())
-            .select(*inv.columns, "change"))
+def changed_entities(inv: DataFrame, state: DataFrame, by: str = "container", key: str = "full_path",
+                     limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+    """Files that are not in the state, or differ from it in time or size.
+
+    A file has a key of its own, so no key is hot; the state is broadcast if it
+    was measured to fit.
+    """
+    old = state.select(F.col(by), F.col("key").alias(key), F.col("last_modified").alias("_old_last_modified"),
+                       F.col("size").alias("_old_size"), F.lit(True).alias("_known"))
+    joined = inv.join(F.broadcast(old) if measure(old, limit) else old, [by, key], "left")
+    return entity_changes(joined, F.col("_known")).select(*inv.columns, "change")
+
+
+def entity_changes(compared: DataFrame, known: Column) -> DataFrame:
+    """Rows beside their old time and size (``_old_…``) that are new or changed, with ``change``."""
+    same = (F.col("last_modified").eqNullSafe(F.col("_old_last_modified")) & F.col("size").eqNullSafe(F.col("_old_size")))
+    change = F.when(~F.coalesce(known, F.lit(False)), "new").when(~same, "changed")
+    return compared.withColumn("change", change).where(F.col("change").isNotNull())
 
 
 def track_entities(inv: DataFrame, state: DataFrame, now_ms: int, window_ms: int,

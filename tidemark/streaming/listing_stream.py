@@ -15,12 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.incremental import (
-    ENTITY_STATE, TIMESTAMP_STATE, fingerprint, initial_floor, new_since, next_state, track_entities, watermark_floor,
+    ENTITY_STATE, TIMESTAMP_STATE, entity_changes, fingerprint, initial_floor, new_since, next_state, track_entities, watermark_floor,
 )
 from tidemark.operators.listing import (
     ListingTemplates, emit_attributes, match_triggers, resolve_triggers, route_listing,
 )
 from tidemark.operators.predicates import FilterSpec, apply_filters, min_timestamp
+from tidemark.plans.deltas import DeltaState
 from tidemark.plans.joins import join_checked
 from tidemark.plans.state import StateStore
 from tidemark.plans.storage import stage
@@ -132,19 +133,29 @@ class EntityListing:
     key: str = "full_path"
 
     def __post_init__(self) -> None:
-        self.store = StateStore(self.spark, self.state_root, ENTITY_STATE)
+        self.store = DeltaState(self.spark, self.state_root, ENTITY_STATE, ["container", "key"])
 
     def run(self, inv: DataFrame, version: int, out: str, now_ms: int) -> DataFrame:
-        state = self.store.read(before=version)
+        """List new and changed files, write them, and commit just these as the next version of the state.
+
+        The snapshot is read once and compared with the state where it lies.
+        """
+        floor = F.timestamp_millis(F.lit(now_ms - self.window_ms))
         first = self.store.latest(before=version) is None
-        inv = stage(inv, "snapshot")  # the files listed and those remembered must be the same
-        emitted, following = track_entities(inv, state, now_ms, self.window_ms, self.initial_target, first,
-                                            self.by, self.key)
+        seen = inv if first and self.initial_target == "all" else inv.where(F.col("last_modified") >= floor)
+        named = seen.withColumns({"_by": F.col(self.by), "_key": F.col(self.key)})
+        compared = self.store.compare(named.withColumnsRenamed({"container": "_own_container", "key": "_own_key"})
+                                      .withColumnsRenamed({"_by": "container", "_key": "key"}), version)
+        emitted = compared.drop("container", "key").withColumnsRenamed({"_own_container": "container", "_own_key": "key"})
+        emitted = entity_changes(emitted, F.col("_known") & (F.col("_old_last_modified") >= floor)).select(*inv.columns, "change")
         target = f"{out}/run={version}"
         emitted.write.mode("overwrite").parquet(target)
-        self.store.write(following, version)
+        emitted = self.spark.read.schema(emitted.schema).parquet(target)
+        entries = emitted.where(F.col("last_modified") >= floor).select(
+            F.col(self.by).alias("container"), F.col(self.key).alias("key"), "last_modified", F.col("size").cast("bigint").alias("size"))
+        self.store.write(entries, version, keep=F.col("last_modified") >= floor)
         self.store.prune(KEPT_STATES)
-        return self.spark.read.schema(emitted.schema).parquet(target)
+        return emitted
 
 
 @dataclass
