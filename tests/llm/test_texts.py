@@ -88,6 +88,7 @@ def test_random_texts_and_ids_round_trip(model_path):
         text = text.encode("utf-8", "ignore").decode()
         ids = memoryview(coder.encode(text)).cast("i").tolist()
         assert ids == library.encode(text) and coder.decode(ids) == library.decode(ids)
+        assert coder.encode_and_decode(text) == (coder.encode(text), library.decode(ids))
     loose = [coder.byte_ids[200], coder.byte_ids[65], *coder.pieces["▁the"][:1], coder.byte_ids[226], coder.byte_ids[130]]
     assert coder.decode(loose) == library.decode(loose)
 

@@ -39,7 +39,21 @@ def without(df: DataFrame, names: list[str]) -> list[Column]:
 
 
 #: Text bytes that a Python task handles and returns at a time.
-SLICE_BYTES = 8 * 1024 * 1024
+SLICE_BYTES = 4 * 1024 * 1024
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python processes stay for other tasks, which should not inherit it."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def add_from_text(df: DataFrame, added: str, start, text: str = "text") -> DataFrame:
@@ -73,6 +87,7 @@ def add_from_text(df: DataFrame, added: str, start, text: str = "text") -> DataF
                            for c, kind in zip(work(part.column(at).to_pylist()), kinds)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=schema.names)
                 first = last
-        pa.default_memory_pool().release_unused()  # the process stays for other tasks
+        work = part = columns = batch = None
+        give_back()
 
     return kept.mapInArrow(run, schema)

@@ -74,7 +74,7 @@ class PrefixTable:
         end = "" if "\n" in self.pieces else "\n"
         self.units = re.compile(f"{SPACE}*[^{SPACE}{end}]+|{SPACE}+" + (f"|{end}" if end else ""))
         self.pairs: dict[int, bool] = {}
-        self.encoded = _Memo(self.encode_unit)
+        self.encoded = _Memo(self.encode_and_decode_unit)
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text by merging, best score first, leftmost on ties."""
@@ -117,55 +117,76 @@ class PrefixTable:
     def encode_unit(self, unit: str) -> bytes:
         """Ids as 32-bit integers.  No merge joins two letters that are neighbours in no piece, so a unit may be cut there."""
         if 1 < len(unit) <= MEMO_CHARS and unit[-2:] not in self.neighbours:  # as before a full stop
-            return self.encoded[unit[:-1]] + self.encoded[unit[-1]]
+            return self.encoded[unit[:-1]][0] + self.encoded[unit[-1]][0]
         if self.letters.issuperset(unit):
             return array("i", self._encode_run(unit)).tobytes()
         return array("i", [i for run in self.runs.findall(unit) for i in (
             self._encode_run(run) if run[0] in self.letters else [self.byte_ids[b] for b in run.encode()])]).tobytes()
 
+    def encode_and_decode_unit(self, unit: str) -> tuple[bytes, str]:
+        """A unit's ids, and the text that these decode to, still with its space signs."""
+        ids = self.encode_unit(unit)
+        return ids, self.joined(array("i", ids).tolist())
+
     def split(self, text: str) -> list[str]:
         """Parts of a text that encode one by one; the text gets a space in front."""
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: pieces and bytes in order, without the space in front."""
+    def joined(self, ids: list[int]) -> str:
+        """Pieces and bytes of ids in order, with the space signs of the pieces."""
         if self.high_bytes.isdisjoint(ids):
-            text = "".join(map(self.text_of.__getitem__, ids))
-        else:
-            out, pending = [], []
-            for i in ids:
-                if i in self.byte_of:
-                    pending.append(self.byte_of[i])
-                    continue
-                if pending:
-                    out.append(b"".join(pending).decode("utf-8", "each_byte"))
-                    pending = []
-                out.append(self.text_of[i])
-            text = "".join(out) + b"".join(pending).decode("utf-8", "each_byte")
+            return "".join(map(self.text_of.__getitem__, ids))
+        out, pending = [], []
+        for i in ids:
+            if i in self.byte_of:
+                pending.append(self.byte_of[i])
+                continue
+            if pending:
+                out.append(b"".join(pending).decode("utf-8", "each_byte"))
+                pending = []
+            out.append(self.text_of[i])
+        return "".join(out) + b"".join(pending).decode("utf-8", "each_byte")
+
+    @staticmethod
+    def spaced(text: str) -> str:
+        """Joined pieces as text: without the space in front."""
         return (text[1:] if text.startswith(SPACE) else text).replace(SPACE, " ")
 
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids."""
+        return self.spaced(self.joined(ids))
+
     def encode(self, text: str) -> bytes:
         """The ids of a text as 32-bit integers."""
-        return b"".join(map(self.encoded.__getitem__, self.split(text)))
+        return b"".join([self.encoded[unit][0] for unit in self.split(text)])
+
+    def encode_and_decode(self, text: str) -> tuple[bytes, str]:
+        """The ids of a text, and the text that they decode to.
+
+        Units are decoded one by one, each from its ids, and only once per memo
+        entry; the bytes of a letter are always in one unit.
+        """
+        parts = list(map(self.encoded.__getitem__, self.split(text)))
+        return b"".join([p[0] for p in parts]), self.spaced("".join([p[1] for p in parts]))
 
 
 class _Memo(dict):
-    """Ids of units met before, as bytes.  When full, the older half is forgotten."""
+    """Ids and decoded texts of units met before.  When full, the older half is forgotten."""
 
     def __init__(self, make):
         super().__init__()
         self.make, self.older = make, {}
 
-    def __missing__(self, unit: str) -> bytes:
-        ids = self.older.get(unit)
-        if ids is None:
-            ids = self.make(unit)
+    def __missing__(self, unit: str) -> tuple[bytes, str]:
+        found = self.older.get(unit)
+        if found is None:
+            found = self.make(unit)
         if len(unit) <= MEMO_CHARS:
             if len(self) >= MEMO_UNITS:
                 self.older = dict(self)
                 self.clear()
-            self[unit] = ids
-        return ids
+            self[unit] = found
+        return found
 
 
 #: The coder of this Python process, with what it has learned from earlier tasks.
@@ -197,11 +218,12 @@ def encode_texts(docs: DataFrame, model_path: str, decode: bool = True) -> DataF
         coder = coder_for(model.value)
 
         def work(texts: list[str | None]):
-            raw = [coder.encode(text or "") for text in texts]
+            both = [coder.encode_and_decode(text or "") for text in texts] if decode else [(coder.encode(text or ""), "") for text in texts]
+            raw = [ids for ids, _ in both]
             values = pa.array(np.frombuffer(b"".join(raw), dtype=np.int32))
             ends = np.cumsum([0, *(len(r) // 4 for r in raw)])
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-            return [lists, [coder.decode(array("i", r).tolist()) for r in raw]] if decode else [lists]
+            return [lists, pa.array([text for _, text in both], pa.string())] if decode else [lists]
 
         return work
 
