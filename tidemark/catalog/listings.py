@@ -18,7 +18,7 @@ from tidemark.operators.listing import (
     route_listing_s3, route_union, trigger_counts, unmatched_triggers,
 )
 from tidemark.operators.predicates import FilterSpec
-from tidemark.operators.summary import count_unfiltered, listing_summary, record_count
+from tidemark.operators.summary import count_unfiltered, listing_summary, record_count, write_counted_listing
 from tidemark.plans.storage import shared_dir, stage
 from tidemark.schema import INVENTORY, TRIGGERS
 from tidemark.sources.sinks import write_empty, write_listing
@@ -135,6 +135,25 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("newest_ms", F.unix_millis("newest")).drop("newest")
 
 
+@query("counted_listing", f"""SELECT count(*) AS unfiltered, count(*) FILTER (WHERE {_RULES}) AS before_patterns,
+ count(*) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS files, count(*) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS stored,
+ CAST(coalesce(sum(size) FILTER (WHERE {_RULES} AND {_PATTERNS}), 0) AS BIGINT) AS bytes,
+ max(last_modified_ms) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS newest_ms,
+ count(*) FILTER (WHERE is_directory) AS rejected_directories,
+ count(*) FILTER (WHERE {NOW_MS} - last_modified_ms < 3600000) AS rejected_min_age,
+ count(*) FILTER (WHERE size < 500) AS rejected_min_size, count(*) FILTER (WHERE size > 5000) AS rejected_max_size,
+ count(*) FILTER (WHERE ends_with(filename, '.tmp')) AS rejected_ignore_suffix,
+ count(*) FILTER (WHERE NOT regexp_full_match(filename, 'doc_.*\\.(csv|txt)')) AS rejected_file_filter,
+ count(*) FILTER (WHERE NOT regexp_full_match(regexp_replace(directory, '^data/?', ''), '(en|fr)/.*')) AS rejected_path_filter
+ FROM inv""", ("inv",))
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One write of a listing brings its rows and all its counts."""
+    stored, counts = write_counted_listing(inventory(spark, sf_dir), LISTING, NOW_MS, f"{shared_dir(spark)}/counted-{uuid.uuid4().hex}")
+    newest = F.unix_millis(F.lit(counts["newest"]).cast("timestamp"))
+    return stored.agg(F.count(F.lit(1)).alias("stored")).withColumns(
+        {"newest_ms": newest, **{name: F.lit(n).cast("bigint") for name, n in counts.items() if name != "newest"}})
+
+
 @query("record_count", f"""SELECT trigger_id, count(i.full_path) AS record_count FROM sup LEFT JOIN inv i ON {_SUPPLIER_MATCH}
  GROUP BY trigger_id""", ("inv", "sup"))
 def _record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
