@@ -6,7 +6,7 @@ from helpers import rows
 from pyspark.sql import Window, functions as F
 
 from tidemark.operators import transfer
-from tidemark.operators.effects import complete, delete_files, fetch_commit_complete, publish
+from tidemark.operators.effects import complete, delete_files, fetch_commit_complete, lost_batches, publish
 from tidemark.operators.routes import route_delete
 from tidemark.plans.ranking import running_number
 from tidemark.plans.storage import stage
@@ -172,6 +172,30 @@ def test_publish(spark, tmp_path, suffix):
     assert not [f for _, _, fs in os.walk(tmp_path) for f in fs if "part" in f]
 
 
+def test_a_lost_target_fails_the_rest_of_its_batch(spark, tmp_path):
+    """A host that refuses in the middle of a batch: that batch fails as a whole, other batches and hosts go on."""
+    for host in "ab":
+        (tmp_path / host / "s").mkdir(parents=True)
+        (tmp_path / host / "s" / "blocked").write_bytes(b"a file where a folder is needed")
+    names = ["d", "d", "blocked", "d", "d", "d"]  # batches of four: the third request fails
+    reqs = [(i * 10 + n, host, d, f"f{n}", "replace", b"x") for i, host in enumerate("ab") for n, d in enumerate(names)]
+    plan = transfer.plan_writes(requests(spark, *[r[:5] for r in reqs]), existing(spark, ("none", "none")), create_dirs=True, batch_size=4)
+    content = spark.createDataFrame([(r[0], bytearray(r[5])) for r in reqs], "seq bigint, content binary")
+
+    def connect(root):
+        if root.endswith("/a/s"):
+            raise ConnectionError("gone")
+
+    out = publish(plan, content, str(tmp_path), connect=connect)
+    got = {r["seq"]: (r["done"], r["batch_lost"]) for r in out.collect()}
+    assert got == {0: (True, True), 1: (True, True), 2: (False, True), 3: (False, True), 4: (True, False), 5: (True, False),
+                   10: (True, False), 11: (True, False), 12: (False, False), 13: (True, False), 14: (True, False), 15: (True, False)}
+    assert not (tmp_path / "a/s/d/f3").exists() and (tmp_path / "b/s/d/f3").exists()
+    routed = transfer.route_write(out, out.where("NOT done").select("seq"), lost_batches(out))
+    assert [r[0] for r in rows(routed.where("route = 'failure'"), "seq")] == [0, 1, 12, 2, 3]
+    assert rows(lost_batches(out)) == [("a", "s", 1)]
+
+
 def test_publish_reports_errors_per_file(spark, tmp_path):
     (tmp_path / "h" / "s").mkdir(parents=True)
     (tmp_path / "h" / "s" / "blocked").write_bytes(b"a file where a folder is needed")

@@ -10,9 +10,9 @@ from tidemark.catalog.functions import error_code
 from tidemark.catalog.registry import query
 from tidemark.catalog.views import inventory, line_inventory, table, text, write_requests
 from tidemark.operators import transfer
-from tidemark.operators.effects import delete_files, fetch_commit_complete, publish
+from tidemark.operators.effects import delete_files, fetch_commit_complete, lost_batches, publish
 from tidemark.operators.routes import route_delete, route_fetch
-from tidemark.plans.storage import shared_dir, stage
+from tidemark.plans.storage import open_store, shared_dir, stage
 from tidemark.sources.content import attach_content, fetch_content
 from tidemark.sources.inventory import scan_inventory
 
@@ -176,6 +176,25 @@ def _publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("full_path").alias("path"), "done", F.md5("content").alias("digest"))
 
 
+@query("publish_lost_target", """SELECT doc_id % 3 AS host, ceil(row_number() OVER (PARTITION BY doc_id % 3 ORDER BY doc_id) / 100) :: BIGINT AS batch_no,
+ CASE WHEN doc_id % 3 = 1 THEN 'failure' ELSE 'success' END AS route, doc_id FROM documents""")
+def _publish_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document is written to one of three hosts in batches; one host's root is no folder, and its batches fail as a whole."""
+    root = f"{shared_dir(spark)}/lost-{uuid.uuid4().hex}"
+    store, folder = open_store(root)
+    store.create_dir(f"{folder}/h1", recursive=True)
+    with store.open_output_stream(f"{folder}/h1/share") as broken:
+        broken.write(b"no folder")
+    docs = table(spark, sf_dir, "documents")
+    requests = docs.select(F.col("doc_id").alias("seq"), F.concat(F.lit("h"), text(F.col("doc_id") % 3)).alias("host"), F.lit("share").alias("share"),
+                           F.col("lang").alias("directory"), text("doc_id").alias("filename"), F.lit("replace").alias("conflict"))
+    nothing = transfer.with_destination(requests).select("host", "share", "dest").where(F.lit(False))
+    plan = transfer.plan_writes(requests, nothing, create_dirs=True)
+    out = publish(plan, docs.select(F.col("doc_id").alias("seq"), F.col("text").cast("binary").alias("content")), root)
+    routed = transfer.route_write(out, out.where("NOT done").select("seq"), lost_batches(out))
+    return routed.select(F.substring("host", 2, 1).cast("bigint").alias("host"), "batch_no", "route", F.col("seq").alias("doc_id"))
+
+
 @query("fetch_content", f"""WITH {_LAST} SELECT doc_id, path, trigger_id, CASE WHEN trigger_id < 2 THEN 'success' ELSE 'failure' END AS route,
  CASE WHEN trigger_id < 2 THEN md5(text) END AS digest, CASE WHEN trigger_id = 2 THEN '3221225524' END AS error_code
  FROM last JOIN documents USING (doc_id) CROSS JOIN (VALUES (0), (1), (2)) t(trigger_id)""")

@@ -25,21 +25,60 @@ from tidemark.plans.storage import open_store, shared_dir, stage, task_count
 from tidemark.sources.content import fetch_content
 
 _OUTCOME = "seq bigint, done boolean, code bigint, message string"
+_SENT = f"{_OUTCOME}, lost boolean"
+
+
+def _outcome(row, act: Callable) -> tuple:
+    try:
+        act(row)
+        return row.seq, True, None, None
+    except FileNotFoundError as e:
+        return row.seq, False, MISSING_FILE_CODE, str(e)
+    except Exception as e:  # one bad file must not fail its neighbours
+        return row.seq, False, None, str(e) or type(e).__name__
+
+
+def _frame(outcomes: list[tuple], **more: list) -> pd.DataFrame:
+    frame = pd.DataFrame(outcomes, columns=["seq", "done", "code", "message"]).assign(**more)
+    return frame.astype({"seq": "int64", "done": "bool", "code": "Int64"})
 
 
 def _each(rows: Iterator[pd.DataFrame], act: Callable) -> Iterator[pd.DataFrame]:
     for pdf in rows:
-        out = []
+        yield _frame([_outcome(row, act) for row in pdf.itertuples(index=False)])
+
+
+def reachable(root: str) -> None:
+    """Raise unless a target system's root can be asked for and is, or may become, a folder."""
+    from pyarrow import fs
+
+    store, folder = open_store(root)
+    if store.get_file_info(folder).type == fs.FileType.File:
+        raise NotADirectoryError(f"{root} is no folder")
+
+
+def _each_of_batches(rows: Iterator[pd.DataFrame], act: Callable, connect: Callable[[str], None]) -> Iterator[pd.DataFrame]:
+    """``_each`` for rows of batches, one after the other; a batch whose system is lost is given up.
+
+    After an error the system is asked for.  If it is gone, the rows of the
+    batch that are still to come fail without being tried.  Rows of other
+    batches go on, also those of the same system.
+    """
+    gone: dict[str, str] = {}
+    for pdf in rows:
+        done, lost = [], []
         for row in pdf.itertuples(index=False):
-            try:
-                act(row)
-                out.append((row.seq, True, None, None))
-            except FileNotFoundError as e:
-                out.append((row.seq, False, MISSING_FILE_CODE, str(e)))
-            except Exception as e:  # one bad file must not fail its neighbours
-                out.append((row.seq, False, None, str(e) or type(e).__name__))
-        frame = pd.DataFrame(out, columns=["seq", "done", "code", "message"])
-        yield frame.astype({"seq": "int64", "done": "bool", "code": "Int64"})
+            if row.batch in gone:
+                done.append((row.seq, False, None, gone[row.batch]))
+            else:
+                done.append(_outcome(row, act))
+                if isinstance(row.batch, str) and not done[-1][1]:
+                    try:
+                        connect(row.place)
+                    except Exception as e:
+                        gone[row.batch] = str(e) or type(e).__name__
+            lost.append(row.batch in gone)
+        yield _frame(done, lost=lost)
 
 
 def _is_file(store, path: str) -> bool:
@@ -77,8 +116,9 @@ def target_root(root: str, by: list[str]) -> Column:
 
 
 def publish(plan: DataFrame, content: DataFrame, root: str | Column, tmp_suffix: str | None = None,
-            create_dirs: bool = True, by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """Carry out a write plan; returns the plan with ``done``, ``code`` and ``message``.
+            create_dirs: bool = True, by: list[str] | None = None, partitions: int | None = None,
+            connect: Callable[[str], None] = reachable) -> DataFrame:
+    """Carry out a write plan; returns the plan with ``done``, ``code``, ``message`` and ``batch_lost``.
 
     ``plan`` comes from ``plan_writes`` with the same ``by``.  ``root`` is a
     folder that holds one folder per target system, or a column with the root
@@ -90,15 +130,23 @@ def publish(plan: DataFrame, content: DataFrame, root: str | Column, tmp_suffix:
     ``tmp_suffix`` the bytes go to ``dest + suffix`` plus the attempt id and are
     renamed over ``dest``, so readers see the old file or the new one and two
     attempts never share a temporary file.
+
+    If the plan has ``batch_no``, the requests of a batch are handled in order by
+    one task.  After a failed write ``connect`` is called with the root of the
+    target system; if it raises, the system is lost: what is left of the batch
+    fails untried, and every request of the batch is marked ``batch_lost``, for
+    ``route_write``.  Other batches are not concerned.
     """
     by = by or TARGET
+    batched = "batch_no" in plan.columns
+    batch = F.to_json(F.struct(*by, "batch_no"), {"ignoreNullFields": "false"}) if batched else F.lit(None).cast("string")
     n = partitions or task_count(plan.sparkSession)
     place = root if isinstance(root, Column) else target_root(root, by)
     plan = stage(plan, "publish-plan")
     writes = F.col("write_action").isin("create", "overwrite")
     # One text names a target, null keys included.
     target = F.to_json(F.struct(*by, "dest"), {"ignoreNullFields": "false"})
-    requested = plan.where(writes).select("seq", "dest", place.alias("place"), target.alias("_target"))
+    requested = plan.where(writes).select("seq", "dest", place.alias("place"), target.alias("_target"), batch.alias("batch"))
     ready = stage(requested.join(content.select("seq").distinct(), "seq", "left_semi"), "publish-ready")
 
     def write(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,16 +165,17 @@ def publish(plan: DataFrame, content: DataFrame, root: str | Column, tmp_suffix:
             if path != dest:
                 store.move(path, dest)
 
-        yield from _each(rows, one)
+        yield from _each_of_batches(rows, one, connect)
 
     outcomes, winners, waiting = None, None, ready
     while True:  # once, and again for the older writes of targets where the newest failed
-        due = stage(waiting.groupBy("_target").agg(F.max_by(F.struct("seq", "dest", "place"), "seq").alias("_due"))
+        due = stage(waiting.groupBy("_target").agg(F.max_by(F.struct("seq", "dest", "place", "batch"), "seq").alias("_due"))
                     .select("_target", "_due.*"), "publish-due")
         if due.isEmpty():
             break
-        work = join_checked(content.select("seq", "content"), due.drop("_target"), ["seq"]).repartition(n, "seq")
-        tried = stage(work.mapInPandas(write, _OUTCOME), "published")
+        work = join_checked(content.select("seq", "content"), due.drop("_target"), ["seq"]).repartition(n, "batch" if batched else "seq")
+        work = work.sortWithinPartitions("batch", "seq") if batched else work
+        tried = stage(work.mapInPandas(write, _SENT), "published")
         outcomes = tried if outcomes is None else outcomes.unionByName(tried)
         named = due.select("_target", "seq").join(tried.select("seq", "done"), "seq")
         won = named.where("done").select("_target", F.col("seq").alias("_won"))
@@ -136,12 +185,15 @@ def publish(plan: DataFrame, content: DataFrame, root: str | Column, tmp_suffix:
             break
         waiting = join_checked(waiting, failed, ["_target"]).where("seq < _failed").drop("_failed")
     if outcomes is None:
-        outcomes = plan.sparkSession.createDataFrame([], _OUTCOME)
+        outcomes = plan.sparkSession.createDataFrame([], _SENT)
         winners = plan.sparkSession.createDataFrame([], "_target string, _won bigint")
     known = ready.select("seq", "_target").join(winners, "_target", "left").join(outcomes, "seq", "left").select(
         "seq", F.coalesce("done", F.col("_won") > F.col("seq"), F.lit(False)).alias("done"), "code", "message",
         F.lit(True).alias("_has_content"))
     judged = join_checked(plan, stage(known, "publish-outcomes"), ["seq"], "left")
+    lost = ready.join(outcomes.where("lost"), "seq", "left_semi").select("batch").distinct()
+    judged = join_checked(judged.withColumn("batch", batch), lost.withColumn("batch_lost", F.lit(True)), ["batch"], "left")
+    judged = judged.withColumn("batch_lost", F.coalesce("batch_lost", F.lit(False))).drop("batch")
     missing = writes & F.col("_has_content").isNull()
     return (judged.withColumn("done", F.when(missing, False).otherwise(F.col("done")))
             .withColumn("code", F.when(missing, F.lit(MISSING_FILE_CODE)).otherwise(F.col("code")))
@@ -149,6 +201,11 @@ def publish(plan: DataFrame, content: DataFrame, root: str | Column, tmp_suffix:
             .drop("_has_content"))
 
 
+def lost_batches(published: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Batches whose target system was lost while ``publish`` wrote them, as ``route_write`` takes them."""
+    return published.where("batch_lost").select(*(by or TARGET), "batch_no").distinct()
+
+
 def delete_files(requests: DataFrame, root: str, run_dir: str | None = None,
                  partitions: int | None = None) -> DataFrame:
     """Delete each ``path`` below ``root``; returns ``seq``, ``path``, ``done``, ``code``, ``message``.
