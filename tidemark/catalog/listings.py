@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.files import LISTING
@@ -22,7 +23,9 @@ from tidemark.operators.summary import count_unfiltered, listing_summary, record
 from tidemark.plans.storage import shared_dir, stage
 from tidemark.schema import INVENTORY, TRIGGERS
 from tidemark.sources.sinks import write_empty, write_listing
-from tidemark.streaming import TimestampListing, TriggeredListing, run_scheduled_listing, run_triggered_listing
+from tidemark.streaming import (
+    TimestampListing, TriggeredListing, run_incremental_triggers, run_scheduled_listing, run_triggered_listing,
+)
 
 _NATION_MATCH = "nat.container = i.container AND (ff IS NULL OR regexp_full_match(filename, ff))"
 _SUPPLIER_MATCH = ("sup.container = i.container AND starts_with(i.full_path, sup.prefix) "
@@ -246,6 +249,32 @@ def _triggered_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route_union(*parts).groupBy("tracking", "run", "trigger_id", "route", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("delivery_after_failure", f"""SELECT trigger_id, 'success' AS route, count(*) AS n, 2 AS attempts FROM sup JOIN inv i ON {_SUPPLIER_MATCH} GROUP BY trigger_id
+ UNION ALL SELECT trigger_id, 'no_files', 1, 2 FROM sup WHERE NOT EXISTS (SELECT 1 FROM inv i WHERE {_SUPPLIER_MATCH} AND NOT is_directory)""", ("inv", "sup"))
+def _delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of triggers fails after its output was written and before its state; repeated, it delivers every row once."""
+    path = f"{shared_dir(spark)}/delivery-{uuid.uuid4().hex}"
+    supplier_triggers(spark, sf_dir).write.json(f"{path}/in")
+    listing, attempts = TriggeredListing(spark, f"{path}/state", SUPPLIER_LISTING), []
+    commit = listing.store.write
+
+    def breaks_once(state: DataFrame, version: int) -> DataFrame:
+        attempts.append(version)
+        if len(attempts) == 1:
+            raise ConnectionError("lost before the state was committed")
+        return commit(state, version)
+
+    listing.store.write = breaks_once
+    for _ in range(2):
+        stream = spark.readStream.schema(TRIGGERS).json(f"{path}/in")
+        try:
+            run_incremental_triggers(stream, lambda s: inventory(s, sf_dir), listing, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+        except StreamingQueryException:
+            pass  # the stream is started again from its checkpoint
+    rows = spark.read.parquet(*[f"{path}/out/run={v}" for v in sorted(set(attempts))])
+    return rows.groupBy("trigger_id", "route").agg(F.count(F.lit(1)).alias("n")).withColumn("attempts", F.lit(len(attempts)))
+
+
 @query("scheduled_listing", f"""SELECT 0 AS run, container, count(*) AS n FROM inv WHERE last_modified_ms < {_CUT} GROUP BY container
  UNION ALL SELECT 1, container, count(*) FROM inv WHERE last_modified_ms >= {_CUT} GROUP BY container""", ("inv",))
 def _scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
