@@ -14,6 +14,7 @@ from tidemark.operators.effects import delete_files, fetch_commit_complete, lost
 from tidemark.operators.routes import route_delete, route_fetch
 from tidemark.plans.storage import open_store, shared_dir, stage
 from tidemark.sources.content import attach_content, fetch_content
+from tidemark.sources.datasource import register
 from tidemark.sources.inventory import scan_inventory
 
 _FROM = "1998-01-01"
@@ -234,6 +235,25 @@ def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.md5("content") == F.col("_digest")).alias("stored"))
 
 
+@query("folder_source", f"""WITH {_LAST} SELECT split_part(path, '/', 3) AS lang, count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS bytes
+ FROM last JOIN documents USING (doc_id) WHERE starts_with(path, 'h1/share/') GROUP BY 1""")
+def _folder_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents are published as files, and one host's are listed through the lazy source, which opens only its folders."""
+    root = f"{shared_dir(spark)}/source-{uuid.uuid4().hex}"
+    _publish_all(spark, sf_dir, root)
+    files = spark.read.format(register(spark)).load(root).where(F.startswith("full_path", F.lit("h1/share/")))
+    return files.groupBy(F.split_part("full_path", F.lit("/"), F.lit(3)).alias("lang")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+
+
+@query("committed_write", """SELECT l_orderkey, l_linenumber, CAST(l_quantity * 1000 AS BIGINT) AS size FROM lineitem""")
+def _committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing written through the source: its files appear when the job commits."""
+    path = f"{shared_dir(spark)}/committed-{uuid.uuid4().hex}"
+    line_inventory(spark, sf_dir).select("l_orderkey", "l_linenumber", "size").write.format(register(spark)).mode("append").save(path)
+    return spark.read.parquet(path)
+
+
 @query("scan_inventory", f"""WITH {_LAST} SELECT path AS full_path, strlen(text) AS size, false AS is_directory FROM last JOIN documents USING (doc_id)
  UNION ALL SELECT DISTINCT split_part(path, '/', 1), 0, true FROM last UNION ALL SELECT DISTINCT concat(split_part(path, '/', 1), '/share'), 0, true FROM last
  UNION ALL SELECT DISTINCT regexp_replace(path, '/[^/]*$', ''), 0, true FROM last""")
