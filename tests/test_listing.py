@@ -3,12 +3,15 @@ import re
 
 import pytest
 from helpers import rows
+from tidemark.plans.storage import stage
+from tidemark.sources.sinks import write_manifest
 from pyspark.sql import functions as F
 
 from tidemark.functions import render, target_attributes
 from tidemark.operators import listing as listing_module
 from tidemark.operators.listing import (
-    CONSTANT_PATTERNS, ListingTemplates, emit_attributes, error_rows, has_objects, list_for_triggers, resolve_triggers,
+    CONSTANT_PATTERNS, ListingTemplates, emit_attributes, error_rows, has_objects, list_for_triggers, match_triggers,
+    resolve_triggers,
     route_listing, route_listing_s3, unmatched_triggers,
 )
 from tidemark.operators.summary import record_count
@@ -255,3 +258,17 @@ def test_thousand_prefixes_of_300_lengths_make_no_pair_to_drop(spark):
     assert side.join(reach, ["container", "t_anchor"]).count() == len(want)
     plan = side._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_only_folders_of_triggered_containers_are_read(spark, tmp_path):
+    """An inventory in folders by container: Spark prunes them by the triggers while the listing runs."""
+    data = [(f"{c}", f"a/f{i}", i) for c in ["x", "y", "7", "a b/ü", *map(str, range(20, 60))] for i in range(5)] + [(None, "a/f", 1)]
+    inv = write_manifest(files(spark, data), str(tmp_path / "m"))
+    assert rows(inv.select("container", "full_path", "size")) == sorted(data, key=repr)
+    t = triggers(spark, (1, {"bucket": "y", "prefix": "a/"}), (2, {"bucket": "7", "prefix": ""}), (3, {"bucket": "a b/ü", "prefix": "a/f1"}))
+    for folder in (tmp_path / "m").glob("container=[2-5]*"):
+        for file in folder.glob("*.parquet"):
+            file.write_bytes(b"not to be opened")
+    got = match_triggers(stage(resolve_triggers(t, T), "resolved"), inv, T)
+    assert len(got.collect()) == 11
+    assert "dynamicpruning" in got._jdf.queryExecution().optimizedPlan().toString()

@@ -22,7 +22,7 @@ from tidemark.operators.predicates import FilterSpec
 from tidemark.operators.summary import count_unfiltered, listing_summary, record_count, write_counted_listing
 from tidemark.plans.storage import shared_dir, stage
 from tidemark.schema import INVENTORY, TRIGGERS
-from tidemark.sources.sinks import write_empty, write_listing
+from tidemark.sources.sinks import write_empty, write_listing, write_manifest
 from tidemark.streaming import (
     TimestampListing, TriggeredListing, run_incremental_triggers, run_scheduled_listing, run_triggered_listing,
 )
@@ -49,6 +49,16 @@ def _list_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trigger_id", "doc_id", "container", "full_path", "size")
 
 
+@query("list_for_triggers_folders", f"""SELECT trigger_id, doc_id, i.container, i.full_path, i.size
+ FROM sup JOIN inv i ON {_SUPPLIER_MATCH}""", ("inv", "sup"))
+def _list_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same listing over an inventory kept in folders by container."""
+    kept = write_manifest(inventory(spark, sf_dir), f"{shared_dir(spark)}/manifest-{uuid.uuid4().hex}")
+    resolved = stage(resolve_triggers(supplier_triggers(spark, sf_dir), SUPPLIER_LISTING), "resolved")
+    rows = match_triggers(resolved, kept, SUPPLIER_LISTING)
+    return rows.select("trigger_id", "doc_id", "container", "full_path", "size")
+
+
 @query("list_for_triggers_nested", """WITH keys AS (SELECT doc_id, source AS container, concat('keys/', lang, '/', substr(coalesce(text, ''), 1, 400), '/', doc_id) AS key FROM documents),
  asked AS (SELECT c_custkey AS trigger_id, container, substr(key, 1, c_custkey * 7 % 300 + 5) AS prefix FROM customer JOIN keys ON doc_id = c_custkey)
  SELECT trigger_id, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids FROM asked a JOIN keys k ON k.container = a.container AND starts_with(key, prefix)

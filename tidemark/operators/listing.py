@@ -178,7 +178,9 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
         if now_ms is None:
             raise ValueError("a filter needs now_ms")
         inv = apply_filters(inv, spec, now_ms)
-    t = resolved.where("is_valid").select(
+    # Every container is at least the empty text; the comparison tells Spark that triggers may select folders of a
+    # partitioned inventory, which it then finds out at run time (dynamic partition pruning).
+    t = resolved.where(F.col("is_valid") & (F.col("t_container") >= "")).select(
         "trigger_id", "t_container", "t_directory", "t_prefix", "t_file", "t_path", "t_anchor",
         *(["attrs"] if with_attrs else []))
     prefixes = templates.prefix is not None

@@ -35,6 +35,25 @@ def write_listing(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
 
 
+def write_manifest(inv: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
+    """Keep an inventory in folders by container, in the order of its paths; the inventory, read from there.
+
+    A triggered listing over it opens only the folders of containers that some
+    trigger asks for, if the resolved triggers are a table (``stage``): what
+    checks their patterns counts as not repeatable, and Spark selects folders
+    only by what it can ask for twice.  A container of any size is spread over
+    many files.
+    """
+    (inv.hint("rebalance", F.col("container")).sortWithinPartitions("container", "full_path")
+     .write.mode(mode).partitionBy("container").parquet(path))
+    return read_manifest_folders(inv.sparkSession, path, inv.schema)
+
+
+def read_manifest_folders(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """An inventory that ``write_manifest`` keeps; containers are texts, whatever they look like."""
+    return spark.read.schema(schema).parquet(path).select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+
+
 def read_listing_ids(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Triggers that have at least one row in a written listing (reads one column)."""
     return spark.read.format(fmt).load(path).select("trigger_id").distinct()
