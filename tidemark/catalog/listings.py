@@ -148,8 +148,8 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("newest_ms", F.unix_millis("newest")).drop("newest")
 
 
-@query("counted_listing", f"""SELECT count(*) AS unfiltered, count(*) FILTER (WHERE {_RULES}) AS before_patterns,
- count(*) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS files, count(*) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS stored,
+@query("counted_listing", f"""WITH t AS (SELECT count(*) AS unfiltered, count(*) FILTER (WHERE {_RULES}) AS before_patterns,
+ count(*) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS files,
  CAST(coalesce(sum(size) FILTER (WHERE {_RULES} AND {_PATTERNS}), 0) AS BIGINT) AS bytes,
  max(last_modified_ms) FILTER (WHERE {_RULES} AND {_PATTERNS}) AS newest_ms,
  count(*) FILTER (WHERE is_directory) AS rejected_directories,
@@ -158,12 +158,13 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
  count(*) FILTER (WHERE ends_with(filename, '.tmp')) AS rejected_ignore_suffix,
  count(*) FILTER (WHERE NOT regexp_full_match(filename, 'doc_.*\\.(csv|txt)')) AS rejected_file_filter,
  count(*) FILTER (WHERE NOT regexp_full_match(regexp_replace(directory, '^data/?', ''), '(en|fr)/.*')) AS rejected_path_filter
- FROM inv""", ("inv",))
+ FROM inv), s AS (SELECT container, count(*) AS stored FROM inv WHERE {_RULES} AND {_PATTERNS} GROUP BY container)
+ SELECT * FROM s CROSS JOIN t""", ("inv",))
 def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One write of a listing brings its rows and all its counts."""
+    """One write of a listing brings its rows, here by container, and all its counts."""
     stored, counts = write_counted_listing(inventory(spark, sf_dir), LISTING, NOW_MS, f"{shared_dir(spark)}/counted-{uuid.uuid4().hex}")
     newest = F.unix_millis(F.lit(counts["newest"]).cast("timestamp"))
-    return stored.agg(F.count(F.lit(1)).alias("stored")).withColumns(
+    return stored.groupBy("container").agg(F.count(F.lit(1)).alias("stored")).withColumns(
         {"newest_ms": newest, **{name: F.lit(n).cast("bigint") for name, n in counts.items() if name != "newest"}})
 
 
