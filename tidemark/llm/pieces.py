@@ -23,7 +23,7 @@ from tidemark.llm.registry import query
 
 SPACE = "▁"
 #: Units that a Python process keeps with their ids (twice as many at most), and their length at most.
-MEMO_UNITS, MEMO_CHARS, MEMO_PAIRS = 100_000, 48, 200_000
+MEMO_UNITS, MEMO_CHARS, MEMO_PAIRS = 200_000, 48, 200_000
 
 
 def read_model(path: str) -> dict:
@@ -74,6 +74,8 @@ class PrefixTable:
         end = "" if "\n" in self.pieces else "\n"
         self.units = re.compile(f"{SPACE}*[^{SPACE}{end}]+|{SPACE}+" + (f"|{end}" if end else ""))
         self.pairs: dict[int, bool] = {}
+        #: Units whose ids decode to another text than the unit; there need not be any.
+        self.different: dict[str, str] = {}
         self.encoded = _Memo(self.encode_and_decode_unit)
 
     def merge(self, text: str) -> list[str]:
@@ -117,16 +119,19 @@ class PrefixTable:
     def encode_unit(self, unit: str) -> bytes:
         """Ids as 32-bit integers.  No merge joins two letters that are neighbours in no piece, so a unit may be cut there."""
         if 1 < len(unit) <= MEMO_CHARS and unit[-2:] not in self.neighbours:  # as before a full stop
-            return self.encoded[unit[:-1]][0] + self.encoded[unit[-1]][0]
+            return self.encoded[unit[:-1]] + self.encoded[unit[-1]]
         if self.letters.issuperset(unit):
             return array("i", self._encode_run(unit)).tobytes()
         return array("i", [i for run in self.runs.findall(unit) for i in (
             self._encode_run(run) if run[0] in self.letters else [self.byte_ids[b] for b in run.encode()])]).tobytes()
 
-    def encode_and_decode_unit(self, unit: str) -> tuple[bytes, str]:
-        """A unit's ids, and the text that these decode to, still with its space signs."""
+    def encode_and_decode_unit(self, unit: str) -> bytes:
+        """A unit's ids; they are decoded as well, and a text other than the unit is kept."""
         ids = self.encode_unit(unit)
-        return ids, self.joined(array("i", ids).tolist())
+        text = self.joined(array("i", ids).tolist())
+        if text != unit:
+            self.different[unit] = text
+        return ids
 
     def split(self, text: str) -> list[str]:
         """Parts of a text that encode one by one; the text gets a space in front."""
@@ -158,26 +163,29 @@ class PrefixTable:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as 32-bit integers."""
-        return b"".join([self.encoded[unit][0] for unit in self.split(text)])
+        return b"".join(map(self.encoded.__getitem__, self.split(text)))
 
     def encode_and_decode(self, text: str) -> tuple[bytes, str]:
         """The ids of a text, and the text that they decode to.
 
-        Units are decoded one by one, each from its ids, and only once per memo
-        entry; the bytes of a letter are always in one unit.
+        Units are decoded one by one, each from its ids when it comes into the
+        memo; the bytes of a letter are always in one unit.
         """
-        parts = list(map(self.encoded.__getitem__, self.split(text)))
-        return b"".join([p[0] for p in parts]), self.spaced("".join([p[1] for p in parts]))
+        units = self.split(text)
+        ids = b"".join(map(self.encoded.__getitem__, units))
+        if self.different:
+            units = [self.different.get(unit, unit) for unit in units]
+        return ids, self.spaced("".join(units))
 
 
 class _Memo(dict):
-    """Ids and decoded texts of units met before.  When full, the older half is forgotten."""
+    """Ids of units met before, as bytes.  When full, the older half is forgotten."""
 
     def __init__(self, make):
         super().__init__()
         self.make, self.older = make, {}
 
-    def __missing__(self, unit: str) -> tuple[bytes, str]:
+    def __missing__(self, unit: str) -> bytes:
         found = self.older.get(unit)
         if found is None:
             found = self.make(unit)
