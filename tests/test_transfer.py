@@ -372,3 +372,27 @@ def test_empty_parquet_keeps_its_schema(spark, tmp_path):
     write_empty(spark, INVENTORY, f"{tmp_path}/e")
     back = spark.read.parquet(f"{tmp_path}/e")
     assert back.columns == INVENTORY.fieldNames() and back.count() == 0
+
+
+def large_keys(spark, folder):
+    """Line items with parts above 100,000 and suppliers above 1,000, and their keys in order."""
+    keys = [(1, 1, 5, 9_020), (1, 1, 6, 20), (1, 1, 150_000, 40), (1, 2, 3, 60)] + [(2, n, 7, 80) for n in range(96)] + [(3, 1, 5, 9_020), (3, 1, 6, 20)]
+    data = [(*k, 1.0, "R", "F", "1998-06-01") for k in reversed(keys)]
+    lines = spark.createDataFrame(data, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+                                  "l_returnflag string, l_linestatus string, day string")
+    lines.withColumn("l_shipdate", F.col("day").cast("date")).drop("day").coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    return keys
+
+
+def test_batches_of_large_keys_follow_them(spark, tmp_path):
+    from tidemark.catalog import QUERIES
+
+    keys = large_keys(spark, tmp_path)
+    numbered = {r[:4]: r[5] for r in rows(QUERIES["assign_batches"](spark, str(tmp_path)))}
+    assert numbered == {k: 1 if i < 100 else 2 for i, k in enumerate(keys)}
+
+
+def test_the_first_request_for_a_target_is_that_of_the_smallest_keys(spark):
+    df = spark.createDataFrame([("h", "s", "d/f", 10_000, 1), ("h", "s", "d/f", 6_100, 2)], "host string, share string, dest string, seq bigint, part int")
+    got = transfer.resolve_conflicts(df.withColumn("place", F.struct("part")), df.select("host", "share", "dest").where("false"), seq="place")
+    assert rows(got, "part", "target_exists") == [(1, False), (2, True)]

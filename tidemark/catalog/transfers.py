@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.functions import error_code
 from tidemark.catalog.registry import query
-from tidemark.catalog.views import inventory, line_inventory, table, text, write_requests
+from tidemark.catalog.views import ORDER_KEYS, inventory, line_inventory, table, text, write_requests
 from tidemark.operators import transfer
 from tidemark.operators.effects import delete_files, fetch_commit_complete, lost_batches, publish
 from tidemark.operators.routes import route_delete, route_fetch
@@ -28,6 +28,11 @@ _PLAN = f"""WITH w AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY {
  p AS (SELECT *, CASE WHEN NOT ex THEN 'create' WHEN conflict = 'replace' THEN 'overwrite' WHEN conflict = 'ignore' THEN 'skip' ELSE 'reject' END AS write_action FROM a)"""
 
 
+def _by_keys() -> list[Column]:
+    """The order of requests: that of their keys, those without one last."""
+    return [F.col(c).asc_nulls_last() for c in ORDER_KEYS]
+
+
 def _requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows, since = write_requests(spark, sf_dir), F.lit(_FROM).cast("timestamp")
     new = rows.where(F.col("last_modified") >= since)
@@ -36,7 +41,7 @@ def _requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query("assign_batches", f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, host, CAST(ceil(row_number() OVER (PARTITION BY host ORDER BY {_ORDER}) / 100) AS BIGINT) AS batch_no FROM req", ("invl", "req"))
 def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfer.assign_batches(write_requests(spark, sf_dir)).select(*_KEYS, "host", "batch_no")
+    return transfer.assign_batches(write_requests(spark, sf_dir), order=_by_keys()).select(*_KEYS, "host", "batch_no")
 
 
 @query("next_batch", f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, host FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY {_ORDER}) AS rn FROM req) x WHERE rn <= 100", ("invl", "req"))
@@ -47,13 +52,13 @@ def _next_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("resolve_conflicts", f"{_PLAN} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, host, dest, ex AS target_exists FROM a", ("invl", "req"))
 def _conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     new, existing = _requests(spark, sf_dir)
-    return transfer.resolve_conflicts(new, existing).select(*_KEYS, "host", "dest", "target_exists")
+    return transfer.resolve_conflicts(new, existing, seq="place").select(*_KEYS, "host", "dest", "target_exists")
 
 
 @query("plan_writes", f"""{_PLAN} SELECT host, write_action, count(*) AS n, max(batch_no) AS batches FROM p GROUP BY 1, 2""", ("invl", "req"))
 def _plan_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     new, existing = _requests(spark, sf_dir)
-    plan = transfer.plan_writes(new, existing, create_dirs=True)
+    plan = transfer.plan_writes(new, existing, create_dirs=True, order=_by_keys(), seq="place")
     return plan.groupBy("host", "write_action").agg(F.count(F.lit(1)).alias("n"), F.max("batch_no").alias("batches"))
 
 
@@ -63,7 +68,7 @@ def _plan_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _plan_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     new, existing = _requests(spark, sf_dir)
     old = write_requests(spark, sf_dir).where(F.col("last_modified") < F.lit("1992-06-01").cast("timestamp"))
-    plan = transfer.plan_writes(new, existing, old.select("host", "share", "dest_dir"), batch_size=None)
+    plan = transfer.plan_writes(new, existing, old.select("host", "share", "dest_dir"), batch_size=None, seq="place")
     return plan.groupBy("host", "write_action").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -72,7 +77,7 @@ def _plan_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _route_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some single writes failed, and host c3 lost the connection of its second batch."""
     new, existing = _requests(spark, sf_dir)
-    plan = transfer.plan_writes(new, existing, create_dirs=True)
+    plan = transfer.plan_writes(new, existing, create_dirs=True, order=_by_keys(), seq="place")
     lost = plan.where((F.col("host") == "c3") & (F.col("batch_no") == 2)).select("host", "share", "batch_no")
     routed = transfer.route_write(plan, new.where(F.col("l_partkey") % 50 == 0).select("seq"), lost)
     return routed.groupBy("host", "route").agg(F.count(F.lit(1)).alias("n"))
@@ -91,7 +96,7 @@ def _directories(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("effective_writes", f"""{_PLAN} SELECT host, dest, max(seq) AS seq FROM p WHERE write_action IN ('create', 'overwrite') GROUP BY 1, 2""", ("invl", "req"))
 def _effective(spark: SparkSession, sf_dir: str) -> DataFrame:
     new, existing = _requests(spark, sf_dir)
-    plan = transfer.plan_writes(new, existing, create_dirs=True, batch_size=None)
+    plan = transfer.plan_writes(new, existing, create_dirs=True, batch_size=None, seq="place")
     return transfer.effective_writes(plan).where("is_effective").select("host", "dest", "seq")
 
 

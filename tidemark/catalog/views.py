@@ -108,8 +108,16 @@ def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 7 != 0, attrs).alias("attrs"), ff.alias("ff"))
 
 
+ORDER_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
 def write_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as write requests; ``seq`` is unique and follows the order keys."""
+    """Line items as write requests.
+
+    ``seq`` is a number made of the order keys; it follows them only while they
+    are small (parts below 100,000, suppliers below 1,000).  ``place`` always
+    does; it is null where ``seq`` is.
+    """
     rows = line_inventory(spark, sf_dir)
     key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100_000 + F.col("l_partkey")
     seq = (key * 1_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("bigint")
@@ -118,7 +126,7 @@ def write_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         seq.alias("seq"), F.col("container").alias("host"), F.lit("share").alias("share"), "directory", "filename",
         F.when(kind == 0, "replace").when(kind == 1, "ignore").otherwise("fail").alias("conflict"),
         F.col("full_path").alias("dest"), F.col("directory").alias("dest_dir"),
-        "last_modified", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        "last_modified", *ORDER_KEYS, F.when(seq.isNotNull(), F.struct(*ORDER_KEYS)).alias("place"))
 
 
 def key_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,14 +26,14 @@ def with_destination(requests: DataFrame) -> DataFrame:
 
 
 def assign_batches(requests: DataFrame, size: int = DEFAULT_BATCH_SIZE, by: list[str] | None = None,
-                   order: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   order: list[str | Column] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``batch_no``: batches of one host and share, at most ``size`` requests each, in order."""
     numbered = running_number(requests, by or TARGET, order or ["seq"], "_rn", hot_rows)
     return numbered.withColumn("batch_no", F.ceil(F.col("_rn") / F.lit(size)).cast("bigint")).drop("_rn")
 
 
 def next_batch(requests: DataFrame, size: int = DEFAULT_BATCH_SIZE, by: list[str] | None = None,
-               order: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+               order: list[str | Column] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """First batch of each host and share.
 
     Up to 1,000 requests Spark cuts each task's rows to the first ``size`` per
@@ -98,19 +98,21 @@ def _action(exists: Column, conflict: Column) -> Column:
 
 def plan_writes(requests: DataFrame, existing: DataFrame, existing_dirs: DataFrame | None = None,
                 create_dirs: bool = False, batch_size: int | None = DEFAULT_BATCH_SIZE,
-                by: list[str] | None = None, order: list[str] | None = None,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                by: list[str] | None = None, order: list[str | Column] | None = None,
+                hot_rows: int = HOT_ROWS, seq: str = "seq") -> DataFrame:
     """Decide per request: create, overwrite, skip, reject or missing_directory.
 
     ``existing`` holds the files on the targets (``dest``), ``existing_dirs``
     the folders (``dest_dir``).  Without ``create_dirs`` a request into a folder
-    that is not there fails; the root always exists.
+    that is not there fails; the root always exists.  Batches follow ``order``
+    (default ``seq``); ``seq`` names the column, which may be a struct, that
+    tells which of the requests for one target comes first.
     """
     by = by or TARGET
     plan = requests if "dest" in requests.columns else with_destination(requests)
     if batch_size is not None:
         plan = assign_batches(plan, batch_size, by, order, hot_rows)
-    plan = resolve_conflicts(plan, existing, by, hot_rows=hot_rows)
+    plan = resolve_conflicts(plan, existing, by, seq, hot_rows)
     action = _action(F.col("target_exists"), F.col("conflict"))
     if not create_dirs and existing_dirs is not None:
         there = existing_dirs.select(*by, "dest_dir").distinct().withColumn("_there", F.lit(True))

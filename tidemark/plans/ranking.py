@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.plans.joins import HOT_ROWS, hot_keys, measure
 from tidemark.plans.storage import stage, task_count
 
 
-def running_number(df: DataFrame, by: list[str], order: list[str], out: str = "rn",
+def running_number(df: DataFrame, by: list[str], order: list[str | Column], out: str = "rn",
                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """``row_number() over (partition by … order by …)`` for groups of any size.
 
