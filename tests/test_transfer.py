@@ -396,3 +396,10 @@ def test_the_first_request_for_a_target_is_that_of_the_smallest_keys(spark):
     df = spark.createDataFrame([("h", "s", "d/f", 10_000, 1), ("h", "s", "d/f", 6_100, 2)], "host string, share string, dest string, seq bigint, part int")
     got = transfer.resolve_conflicts(df.withColumn("place", F.struct("part")), df.select("host", "share", "dest").where("false"), seq="place")
     assert rows(got, "part", "target_exists") == [(1, False), (2, True)]
+
+
+def test_the_next_batch_of_large_keys_follows_them(spark, tmp_path):
+    from tidemark.catalog import QUERIES
+
+    keys = large_keys(spark, tmp_path)
+    assert rows(QUERIES["next_batch"](spark, str(tmp_path))) == sorted(((*k, "c0") for k in keys[:100]), key=repr)

@@ -46,7 +46,7 @@ def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("next_batch", f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, host FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY {_ORDER}) AS rn FROM req) x WHERE rn <= 100", ("invl", "req"))
 def _next_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfer.next_batch(write_requests(spark, sf_dir)).select(*_KEYS, "host")
+    return transfer.next_batch(write_requests(spark, sf_dir), order=_by_keys()).select(*_KEYS, "host")
 
 
 @query("resolve_conflicts", f"{_PLAN} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, host, dest, ex AS target_exists FROM a", ("invl", "req"))
