@@ -4,7 +4,10 @@ What was seen is kept in the stream's own state and lives as long as the time
 window: Spark drops an entry that was not written for that long, and nothing
 rewrites the state as a whole.  Files are grouped into buckets by a hash of
 their key; a bucket's entries are read at once and compared with its rows, and
-only changed entries are written.
+only changed entries are written.  A bucket's state is a log of blocks of
+entries, of which the last one of a file counts: a block is one call to the
+state store where an entry each would be thousands, and since all entries of a
+block are written at one time, they share their lifetime.
 """
 
 from __future__ import annotations
@@ -20,6 +23,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 STATE_PROVIDER = ("spark.sql.streaming.stateStore.providerClass",
                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 BUCKETS = 256
+# Entries that are written to the state store at a time.
+BLOCK = 10_000
+_BLOCK_SCHEMA = "listings array<string>, keys array<string>, modified array<bigint>, sizes array<bigint>"
 
 
 def needs_rocksdb(spark: SparkSession) -> None:
@@ -29,6 +35,20 @@ def needs_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(*STATE_PROVIDER)
 
 
+def _names(texts: Any) -> Any:
+    """Texts as Python objects, with None for those that are missing."""
+    return texts.astype(object).where(texts.notna(), None)
+
+
+def _entries(blocks: list) -> Any:
+    """Blocks of the log as a table, in their order."""
+    import pandas as pd
+
+    table = pd.DataFrame({name: [v for block in blocks for v in block[i]]
+                          for i, name in enumerate(("_name_by", "_name_key", "_old_modified", "_old_size"))}, dtype=object)
+    return table.astype({"_old_modified": "Int64", "_old_size": "Int64"})
+
+
 class _Seen(StatefulProcessor):
     """The newest (time, size) of every file of a bucket."""
 
@@ -36,35 +56,51 @@ class _Seen(StatefulProcessor):
         self.columns, self.by, self.key, self.window_ms, self.initial_ms = columns, by, key, window_ms, initial_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "listing string, key string", "modified bigint, size bigint", self.window_ms)
+        self.log = handle.getMapState("log", "number bigint", _BLOCK_SCHEMA, self.window_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[Any], timerValues: Any) -> Iterator[Any]:
         import pandas as pd
 
         whole = pd.concat(list(rows), ignore_index=True)
         whole.columns = self.columns  # Spark hands over names with leading underscores as numbers
-        batch = whole.sort_values(["_listed", "_modified"], kind="stable")
-        known = dict(self.seen.iterator()) if self.seen.exists() else {}
-        floor = batch["_listed"] - self.window_ms
-        initial = batch["_listed"] <= self.initial_ms if self.initial_ms is not None else pd.Series(False, index=batch.index)
-        changed, out = {}, []
-        for i, name, now, first, inside in zip(batch.index, zip(batch[self.by], batch[self.key]), zip(batch["_modified"], batch["_size"]),
-                                               initial, batch["_modified"] >= floor):
-            before = known.get(name)
-            if not inside and not first:
-                continue
-            now = (int(now[0]), None if pd.isna(now[1]) else int(now[1]))
-            if before is None or tuple(before) != now:
-                out.append((i, "new" if before is None else "changed"))
-            if inside and (before is None or tuple(before) != now):
-                known[name] = changed[name] = now
-        for name, now in changed.items():
-            self.seen.updateValue(name, now)
-        if not out:
-            return
-        picked = batch.loc[[i for i, _ in out]].drop(columns=["_listed", "_modified", "_size", "_bucket"])
-        picked = picked.assign(change=[kind for _, kind in out])
-        yield picked.astype({c: object for c in picked if pd.api.types.is_string_dtype(picked[c])})
+        batch = whole.sort_values(["_listed", "_modified"], kind="stable", ignore_index=True)
+        blocks = dict(self.log.iterator()) if self.log.exists() else {}
+        known = _entries([blocks[n] for n in sorted(blocks)]).drop_duplicates(["_name_by", "_name_key"], keep="last")
+        now = pd.DataFrame({"_name_by": _names(batch[self.by]), "_name_key": _names(batch[self.key]),
+                            "_modified": batch["_modified"].astype("int64"), "_size": batch["_size"].astype("Int64")})
+        seen = now.merge(known, "left", ["_name_by", "_name_key"])  # one row each, in the order of the batch
+        inside = batch["_modified"] >= batch["_listed"] - self.window_ms
+        listed = inside | (batch["_listed"] <= self.initial_ms) if self.initial_ms is not None else inside
+        is_known = seen["_old_modified"].notna()
+        same = (seen["_modified"] == seen["_old_modified"]).fillna(False) & (
+            (seen["_size"] == seen["_old_size"]).fillna(False) | (seen["_size"].isna() & seen["_old_size"].isna()))
+        change = pd.Series("changed", index=batch.index, dtype=object).where(is_known, "new").where(listed & ~(is_known & same))
+        for _, places in now[now.duplicated(["_name_by", "_name_key"], keep=False)].groupby(["_name_by", "_name_key"], dropna=False).groups.items():
+            self._one_by_one(seen, places, inside, listed, change)
+        written = now[inside & change.notna()].drop_duplicates(["_name_by", "_name_key"], keep="last")
+        for number, start in enumerate(range(0, len(written), BLOCK), max(blocks, default=(-1,))[0] + 1):
+            block = written.iloc[start:start + BLOCK]
+            self.log.updateValue((number,), tuple([None if pd.isna(v) else v for v in block[c].tolist()] for c in now.columns))
+        if change.notna().any():
+            picked = batch[change.notna()].drop(columns=["_listed", "_modified", "_size", "_bucket"])
+            picked = picked.assign(change=change.dropna())
+            yield picked.astype({c: object for c in picked if pd.api.types.is_string_dtype(picked[c])})
+
+    @staticmethod
+    def _one_by_one(seen: Any, places: Any, inside: Any, listed: Any, change: Any) -> None:
+        """Changes of a file that a batch holds more than once: each row is compared with the one before."""
+        import pandas as pd
+
+        def pair(i: int, modified: str, size: str) -> tuple:
+            return tuple(None if pd.isna(v) else int(v) for v in (seen.at[i, modified], seen.at[i, size]))
+
+        before = pair(places[0], "_old_modified", "_old_size")
+        known = before[0] is not None
+        for i in places:
+            now = pair(i, "_modified", "_size")
+            change.at[i] = None if not listed[i] or (known and before == now) else "changed" if known else "new"
+            if inside[i]:
+                before, known = now, True
 
     def close(self) -> None:
         pass
@@ -82,7 +118,8 @@ def track_entities_stream(snapshots: DataFrame, window_ms: int, initial_ms: int
     the window.  Run it on a timer or once per start: entries with a lifetime make
     Spark look at the state again and again, so "all there is now" never ends.
     More ``buckets`` mean fewer files in each; their number must not
-    change while a checkpoint is in use.
+    change while a checkpoint is in use.  Checkpoints from before the log of
+    blocks hold another state and must be begun anew.
     """
     needs_rocksdb(snapshots.sparkSession)
     keyed = snapshots.where(F.col(key).isNotNull() & F.col("last_modified").isNotNull()).withColumns({
