@@ -10,17 +10,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.paths import depth, normalise_path, relative_dir
 from tidemark.functions.templates import full_match, pattern_compiles, render, resolve_filter, wrap_full
 from tidemark.functions.values import error_attributes, merge_attributes, root_cause
-from tidemark.operators.patterns import contained, literals_of, with_literal
+from tidemark.operators.incremental import fingerprint
+from tidemark.operators.patterns import contained, head_lengths, headed, literals_of, with_head, with_literal
 from tidemark.operators.predicates import FilterSpec, apply_filters
 from tidemark.plans.joins import DEFAULT_LIMIT, BroadcastLimit, join_checked, measure, row_bytes
 from tidemark.plans.nested import fits, locate, nest
-from tidemark.plans.storage import stage
+from tidemark.plans.storage import stage, task_count
 from tidemark.schema import FAILURE, NO_FILES, SUCCESS
 
 # Up to this many different patterns are written into the plan as constants.
 CONSTANT_PATTERNS = 64
 # With more folder depths or prefix lengths than this, files are put at their deepest prefix instead of being copied.
 COPIED_LEVELS = 4
+# Places that triggers look at are broadcast as hashes of 8 bytes if they are too many or too long as they are.
+PLACES = BroadcastLimit(rows=4_000_000)
+# What a listing is made of; triggers that agree in all of it share the listing.
+SETTINGS = ("t_container", "t_directory", "t_prefix", "t_file", "t_path")
 
 
 @dataclass(frozen=True)
@@ -135,6 +140,14 @@ def _anchored(inv: DataFrame, levels: list[int], prefixes: bool) -> DataFrame:
     if levels == [0]:
         return inv.withColumn("t_anchor", F.lit(""))
     path, clean = F.col("full_path"), F.trim(F.col("directory"), F.lit("/"))
+    if len(levels) > COPIED_LEVELS:
+        long = F.char_length(path) if prefixes else depth(clean)
+        reached = F.filter(F.array(*[F.lit(n) for n in levels]), lambda n: n <= long)
+        n = F.col("_level")
+        cut = F.substring(path, F.lit(1), n) if prefixes else F.call_function("substring_index", clean, F.lit("/"), n)
+        # Files are dealt to all tasks first: each is looked up at hundreds of places, however few tasks read the inventory.
+        dealt = inv.repartition(task_count(inv.sparkSession))
+        return dealt.withColumn("_level", F.explode(reached)).withColumn("t_anchor", cut).drop("_level")
     if prefixes:
         reach = [F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in levels]
     else:
@@ -161,18 +174,98 @@ def _nested(inv: DataFrame, t: DataFrame, levels: list[int], prefixes: bool,
             join_checked(reach, t, ["container", "t_anchor"]).drop("t_anchor").withColumnRenamed("node", "t_anchor"))
 
 
+@dataclass(frozen=True)
+class SharedListings:
+    """Different listings, and the triggers that asked for each.
+
+    ``files``: inventory columns, the listings' own columns and ``listing``.
+    ``askers``: ``trigger_id`` and ``listing`` for each valid trigger.  Many
+    triggers with equal settings are listed once, and what is counted, written or
+    kept per listing grows with the files, not with the triggers times the files.
+    """
+
+    files: DataFrame
+    askers: DataFrame
+
+    def per_trigger(self, *sums: str) -> DataFrame:
+        """``n`` files of each trigger that has any, and sums of columns; files are counted once per listing."""
+        return per_asker(self.files.groupBy("listing").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums]),
+                         self.askers, ["listing"])
+
+    def expanded(self, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+        """Each file once per trigger."""
+        return for_askers(self.files, self.askers, limit)
+
+
+def per_asker(counts: DataFrame, askers: DataFrame, on: list[str]) -> DataFrame:
+    """Numbers per listing as numbers per trigger, added up where a trigger asked more than once."""
+    numbers = [c for c in counts.columns if c not in on]
+    return counts.join(askers, on).groupBy("trigger_id").agg(*[F.sum(c).alias(c) for c in numbers])
+
+
+def for_askers(rows: DataFrame, askers: DataFrame, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+    """Rows by ``listing`` once for each trigger that asked for it.
+
+    The rows are dealt to all tasks first: each becomes as many as its listing
+    has triggers, however few tasks read the inventory.  An asker is a number and
+    a hash, so many more of them than of whole triggers are a small table.
+    """
+    wide = BroadcastLimit(20 * limit.rows, limit.bytes)
+    return join_checked(rows.repartition(task_count(rows.sparkSession)), askers, ["listing"], limit=wide)
+
+
+def _asked(resolved: DataFrame, attrs: bool) -> DataFrame:
+    """Valid triggers with the ``listing`` they ask for, staged."""
+    valid = resolved.where(F.col("is_valid") & F.col("t_container").isNotNull())
+    own = {"attrs": F.to_json("attrs", {"ignoreNullFields": "false"})} if attrs else {}
+    listing = fingerprint({**{n: F.col(n) for n in SETTINGS}, **own})
+    return stage(valid.select("trigger_id", *SETTINGS, "t_anchor", *(["attrs"] if attrs else []), listing.alias("listing")), "asked")
+
+
+def _different(asked: DataFrame, attrs: bool) -> DataFrame:
+    """One row per listing of ``_asked``."""
+    columns = [*SETTINGS, "t_anchor", *(["attrs"] if attrs else [])]
+    return stage(asked.groupBy("listing").agg(*[F.first(c).alias(c) for c in columns]), "listings")
+
+
+def match_listings(resolved: DataFrame, inv: DataFrame, templates: ListingTemplates,
+                   spec: FilterSpec | None = None, now_ms: int | None = None,
+                   with_attrs: bool = False, limit: BroadcastLimit = DEFAULT_LIMIT) -> SharedListings:
+    """``match_triggers`` with each different listing once; with ``with_attrs`` triggers must agree in their attributes too."""
+    asked = _asked(resolved, with_attrs)
+    files = _match(_different(asked, with_attrs), ["listing", *(["attrs"] if with_attrs else [])], inv, templates, spec, now_ms, limit)
+    return SharedListings(files, asked.select("trigger_id", "listing"))
+
+
 def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTemplates,
                    spec: FilterSpec | None = None, now_ms: int | None = None,
                    with_attrs: bool = False, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """Files of each valid trigger: inventory columns plus ``trigger_id``.
 
+    If at least half of the triggers ask for what others ask for too, each
+    different listing is made once, and its files are handed to its triggers.
+    """
+    own = ["trigger_id", *(["attrs"] if with_attrs else [])]
+    asked = _asked(resolved, with_attrs)
+    n, different = asked.agg(F.count(F.lit(1)), F.count_distinct("listing")).first()
+    if 2 * different > n:
+        return _match(asked, own, inv, templates, spec, now_ms, limit)
+    files = _match(_different(asked, with_attrs), ["listing", *own[1:]], inv, templates, spec, now_ms, limit)
+    return SharedListings(files, asked.select("trigger_id", "listing")).expanded(limit).select(*inv.columns, *own)
+
+
+def _match(t: DataFrame, own: list[str], inv: DataFrame, templates: ListingTemplates,
+           spec: FilterSpec | None, now_ms: int | None, limit: BroadcastLimit) -> DataFrame:
+    """Files of each row of ``t`` (settings): inventory columns plus the row's ``own``.
+
     The settings that are the same for all triggers filter the inventory first.
     The rest is one equi-join on container and folder or prefix, with the trigger table
     broadcast if it was measured to fit, else shuffled with hot keys split; the
     patterns run on the pairs that are left.  A file is looked up at a few folder
     depths or prefix lengths by copies, at more by a search for its deepest one.
     Beyond ``CONSTANT_PATTERNS`` a name pattern runs only on names that contain
-    its literal, which is part of the join key then.
+    its literal, which is part of the join key then, or, with more triggers than
+    can be broadcast, on names that begin with the text that it begins with.
     """
     if spec is not None:
         if now_ms is None:
@@ -180,9 +273,7 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
         inv = apply_filters(inv, spec, now_ms)
     # Every container is at least the empty text; the comparison tells Spark that triggers may select folders of a
     # partitioned inventory, which it then finds out at run time (dynamic partition pruning).
-    t = resolved.where(F.col("is_valid") & (F.col("t_container") >= "")).select(
-        "trigger_id", "t_container", "t_directory", "t_prefix", "t_file", "t_path", "t_anchor",
-        *(["attrs"] if with_attrs else []))
+    t = t.where(F.col("t_container") >= "").select(*SETTINGS, "t_anchor", *own)
     prefixes = templates.prefix is not None
     facts = _facts(t, limit, F.char_length if prefixes else depth)
     # Very many patterns of file names only meet names with a text that their matches must contain.
@@ -190,11 +281,17 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
     if prefilter:
         t = stage(with_literal(t, "t_file", "t_literal"), "patterns")
         literals = literals_of(t, "t_literal")
+    by_head = templates.file_filter is not None and facts.files is None and not facts.fits
+    if by_head:
+        heads = stage(with_head(t, "t_file", "t_head"), "patterns")
+        lengths = head_lengths(heads, "t_head")
+        t = headed(heads, "t_head", lengths)
+    extra = [c for c, there in (("t_literal", prefilter), ("t_head", by_head)) if there]
     t = t.select(
-        *(["t_literal"] if prefilter else []), "trigger_id", F.col("t_container").alias("container"), "t_anchor", "t_prefix", "t_directory",
+        *extra, *[c for c in own if c != "attrs"], F.col("t_container").alias("container"), "t_anchor", "t_prefix", "t_directory",
         _coded(F.col("t_file"), facts.files).alias("t_file"),
         _coded(F.col("t_path"), facts.paths).alias("t_path"),
-        *(["attrs"] if with_attrs else []))
+        *[c for c in own if c == "attrs"])
     tests, fitting = [], facts.fits
     if templates.prefix is not None:
         tests.append(F.startswith(F.col("full_path"), F.col("t_prefix")))
@@ -218,6 +315,8 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
         templates.directory is not None and not templates.recursive) else ["container", "t_anchor"]
     if prefilter:
         side, on = contained(side, "filename", literals, "t_literal"), [*on, "t_literal"]
+    if by_head:
+        side, on = headed(side, "filename", lengths, "t_head"), [*on, "t_head"]
     if "t_anchor" not in on:
         side, t = side.drop("t_anchor"), t.drop("t_anchor")
     if fitting is False:
@@ -225,10 +324,14 @@ def match_triggers(resolved: DataFrame, inv: DataFrame, templates: ListingTempla
         places = t.select(*on).distinct()
         if measure(places, limit):
             side = side.join(F.broadcast(places), on, "left_semi")
+        else:
+            hashes = stage(places.select(F.xxhash64(*on).alias("_place")).distinct(), "places")
+            if measure(hashes, PLACES):
+                side = side.withColumn("_place", F.xxhash64(*on)).join(F.broadcast(hashes), "_place", "left_semi").drop("_place")
     out = join_checked(side, t, on, "inner", limit=limit, fits=fitting)
     for test in tests:
         out = out.where(test)
-    return out.select(*inv.columns, "trigger_id", *(["attrs"] if with_attrs else []))
+    return out.select(*inv.columns, *own)
 
 
 def list_for_triggers(triggers: DataFrame, inv: DataFrame, templates: ListingTemplates,

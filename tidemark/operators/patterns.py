@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # Stands for patterns without a literal; they are tried on every text.
 ANYWHERE = 0
+# Names are looked up at up to this many lengths of the texts that patterns begin with.
+HEAD_LENGTHS = 16
 QUANTIFIERS = "?*+{"
 
 
@@ -36,14 +38,20 @@ def required_literal(pattern: str | None) -> str | None:
     Looks at letters outside of groups and classes that are not optional.
     Alternatives at the top, inline flags, look-around and quoted parts give none.
     """
-    if pattern is None or "(?" in pattern.replace("(?:", "") or "\\Q" in pattern:
-        return None
-    best, run, i, n = "", "", 0, len(pattern)
+    return max(_required_texts(pattern) or [""], key=len) or None
+
 
-    def ends(text: str) -> None:
-        nonlocal best
-        best = max(best, text, key=len)
+def required_head(pattern: str | None) -> str:
+    """The text that every whole match of a pattern begins with, as far as ``required_literal`` sees it; may be empty."""
+    return (_required_texts(pattern) or [""])[0]
 
+
+def _required_texts(pattern: str | None) -> list[str] | None:
+    """Texts that every whole match contains, in their order; the match begins with the first, which may be empty."""
+    if pattern is None or "(?" in pattern.replace("(?:", "") or "\\Q" in pattern:
+        return None
+    found, run, i, n = [], "", 0, len(pattern)
+    ends = found.append
     while i < n:
         c, literal = pattern[i], None
         if c == "|":
@@ -90,7 +98,7 @@ def required_literal(pattern: str | None) -> str | None:
             if not i:
                 return None
     ends(run)
-    return best or None
+    return found
 
 
 @F.pandas_udf(T.StringType())
@@ -105,6 +113,33 @@ def with_literal(df: DataFrame, pattern: str, out: str) -> DataFrame:
             .withColumn(out, F.coalesce(F.when(F.col("_literal").isNotNull(), F.xxhash64("_literal")), F.lit(ANYWHERE))))
 
 
+@F.pandas_udf(T.StringType())
+def _heads(patterns: pd.Series) -> pd.Series:
+    return patterns.map(required_head)
+
+
+def with_head(df: DataFrame, pattern: str, out: str) -> DataFrame:
+    """Add the text that names must begin with to match a pattern column; empty if there is none."""
+    return df.withColumn(out, F.coalesce(_heads(F.col(pattern)), F.lit("")))
+
+
+def head_lengths(df: DataFrame, head: str) -> list[int]:
+    """Lengths that heads are cut to: those that occur, or as many of them as ``HEAD_LENGTHS``, the shortest included."""
+    found = sorted(df.agg(F.collect_set(F.char_length(head))).first()[0]) or [0]
+    return sorted({found[i * len(found) // HEAD_LENGTHS] for i in range(HEAD_LENGTHS)})
+
+
+def headed(df: DataFrame, text: str, lengths: list[int], out: str | None = None) -> DataFrame:
+    """``df`` with one row per given length that a text reaches, and the head of that length as ``out``.
+
+    Without ``out`` the text itself is cut, to the greatest of the lengths that it reaches.
+    """
+    cuts = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.char_length(F.coalesce(text, F.lit(""))))
+    cut = F.array_max(cuts) if out is None else F.explode(cuts)
+    shorter = F.substring(F.coalesce(text, F.lit("")), F.lit(1), F.col("_length"))
+    return df.withColumn("_length", cut).withColumn(out or text, shorter).drop("_length")
+
+
 def contained(df: DataFrame, text: str, literals: DataFrame, out: str) -> DataFrame:
     """``df`` with one row per literal that a text column contains, and one for ``ANYWHERE``.
 

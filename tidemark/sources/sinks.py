@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators.listing import SharedListings
+
 # Mime types by output format.
 MIME_TYPES = {"json": "application/json", "csv": "text/csv", "parquet": "application/parquet",
               "orc": "application/orc"}
@@ -35,6 +37,16 @@ def write_listing(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
 
 
+def write_shared_listing(shared: SharedListings, path: str, askers_path: str, fmt: str = "parquet", mode: str = "append") -> SharedListings:
+    """Write each different listing once, one folder per listing, and beside them who asked for which.
+
+    Equal triggers share their listing's folder, so what is written grows with
+    the files that are listed and with the triggers, not with their product.
+    """
+    files = write_listing(shared.files, path, fmt, ("listing",), mode)
+    return SharedListings(files, write_listing(shared.askers, askers_path, fmt, (), mode))
+
+
 def write_manifest(inv: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Keep an inventory in folders by container, in the order of its paths; the inventory, read from there.
 

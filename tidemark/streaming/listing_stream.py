@@ -18,7 +18,7 @@ from tidemark.operators.incremental import (
     ENTITY_STATE, TIMESTAMP_STATE, entity_changes, fingerprint, initial_floor, new_since, next_state, track_entities, watermark_floor,
 )
 from tidemark.operators.listing import (
-    ListingTemplates, emit_attributes, match_triggers, resolve_triggers, route_listing,
+    ListingTemplates, SharedListings, emit_attributes, for_askers, match_listings, match_triggers, resolve_triggers, route_listing,
 )
 from tidemark.operators.predicates import FilterSpec, apply_filters, min_timestamp
 from tidemark.plans.deltas import DeltaState
@@ -26,7 +26,7 @@ from tidemark.plans.joins import join_checked
 from tidemark.plans.state import StateStore
 from tidemark.plans.storage import stage
 from tidemark.schema import DEFAULT_SCHEDULE, FAILURE, NO_FILES, SUCCESS
-from tidemark.sources.sinks import read_listing_ids, write_listing
+from tidemark.sources.sinks import read_listing_ids, write_listing, write_shared_listing
 
 
 # Old states kept for runs that are repeated.
@@ -43,7 +43,7 @@ def run_triggered_listing(triggers: DataFrame, inventory: Callable[[SparkSession
                           spec: FilterSpec | None = None, clock_ms: Callable[[], int] | None = None,
                           listing: Column | None = None, records_requested: bool = True,
                           partition_by: tuple[str, ...] = ("trigger_id",),
-                          trigger: dict | None = None) -> StreamingQuery:
+                          trigger: dict | None = None, shared: bool = False) -> StreamingQuery:
     """List once per trigger of a stream; output is one folder per batch and route.
 
     ``inventory`` is called in each batch and gives the current snapshot.  The
@@ -51,22 +51,31 @@ def run_triggered_listing(triggers: DataFrame, inventory: Callable[[SparkSession
     was written (one column), so the inventory is read once.  Batches are
     consumed once (checkpoint) and overwrite their own folders when retried.
     With very many triggers per batch give ``partition_by=()``: one folder per
-    trigger is then too many.
+    trigger is then too many.  With ``shared`` each different listing of a batch
+    is written once, in a folder by ``listing``, and which trigger asked for it
+    to ``askers/batch_id=…`` (``write_shared_listing``).
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         resolved = stage(resolve_triggers(batch, templates), "triggers")
         now = clock_ms() if clock_ms else None
-        rows = match_triggers(resolved, inventory(spark), templates, spec, now, with_attrs=listing is not None)
+        match = match_listings if shared else match_triggers
+        found = match(resolved, inventory(spark), templates, spec, now, with_attrs=listing is not None)
+        rows = found.files if shared else found
         if listing is not None:
             rows = emit_attributes(rows, listing).drop("attrs")
         target = f"{out}/batch_id={batch_id}"
-        write_listing(rows, f"{target}/route={SUCCESS}", partition_by=partition_by, mode="overwrite")
+        if shared:
+            stored = write_shared_listing(SharedListings(rows, found.askers), f"{target}/route={SUCCESS}",
+                                          f"{out}/askers/batch_id={batch_id}", mode="overwrite")
+        else:
+            write_listing(rows, f"{target}/route={SUCCESS}", partition_by=partition_by, mode="overwrite")
         valid = resolved.where("is_valid").select("trigger_id")
         failed = resolved.where(~F.col("is_valid")).select("trigger_id", F.lit("invalid pattern").alias("error_message"))
         failed.write.mode("overwrite").parquet(f"{target}/route={FAILURE}")
         if records_requested:
-            ids = _written_ids(spark, f"{target}/route={SUCCESS}", bool(partition_by))
+            ids = (_askers_of(stored.files, stored.askers) if shared
+                   else _written_ids(spark, f"{target}/route={SUCCESS}", bool(partition_by)))
             empty = valid if ids is None else valid.join(ids, "trigger_id", "left_anti")
             empty.write.mode("overwrite").parquet(f"{target}/route={NO_FILES}")
 
@@ -74,6 +83,11 @@ def run_triggered_listing(triggers: DataFrame, inventory: Callable[[SparkSession
             .trigger(**(trigger or schedule(None))).start())
 
 
+def _askers_of(files: DataFrame, askers: DataFrame) -> DataFrame:
+    """Triggers with at least one file in their listing."""
+    return askers.join(files.select("listing").distinct(), "listing", "left_semi").select("trigger_id").distinct()
+
+
 def _written_ids(spark: SparkSession, path: str, folders: bool) -> DataFrame | None:
     """Triggers of a written listing; none if it has no rows and so no trigger folder."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -166,6 +180,10 @@ class TriggeredListing:
     triggers share its state, and a changed setting starts afresh.  ``tracking``
     is ``timestamps``, ``entities`` or ``none``.  ``target`` is a map over the
     resolved trigger's columns (``t_container``, ``t_prefix``, ``t_directory``).
+
+    A listing is matched, compared and kept once, however many triggers ask for
+    it.  With ``shared`` it is delivered once too: success rows then have their
+    ``listing`` instead of a trigger, and ``askers`` tells whose it is.
     """
 
     spark: SparkSession
@@ -178,6 +196,7 @@ class TriggeredListing:
     initial_ms: int | None = None
     window_ms: int | None = None
     key: str = "full_path"
+    shared: bool = False
 
     def __post_init__(self) -> None:
         if self.tracking not in ("timestamps", "entities", "none"):
@@ -198,8 +217,8 @@ class TriggeredListing:
         names = ["t_container", "t_directory", "t_prefix", "t_file", "t_path"]
         resolved = stage(resolve_triggers(triggers, self.templates).withColumn(
             "listing", fingerprint({n: F.col(n) for n in names})), "triggers")
-        found = match_triggers(resolved, inv, self.templates, self.spec, now_ms, with_attrs=True)
-        listed = join_checked(found, resolved.select("trigger_id", "listing"), ["trigger_id"])
+        found = match_listings(resolved, inv, self.templates, self.spec, now_ms)
+        listed = found.files
         floor = initial_floor(self.initial, True, self.tracking, now_ms, self.initial_ms)
         if floor is not None:
             begun = state.select("listing").distinct().withColumn("_begun", F.lit(True))
@@ -215,15 +234,42 @@ class TriggeredListing:
             fresh, following = listed, state
         fresh = stage(fresh, "fresh")
         failed = resolved.where(~F.col("is_valid")).select("trigger_id", F.lit("invalid pattern").alias("error_message"))
-        routed = route_listing(resolved, listed, fresh, failed, records_requested, self.target)
+        # A trigger that came several times is met by each of its rows, as ever.
+        own = resolved.where("is_valid").select("trigger_id", "listing", "attrs")
+        askers = found.askers.join(own, ["trigger_id", "listing"]).join(failed, "trigger_id", "left_anti")
+        files = listed.where(~F.col("is_directory")) if "is_directory" in listed.columns else listed
+        hit = _askers_of(files, found.askers)
+        if self.shared:
+            emitted = fresh.join(askers.select("listing").distinct(), "listing", "left_semi").withColumn("trigger_id", F.lit(None).cast("bigint"))
+        else:
+            emitted = for_askers(fresh, askers)
+        routed = route_listing(resolved, hit, emitted, failed, records_requested, self.target)
         path = f"{out}/run={version}"
         routed.write.mode("overwrite").parquet(path)
+        if self.shared:
+            askers.select("trigger_id", "listing").write.mode("overwrite").parquet(self._askers(out, version))
         if following is None:
             following = next_state(fresh, state, "listing", self.key)
         self.store.write(following.select(self.store.schema.fieldNames()).distinct(), version)
         self.store.prune(KEPT_STATES)
         return self.spark.read.schema(routed.schema).parquet(path)
 
+    def _askers(self, out: str, version: int) -> str:
+        return f"{out}/askers/run={version}"
+
+    def askers(self, out: str, version: int) -> DataFrame:
+        """Which ``trigger_id`` asked for which ``listing`` in a run with ``shared``."""
+        return self.spark.read.parquet(self._askers(out, version))
+
+    def counts(self, out: str, version: int, *by: Column) -> DataFrame:
+        """Rows per ``trigger_id`` and ``route`` (and more) of a run with ``shared``; each listing is counted once."""
+        rows, names = self.spark.read.parquet(f"{out}/run={version}"), ["route", *[f"_by{i}" for i in range(len(by))]]
+        counted = rows.select("trigger_id", "listing", "route", *[c.alias(n) for c, n in zip(by, names[1:])]).groupBy(
+            "trigger_id", "listing", *names).agg(F.count(F.lit(1)).alias("n"))
+        delivered = counted.where(F.col("route") == SUCCESS).drop("trigger_id").join(self.askers(out, version), "listing")
+        each = counted.where(F.col("route") != SUCCESS).unionByName(delivered)
+        return each.groupBy("trigger_id", *names).agg(F.sum("n").alias("n"))
+
 
 def run_incremental_triggers(triggers: DataFrame, inventory: Callable[[SparkSession], DataFrame], listing: TriggeredListing,
                              out: str, checkpoint: str, clock_ms: Callable[[], int] | None = None,
