@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,6 +25,9 @@ CONSTANT_PATTERNS = 64
 COPIED_LEVELS = 4
 # Places that triggers look at are broadcast as hashes of 8 bytes if they are too many or too long as they are.
 PLACES = BroadcastLimit(rows=4_000_000)
+# With more triggers per listing than this, its files are dealt to more tasks, up to so many.
+ASKERS_PER_TASK = 50
+MAX_TASKS = 4_000
 # What a listing is made of; triggers that agree in all of it share the listing.
 SETTINGS = ("t_container", "t_directory", "t_prefix", "t_file", "t_path")
 
@@ -207,11 +211,18 @@ def for_askers(rows: DataFrame, askers: DataFrame, limit: BroadcastLimit = DEFAU
     """Rows by ``listing`` once for each trigger that asked for it.
 
     The rows are dealt to all tasks first: each becomes as many as its listing
-    has triggers, however few tasks read the inventory.  An asker is a number and
-    a hash, so many more of them than of whole triggers are a small table.
+    has triggers, however few tasks read the inventory.  The more triggers a
+    listing has, the more tasks there are, so that a task's rows grow with the
+    files alone.  An asker is a number and a hash, so many more of them than of
+    whole triggers are a small table.
     """
-    wide = BroadcastLimit(20 * limit.rows, limit.bytes)
-    return join_checked(rows.repartition(task_count(rows.sparkSession)), askers, ["listing"], limit=wide)
+    n, size, listings = askers.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(askers)), F.lit(0)),
+                                   F.approx_count_distinct("listing")).first()
+    fits = n <= 20 * limit.rows and size <= limit.bytes
+    tasks = task_count(rows.sparkSession)
+    more = math.ceil(n / max(listings, 1) / ASKERS_PER_TASK)
+    dealt = rows.repartition(max(tasks, min(tasks * more, MAX_TASKS)))
+    return join_checked(dealt, askers, ["listing"], limit=limit, fits=fits)
 
 
 def _asked(resolved: DataFrame, attrs: bool) -> DataFrame:
