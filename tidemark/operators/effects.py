@@ -10,7 +10,7 @@ the second time.
 
 from __future__ import annotations
 
-import hashlib
+import json
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -26,6 +26,8 @@ from tidemark.sources.content import fetch_content
 
 _OUTCOME = "seq bigint, done boolean, code bigint, message string"
 _SENT = f"{_OUTCOME}, lost boolean"
+# Lists of files that are taken away are kept by hash of their path.
+MARK_BUCKETS = 1_024
 
 
 def _outcome(row, act: Callable) -> tuple:
@@ -43,11 +45,6 @@ def _frame(outcomes: list[tuple], **more: list) -> pd.DataFrame:
     return frame.astype({"seq": "int64", "done": "bool", "code": "Int64"})
 
 
-def _each(rows: Iterator[pd.DataFrame], act: Callable) -> Iterator[pd.DataFrame]:
-    for pdf in rows:
-        yield _frame([_outcome(row, act) for row in pdf.itertuples(index=False)])
-
-
 def reachable(root: str) -> None:
     """Raise unless a target system's root can be asked for and is, or may become, a folder."""
     from pyarrow import fs
@@ -58,7 +55,7 @@ def reachable(root: str) -> None:
 
 
 def _each_of_batches(rows: Iterator[pd.DataFrame], act: Callable, connect: Callable[[str], None]) -> Iterator[pd.DataFrame]:
-    """``_each`` for rows of batches, one after the other; a batch whose system is lost is given up.
+    """Rows of batches, one after the other; a batch whose system is lost is given up.
 
     After an error the system is asked for.  If it is gone, the rows of the
     batch that are still to come fail without being tried.  Rows of other
@@ -87,27 +84,118 @@ def _is_file(store, path: str) -> bool:
     return store.get_file_info(path).type == fs.FileType.File
 
 
+def _below(folder: str, path: str) -> str:
+    return f"{folder}/{path.lstrip('/')}"
+
+
 def _markers(rows: DataFrame, run_dir: str | None) -> str:
     """The folder of a call's markers: the caller's, for calls that may be repeated, or a new one."""
     return run_dir.rstrip("/") if run_dir else f"{shared_dir(rows.sparkSession)}/markers/{uuid.uuid4().hex}"
 
 
 class _Marks:
-    """Which files a call has begun to take away, kept in a folder as empty files."""
+    """Which files a call has begun to take away, kept in a folder: a list of paths per bucket and batch.
+
+    A marker per file would cost more than the deletes, as tasks wait for each
+    other to make files in one folder.  A list counts from when it is closed,
+    before the first of its files is touched, so one that is cut off says nothing.
+    """
 
     def __init__(self, folder: str):
         self.store, self.folder = open_store(folder)
-        self.store.create_dir(self.folder, recursive=True)
+        self.written: set[str] = set()
+        self.bucket, self.taken = None, set()
+
+    def enter(self, bucket: int) -> None:
+        """Go on with a bucket's paths; those of the bucket before come no more."""
+        if bucket != self.bucket:
+            self.bucket, self.taken = bucket, set()
+
+    def begin(self, bucket: int, names: list[str]) -> None:
+        place = f"{self.folder}/{bucket}"
+        self.store.create_dir(place, recursive=True)
+        path = f"{place}/{uuid.uuid4().hex}"
+        with self.store.open_output_stream(path) as f:
+            f.write(json.dumps(names).encode())
+        self.written.add(path.rsplit("/", 1)[-1])
+
+    def begun(self, bucket: int) -> set[str]:
+        """Paths that other tasks, or earlier calls, have begun to take away."""
+        from pyarrow import fs
+
+        names = set()
+        for info in self.store.get_file_info(fs.FileSelector(f"{self.folder}/{bucket}", allow_not_found=True)):
+            if info.base_name not in self.written:
+                with self.store.open_input_stream(info.path) as f:
+                    try:
+                        names.update(json.loads(f.read()))
+                    except ValueError:  # its task died while it wrote the list
+                        pass
+        return names
+
+
+def _dealt(rows: DataFrame, path: str, n: int) -> DataFrame:
+    """Rows by bucket of their path.  The bucket is no key of the steps before, whose few tasks Spark would keep otherwise."""
+    buckets = rows.withColumn("bucket", F.pmod(F.xxhash64(path), F.lit(MARK_BUCKETS)).cast("int"))
+    return buckets.repartition(n, "bucket").sortWithinPartitions("bucket")
+
+
+def _are_files(store, folder: str, paths: list[str]) -> list[bool | Exception]:
+    """Whether each path is a file now, or why that cannot be said."""
+    from pyarrow import fs
 
-    def _path(self, name: str) -> str:
-        return f"{self.folder}/{hashlib.sha256(name.encode()).hexdigest()}"
+    def one(path: str) -> bool | Exception:
+        try:
+            return _is_file(store, _below(folder, path))
+        except Exception as e:
+            return e
 
-    def set(self, name: str) -> None:
-        with self.store.open_output_stream(self._path(name)):
-            pass
+    try:
+        return [i.type == fs.FileType.File for i in store.get_file_info([_below(folder, p) for p in paths])]
+    except Exception:  # one of them cannot even be asked for
+        return [one(p) for p in paths]
+
+
+def _each_taken(rows: Iterator[pd.DataFrame], column: str, root: str, markers: str, act: Callable) -> Iterator[pd.DataFrame]:
+    """``act(store, folder, row, source)`` takes away the file of each row; marks tell a task's own work from a missing file."""
+    (store, folder), marks = open_store(root), _Marks(markers)
+
+    def of_bucket(bucket: int, pdf: pd.DataFrame) -> list[tuple]:
+        marks.enter(bucket)
+        there, failed = _are_files(store, folder, list(pdf[column])), None
+        try:
+            if any(t is True for t in there):
+                marks.begin(bucket, [p for p, t in zip(pdf[column], there) if t is True])
+        except Exception as e:  # nothing is taken away without a mark
+            failed = e
+        begun = marks.begun(bucket) if False in there else set()
+
+        def one(row, found: bool | Exception) -> None:
+            if isinstance(found, Exception):
+                raise found
+            path = getattr(row, column)
+            source = _below(folder, path)
+            if path in marks.taken:
+                return
+            if not found:
+                if path not in begun:
+                    raise FileNotFoundError(f"no such file: {path}")
+                return
+            if failed is not None:
+                raise failed
+            try:
+                act(store, folder, row, source)
+            except FileNotFoundError:
+                if _is_file(store, source):
+                    raise
+                if path not in marks.begun(bucket):  # else the task runs twice, and the other one was faster
+                    raise FileNotFoundError(f"no such file: {path}") from None
+            marks.taken.add(path)
+
+        return [_outcome(row, lambda r, t=found: one(r, t)) for row, found in zip(pdf.itertuples(index=False), there)]
 
-    def has(self, name: str) -> bool:
-        return _is_file(self.store, self._path(name))
+    for pdf in rows:
+        yield _frame([o for bucket, part in pdf.groupby("bucket", sort=False) for o in of_bucket(int(bucket), part)])
 
 
 def target_root(root: str, by: list[str]) -> Column:
@@ -173,7 +261,7 @@ def publish(plan: DataFrame, content: DataFrame, root: str | Column, tmp_suffix:
                     .select("_target", "_due.*"), "publish-due")
         if due.isEmpty():
             break
-        work = join_checked(content.select("seq", "content"), due.drop("_target"), ["seq"]).repartition(n, "batch" if batched else "seq")
+        work = join_checked(content.select("seq", "content"), due.drop("_target"), ["seq"]).repartition(n, "batch" if batched else F.xxhash64("seq"))
         work = work.sortWithinPartitions("batch", "seq") if batched else work
         tried = stage(work.mapInPandas(write, _SENT), "published")
         outcomes = tried if outcomes is None else outcomes.unionByName(tried)
@@ -211,28 +299,17 @@ def delete_files(requests: DataFrame, root: str, run_dir: str | None = None,
     """Delete each ``path`` below ``root``; returns ``seq``, ``path``, ``done``, ``code``, ``message``.
 
     Of several requests for one path the first (by ``seq``) deletes the file and
-    the others find it gone; a request without a path fails.  ``run_dir`` holds a
-    marker per deleted file, so that a task that runs again, or twice at a time,
+    the others find it gone; a request without a path fails.  ``run_dir`` holds
+    the paths of deleted files, so that a task that runs again, or twice at a time,
     can tell its own delete from a missing file; without it each call has a
     folder of its own in the shared one.
     """
     firsts = requests.where(F.col("path").isNotNull()).groupBy("path").agg(F.min("seq").alias("seq"))
-    work = firsts.repartition(partitions or task_count(requests.sparkSession), "path")
+    work = _dealt(firsts, "path", partitions or task_count(requests.sparkSession))
     base, markers = root.rstrip("/"), _markers(requests, run_dir)
 
     def remove(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, folder = open_store(base)
-        marked = _Marks(markers)
-
-        def one(row) -> None:
-            path = f"{folder}/{row.path.lstrip('/')}"
-            if _is_file(store, path):
-                marked.set(row.path)
-                store.delete_file(path)
-            elif not marked.has(row.path):
-                raise FileNotFoundError(f"no such file: {row.path}")
-
-        yield from _each(rows, one)
+        yield from _each_taken(rows, "path", base, markers, lambda store, folder, row, source: store.delete_file(source))
 
     outcomes = stage(work.mapInPandas(remove, _OUTCOME), "deleted")
     done = outcomes.join(firsts, "seq").withColumnRenamed("seq", "_first")
@@ -255,30 +332,20 @@ def complete(plan: DataFrame, root: str, run_dir: str | None = None) -> DataFram
     ``run_dir``, as in ``delete_files``, tell a source that a task itself moved
     or deleted before from one that was never there.
     """
-    work = (plan.where(F.col("completion") != "none")
-            .select("seq", "full_path", "completion", "move_to", "ensure_directory")
-            .repartition(task_count(plan.sparkSession), "full_path"))
+    asked = plan.where(F.col("completion") != "none").select("seq", "full_path", "completion", "move_to", "ensure_directory")
+    work = _dealt(asked, "full_path", task_count(plan.sparkSession))
     base, markers = root.rstrip("/"), _markers(plan, run_dir)
 
-    def finish(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, folder = open_store(base)
-        marked = _Marks(markers)
-
-        def one(row) -> None:
-            source = f"{folder}/{row.full_path.lstrip('/')}"
-            if not _is_file(store, source):
-                if not marked.has(row.full_path):
-                    raise FileNotFoundError(f"no such file: {row.full_path}")
-                return
-            marked.set(row.full_path)
-            if row.completion == "delete":
-                store.delete_file(source)
-                return
-            if row.ensure_directory:
-                store.create_dir(f"{folder}/{row.ensure_directory.strip('/')}", recursive=True)
-            store.move(source, f"{folder}/{row.move_to.lstrip('/')}")
+    def one(store, folder: str, row, source: str) -> None:
+        if row.completion == "delete":
+            store.delete_file(source)
+            return
+        if row.ensure_directory:
+            store.create_dir(f"{folder}/{row.ensure_directory.strip('/')}", recursive=True)
+        store.move(source, f"{folder}/{row.move_to.lstrip('/')}")
 
-        yield from _each(rows, one)
+    def finish(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _each_taken(rows, "full_path", base, markers, one)
 
     return stage(work.mapInPandas(finish, _OUTCOME), "completed")
 

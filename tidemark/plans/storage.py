@@ -57,6 +57,8 @@ def task_count(spark: SparkSession) -> int:
     """Tasks for work that is slow per row but small in bytes.
 
     Given as a number to ``repartition``, because Spark would otherwise merge
-    such small partitions into one task.
+    such small partitions into one task.  The key has to differ from that of the
+    step before (a hash of it will do): where both are the same, and so is the
+    number, Spark leaves the second shuffle out and merges the first one's parts.
     """
     return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -56,7 +56,7 @@ def fetch_content(listing: DataFrame, root: str, partitions: int | None = None,
     memory, is a failure of its row alone; ``fetch_chunks`` reads such files.
     """
     kept = listing.select([F.col(f"`{c}`") for c in listing.columns if c not in ("content", "error_code", "error_message", "route")])
-    rows = kept.repartition(partitions or task_count(listing.sparkSession), "full_path")
+    rows = kept.repartition(partitions or task_count(listing.sparkSession), F.xxhash64("full_path"))
     base, at = root.rstrip("/"), kept.columns.index("full_path")
     schema = T.StructType(kept.schema.fields + _FETCHED)
 
@@ -104,7 +104,7 @@ def fetch_chunks(listing: DataFrame, root: str, chunk_bytes: int = _BATCH_BYTES,
     An empty file has one empty chunk.  A file that cannot be read to its end
     closes with a row whose ``error_message`` says why and whose content is null.
     """
-    rows = listing.select("full_path").distinct().repartition(partitions or task_count(listing.sparkSession), "full_path")
+    rows = listing.select("full_path").distinct().repartition(partitions or task_count(listing.sparkSession), F.xxhash64("full_path"))
     base = root.rstrip("/")
     names = ["full_path", "chunk_no", "content", "error_message"]
 
