@@ -15,7 +15,7 @@ from tidemark.operators.incremental import (
 from tidemark.operators.predicates import initial_timestamp
 from tidemark.plans.storage import shared_dir, stage
 from tidemark.streaming import EntityListing, TimestampListing, track_entities_stream
-from tidemark.streaming.entity_stream import STATE_PROVIDER
+from tidemark.streaming.entity_stream import STATE_MEMORY, STATE_PROVIDER
 
 _TIE = "1998-06-01"
 
@@ -133,7 +133,8 @@ def _entity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/entity-stream-{uuid.uuid4().hex}"
     inv = line_inventory(spark, sf_dir).select("container", "k", "last_modified", "size", "l_suppkey", "l_partkey")
     rewritten = F.when(F.col("l_partkey") % 5 == 0, F.col("size") + 1).otherwise(F.col("size"))
-    first, provider = inv.where(F.col("l_suppkey") % 3 != 0).withColumn("size", rewritten), spark.conf.get(STATE_PROVIDER[0], None)
+    first = inv.where(F.col("l_suppkey") % 3 != 0).withColumn("size", rewritten)
+    unset = [name for name, _ in (STATE_PROVIDER, *STATE_MEMORY) if spark.conf.get(name, None) is None]
     for run, snapshot in enumerate((first, inv), 1):
         at = _WINDOW_NOW - 2 + run
         snapshot = snapshot.withColumn("listed_at", F.timestamp_millis(F.lit(at)))
@@ -143,8 +144,8 @@ def _entity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         (stream.select((F.unix_millis("listed_at") - (_WINDOW_NOW - 2)).cast("int").alias("run"), "change", "container")
          .writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
          .trigger(once=True).start().awaitTermination())
-    if provider is None:
-        spark.conf.unset(STATE_PROVIDER[0])  # the session is the caller's
+    for name in unset:
+        spark.conf.unset(name)  # the session is the caller's
     return spark.read.parquet(f"{path}/out").groupBy("run", "change", "container").agg(F.count(F.lit(1)).alias("n"))
 
 
